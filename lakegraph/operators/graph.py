@@ -47,18 +47,21 @@ def project_nodes(df: DataFrame, key: list[str], props: dict[str, Column | str])
 
 def build_edges(src_rows: DataFrame, src_cols: list[str], fk_cols: list[str],
                 targets: DataFrame, target_key: list[str],
-                dst_names: list[str] | None = None) -> DataFrame:
+                dst_names: list[str] | None = None, dedupe: bool = True) -> DataFrame:
     """Edges from a foreign key to an existing target node, at most one per pair.
 
     A reference whose target is missing yields no edge (it is reported by
     ``dangling_refs``); a null reference never matches. The target side is
     only used for its keys (semi join), so its properties are not shuffled.
+    ``dedupe=False`` skips the de-duplication when the source rows are
+    already unique per (source, target).
     """
     dst_names = dst_names or fk_cols
     edges = src_rows.select(*[F.col(c) for c in src_cols],
                             *[F.col(f).alias(d) for f, d in zip(fk_cols, dst_names)])
     tk = targets.select(*[F.col(k).alias(d) for k, d in zip(target_key, dst_names)])
-    return edges.join(tk, on=dst_names, how="left_semi").distinct()
+    out = edges.join(tk, on=dst_names, how="left_semi")
+    return out.distinct() if dedupe else out
 
 
 def node_counts(g: PropertyGraph) -> DataFrame:

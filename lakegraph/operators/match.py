@@ -35,6 +35,9 @@ class SupplyGraph:
     made_by: DataFrame
     stored_in: DataFrame
     batch_key: list[str]
+    # CONTAINS before de-duplication (a fact table can repeat a pair); when
+    # given, matches de-duplicate after filtering instead of before
+    contains_rows: DataFrame | None = None
 
     def property_graph(self):
         from lakegraph.operators.graph import EdgeType, PropertyGraph
@@ -53,6 +56,18 @@ def _true() -> Column:
     return F.lit(True)
 
 
+def _to_one(g: SupplyGraph, fk: str) -> DataFrame:
+    """(batch key, fk) pairs of a to-one batch edge.
+
+    When the batch frame carries the foreign key itself (as the source
+    batch table does), read it there: joining the target on it is the same
+    as walking the edge built from it, and saves a pass over the edge source.
+    """
+    if fk in g.batches.columns:
+        return g.batches.select(*g.batch_key, fk)
+    return g.made_by if fk == "supplier_id" else g.stored_in
+
+
 def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
                  batch_pred: Column | None = None, supplier_pred: Column | None = None,
                  warehouse_pred: Column | None = None) -> DataFrame:
@@ -72,32 +87,60 @@ def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
         .select("warehouse_id", F.col("location").alias("warehouse"))
 
     # batch side first: batches that pass their own and their supplier's test
-    bs = b.join(g.made_by, bk).join(s, "supplier_id")
-    bsw = bs.join(g.stored_in, bk).join(w, "warehouse_id")
-    # then the (largest) edge set, already restricted to matching orders
-    ob = g.contains.withColumnRenamed("order_id", "oid").join(o, "oid")
-    paths = ob.join(bsw, bk)
+    if "supplier_id" in g.batches.columns and "warehouse_id" in g.batches.columns:
+        b = g.batches.filter(batch_pred if batch_pred is not None else _true()) \
+            .select(*bk, F.col("product").alias("prod"), "supplier_id", "warehouse_id")
+        bsw = b.join(s, "supplier_id").join(w, "warehouse_id")
+    else:
+        bs = b.join(g.made_by, bk).join(s, "supplier_id")
+        bsw = bs.join(g.stored_in, bk).join(w, "warehouse_id")
+    # then the (largest) edge set, restricted to matching orders; repeated
+    # pairs are dropped after the filters, inside the join's partitioning
+    if g.contains_rows is not None:
+        ob = g.contains_rows.withColumnRenamed("order_id", "oid").join(o, "oid")
+        paths = ob.join(bsw, bk).dropDuplicates(["oid", *bk])
+    else:
+        ob = g.contains.withColumnRenamed("order_id", "oid").join(o, "oid")
+        paths = ob.join(bsw, bk)
     return paths.select("oid", "cust", *bk, "prod", "sup_name", "risk", "warehouse")
 
 
 def expand_inner(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
     """``MATCH (o:Order)-[:CONTAINS]->(node)``: seeds with no order vanish; 1:n."""
     bk = g.batch_key
-    return seeds.join(g.contains, bk).join(g.orders, "order_id")
+    return seeds.join(_contains_for(seeds, g), bk).join(g.orders, "order_id")
+
+
+def _contains_for(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
+    """CONTAINS edges of the seed batches (de-duplicated after the seed filter)."""
+    bk = g.batch_key
+    if g.contains_rows is None:
+        return g.contains
+    return g.contains_rows.join(seeds.select(*bk).distinct(), bk, "left_semi") \
+                          .dropDuplicates(["order_id", *bk])
 
 
 def expand_optional(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
     """``OPTIONAL MATCH (node)-[:MANUFACTURED_BY]->(sup)`` and
     ``OPTIONAL MATCH (node)-[:STORED_IN]->(w)``: left outer joins, so a seed
-    without supplier or warehouse keeps a row with nulls."""
+    without supplier or warehouse keeps a row with nulls.
+
+    Seeds that already carry ``supplier_id`` / ``warehouse_id`` are joined
+    to the targets directly; otherwise the edge frames supply the ids.
+    """
     bk = g.batch_key
-    sup = g.made_by.join(g.suppliers.select("supplier_id", F.col("name").alias("supplier_name"),
-                                            F.col("risk_tier").alias("supplier_risk")), "supplier_id")
-    wh = g.stored_in.join(g.warehouses.select("warehouse_id",
-                                              F.col("location").alias("warehouse_location")),
-                          "warehouse_id")
-    return (seeds.join(sup.drop("supplier_id"), bk, "left")
-                 .join(wh.drop("warehouse_id"), bk, "left"))
+    targets = {
+        "supplier_id": g.suppliers.select("supplier_id", F.col("name").alias("supplier_name"),
+                                          F.col("risk_tier").alias("supplier_risk")),
+        "warehouse_id": g.warehouses.select("warehouse_id",
+                                            F.col("location").alias("warehouse_location")),
+    }
+    out = seeds
+    for fk, tgt in targets.items():
+        if fk not in out.columns:
+            out = out.join(_to_one(g, fk), bk, "left")
+        out = out.join(tgt, fk, "left").drop(fk)
+    return out
 
 
 SEEDED_COLUMNS = ["order_id", "customer", "status", "priority", "product", "quality_status",
@@ -118,9 +161,10 @@ def seeded_expand(seeds: DataFrame, g: SupplyGraph, order_pred: Column | None =
     orders = g.orders
     if order_pred is not None:
         orders = orders.filter(order_pred)
-    inner = (s.join(g.contains, bk)
+    inner = (s.join(_contains_for(s, g), bk)
               .join(orders.select("order_id", "customer", "status", "priority"), "order_id"))
-    props = g.batches.select(*bk, "product", "quality_status")
+    fks = [c for c in ("supplier_id", "warehouse_id") if c in g.batches.columns]
+    props = g.batches.select(*bk, "product", "quality_status", *fks)
     with_b = inner.join(props, bk)
     full = expand_optional(with_b, g)
     return full.select(*keep, *bk, *SEEDED_COLUMNS)

@@ -119,15 +119,21 @@ def _topk_partitions(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, ve
     return run
 
 
-def _query_blocks(queries: DataFrame, qid_col: str, block: int) -> list[DataFrame]:
-    """Split the queries into blocks of about ``block`` rows each."""
-    n = queries.limit(block + 1).count()
-    if n <= block:
-        return [queries]
+def _query_blocks(queries: DataFrame, qid_col: str, block: int):
+    """Yield the queries as local row lists of at most about ``block`` rows.
+
+    One bounded fetch proves the common case (all queries fit one block);
+    beyond it the queries are hashed into blocks and fetched block by block.
+    """
+    first = queries.limit(block + 1).collect()
+    if len(first) <= block:
+        yield first
+        return
     total = queries.count()
     nb = -(-total // block)
     keyed = queries.withColumn("__blk", F.pmod(F.xxhash64(qid_col), F.lit(nb)))
-    return [keyed.filter(F.col("__blk") == b).drop("__blk") for b in range(nb)]
+    for b in range(nb):
+        yield keyed.filter(F.col("__blk") == b).drop("__blk").collect()
 
 
 def knn_exact(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
@@ -144,9 +150,8 @@ def knn_exact(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
                            T.StructField("score", T.DoubleType())])
     src = vectors.select(id_col, vec_col)
     parts = []
-    for blk in _query_blocks(queries.select(qid_col, qvec_col).filter(norm(qvec_col) > 0),
-                             qid_col, block):
-        rows = blk.collect()                      # <= block rows, checked above
+    for rows in _query_blocks(queries.select(qid_col, qvec_col).filter(norm(qvec_col) > 0),
+                              qid_col, block):
         if not rows:
             continue
         qids = np.array([r[0] for r in rows])
@@ -174,10 +179,17 @@ def knn_lsh(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
+    from lakegraph.session import ensure_checkpoint_dir
+
+    spark = vectors.sparkSession
     v = vectors.select(id_col, vec_col).filter(norm(vec_col) > 0) \
                .withColumn("__u", array_to_vector(normalize(vec_col)))
     q = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("__q")) \
-               .filter(norm("__q") > 0).withColumn("__u", array_to_vector(normalize("__q")))
+               .filter(norm("__q") > 0)
+    small = q.limit(max_queries + 1).collect()
+    if len(small) <= max_queries:          # proven small: ship as a local frame
+        q = spark.createDataFrame(small, q.schema)
+    q = q.withColumn("__u", array_to_vector(normalize("__q")))
     lsh = BucketedRandomProjectionLSH(inputCol="__u", outputCol="__h", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed)
     model = lsh.fit(v)
@@ -189,15 +201,19 @@ def knn_lsh(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
 
     vh = explode_hashes(v)
     qh = explode_hashes(q)
-    from lakegraph.session import broadcast_if_small
-    qh = broadcast_if_small(qh, max_queries * num_tables)
+    if len(small) <= max_queries:
+        qh = F.broadcast(qh)               # <= max_queries * num_tables rows
     cand = (vh.join(qh, ["__t", "__b"])
               .select("query_id", id_col, cosine(vec_col, "__q").alias("score"))
               .groupBy("query_id", id_col).agg(F.max("score").alias("score")))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    full = ranked.groupBy("query_id").agg(F.count(F.lit(1)).alias("__n")) \
-                 .filter(F.col("__n") >= k).select("query_id")
-    short = q.join(full, "query_id", "left_anti").select("query_id", "__q")
+    # materialise the (queries x k) ranking once in the shared checkpoint folder
+    ensure_checkpoint_dir(spark)
+    ranked = (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+                  .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
+                  .checkpoint(eager=True))
+    full = ranked.filter(F.col("__n") >= k).drop("__n")
+    short = q.join(full.select("query_id").distinct(), "query_id", "left_anti") \
+             .select("query_id", "__q")
     exact = knn_exact(vectors, id_col, vec_col, short, "query_id", "__q", k)
-    return ranked.join(full, "query_id", "left_semi").unionByName(exact)
+    return full.unionByName(exact)

@@ -383,7 +383,8 @@ SELECT batch_part, batch_supp, product, quality_status,
                  'quality', quality_status, 'supplier', CAST(batch_supp AS VARCHAR)) AS description
 FROM batches""")
 def project_nodes(spark, d):
-    return _g(spark, d).batches
+    return _g(spark, d).batches.select("batch_part", "batch_supp", "product", "quality_status",
+                                       "description")
 
 
 @job("describe_entities", "WITH " + GRAPH_CTES + """
@@ -541,10 +542,7 @@ def attach_vectors(spark, d):
 
 @job("text_vectors")   # TF-IDF vectors of whole documents: no SQL twin; row count only
 def text_vectors(spark, d):
-    tv = vectors.text_vectors(Tables(spark, d).documents, "doc_id", "text")
-    from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array("features")
-    return tv.select("doc_id", F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"))
+    return vectors.text_vectors(Tables(spark, d).documents, "doc_id", "text")
 
 
 @job("vector_audit", f"""

@@ -92,12 +92,16 @@ def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
                    .agg(F.max(F.col("l_returnflag") == "R").alias("failed")))
     part = t.part.select(F.col("p_partkey").alias("batch_part"), F.col("p_name").alias("product"))
     qs = F.when(F.col("failed"), "FAILED").otherwise("PASSED")
+    # batch nodes carry their one-to-one references (like the source batch
+    # table), so the MANUFACTURED_BY / STORED_IN edges need no second pass
     batches = (batch_agg.join(part, "batch_part", "left")
                .select(*BATCH_KEY, "product", qs.alias("quality_status"),
                        F.concat_ws(" ", "product", F.lit("batch"),
                                    batch_id_text(F.col("batch_part"), F.col("batch_supp")),
                                    F.lit("quality"), qs, F.lit("supplier"),
-                                   F.col("batch_supp").cast("string")).alias("description")))
+                                   F.col("batch_supp").cast("string")).alias("description"),
+                       F.col("batch_supp").alias("supplier_id"),
+                       F.pmod(F.col("batch_part"), F.lit(N_WAREHOUSES)).alias("warehouse_id")))
 
     suppliers = (t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
                  .select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name"),
@@ -107,21 +111,20 @@ def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
                   .select(F.col("n_nationkey").cast("long").alias("warehouse_id"),
                           F.col("n_name").alias("location"), F.col("r_name").alias("region")))
 
-    batch_keys = batch_agg.select(*BATCH_KEY)
     contains_rows = li.select(F.col("l_orderkey").alias("order_id"),
                               F.col("l_partkey").alias("batch_part"),
                               F.col("l_suppkey").alias("batch_supp"))
     # every batch is derived from lineitem, so the target always exists; the
     # edge set only needs de-duplication (MERGE creates one edge per pair)
     contains = contains_rows.distinct()
-    made_by = build_edges(batch_keys.withColumn("supplier_id", F.col("batch_supp")),
-                          BATCH_KEY, ["supplier_id"], suppliers, ["supplier_id"])
-    stored_in = build_edges(batch_keys.withColumn("warehouse_id", F.pmod(F.col("batch_part"),
-                                                                        F.lit(N_WAREHOUSES))),
-                            BATCH_KEY, ["warehouse_id"], F.broadcast(warehouses), ["warehouse_id"])
+    made_by = build_edges(batches, BATCH_KEY, ["supplier_id"], suppliers, ["supplier_id"],
+                          dedupe=False)
+    stored_in = build_edges(batches, BATCH_KEY, ["warehouse_id"], F.broadcast(warehouses),
+                            ["warehouse_id"], dedupe=False)
     return SupplyGraph(orders=orders, batches=batches, suppliers=suppliers,
                        warehouses=warehouses, contains=contains, made_by=made_by,
-                       stored_in=stored_in, batch_key=list(BATCH_KEY))
+                       stored_in=stored_in, batch_key=list(BATCH_KEY),
+                       contains_rows=contains_rows)
 
 
 def high_delayed():

@@ -16,7 +16,13 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """The table as a DataFrame; the resolved scan is reused per session, so
+    file listing and footer reads happen once, not once per job."""
+    cache = spark.__dict__.setdefault("_lakegraph_scans", {})
+    path = table_path(sf_dir, name)
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 class Tables:
