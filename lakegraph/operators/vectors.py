@@ -182,14 +182,27 @@ def knn_lsh(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
     from lakegraph.session import ensure_checkpoint_dir
 
     spark = vectors.sparkSession
-    v = vectors.select(id_col, vec_col).filter(norm(vec_col) > 0) \
-               .withColumn("__u", array_to_vector(normalize(vec_col)))
     q = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("__q")) \
                .filter(norm("__q") > 0)
     small = q.limit(max_queries + 1).collect()
     if len(small) <= max_queries:          # proven small: ship as a local frame
         q = spark.createDataFrame(small, q.schema)
-    q = q.withColumn("__u", array_to_vector(normalize("__q")))
+    first = small[0] if small else q.first()
+    if first is None:
+        return knn_exact(vectors, id_col, vec_col, queries, qid_col, qvec_col, k)
+    dim = len(first[1])
+
+    def valid(c):   # what an index of this dimension accepts
+        return F.col(c).isNotNull() & (F.size(c) == dim) & (norm(c) > 0)
+
+    def unit(c):
+        # total: Spark may evaluate join-key predicates before the validity
+        # filter, so the hash input must be well-formed for every row
+        zero = F.array_repeat(F.lit(0.0), dim)
+        return array_to_vector(F.when(valid(c), normalize(c)).otherwise(zero))
+
+    v = vectors.select(id_col, vec_col).filter(valid(vec_col)).withColumn("__u", unit(vec_col))
+    q = q.filter(valid("__q")).withColumn("__u", unit("__q"))
     lsh = BucketedRandomProjectionLSH(inputCol="__u", outputCol="__h", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed)
     model = lsh.fit(v)
