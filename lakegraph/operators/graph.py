@@ -29,10 +29,15 @@ class PropertyGraph:
     nodes: dict[str, DataFrame] = field(default_factory=dict)
     keys: dict[str, list[str]] = field(default_factory=dict)
     edges: dict[str, EdgeType] = field(default_factory=dict)
+    # optional key-only frames, used where properties are not needed
+    key_frames: dict[str, DataFrame] = field(default_factory=dict)
 
-    def add_nodes(self, label: str, frame: DataFrame, key: list[str]) -> None:
+    def add_nodes(self, label: str, frame: DataFrame, key: list[str],
+                  key_frame: DataFrame | None = None) -> None:
         self.nodes[label] = frame
         self.keys[label] = list(key)
+        if key_frame is not None:
+            self.key_frames[label] = key_frame
 
     def add_edges(self, etype: str, edge: EdgeType) -> None:
         self.edges[etype] = edge
@@ -66,7 +71,8 @@ def build_edges(src_rows: DataFrame, src_cols: list[str], fk_cols: list[str],
 
 def node_counts(g: PropertyGraph) -> DataFrame:
     """Nodes per label, ordered by label (``labels(n)[0], count(n)``)."""
-    parts = [frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(label).alias("label"), "n")
+    parts = [g.key_frames.get(label, frame).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(label).alias("label"), "n")
              for label, frame in g.nodes.items()]
     return _union(parts).orderBy("label")
 

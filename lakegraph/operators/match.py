@@ -38,12 +38,14 @@ class SupplyGraph:
     # CONTAINS before de-duplication (a fact table can repeat a pair); when
     # given, matches de-duplicate after filtering instead of before
     contains_rows: DataFrame | None = None
+    # the batch keys alone, when cheaper to produce than the node frame
+    batch_keys: DataFrame | None = None
 
     def property_graph(self):
         from lakegraph.operators.graph import EdgeType, PropertyGraph
         g = PropertyGraph()
         g.add_nodes("Order", self.orders, ["order_id"])
-        g.add_nodes("Batch", self.batches, self.batch_key)
+        g.add_nodes("Batch", self.batches, self.batch_key, self.batch_keys)
         g.add_nodes("Supplier", self.suppliers, ["supplier_id"])
         g.add_nodes("Warehouse", self.warehouses, ["warehouse_id"])
         g.add_edges("CONTAINS", EdgeType("Order", "Batch", self.contains, ["order_id"], self.batch_key))

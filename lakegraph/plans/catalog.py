@@ -97,9 +97,10 @@ def cleansed(spark, d):
 
 @job("table_roundtrip", CLEANSED_SQL)
 def table_roundtrip(spark, d):
+    # full-replace write of a named table whose files live in the shared folder
     path = shared_dir(spark, "tables", "trips_cleansed")
-    io.write_table(cleansed(spark, d), path=path, fmt="parquet")
-    return io.read_table(spark, path=path, fmt="parquet")
+    io.write_table(cleansed(spark, d), name="trips_cleansed", path=path, fmt="parquet")
+    return io.read_table(spark, name="trips_cleansed")
 
 
 LINEITEM_TYPES = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' " \

@@ -117,14 +117,18 @@ def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
     # every batch is derived from lineitem, so the target always exists; the
     # edge set only needs de-duplication (MERGE creates one edge per pair)
     contains = contains_rows.distinct()
-    made_by = build_edges(batches, BATCH_KEY, ["supplier_id"], suppliers, ["supplier_id"],
+    # the to-one edges and the batch count only need the keys, not the part
+    # join that names the product
+    batch_refs = batch_agg.select(*BATCH_KEY, F.col("batch_supp").alias("supplier_id"),
+                                  F.pmod(F.col("batch_part"), F.lit(N_WAREHOUSES)).alias("warehouse_id"))
+    made_by = build_edges(batch_refs, BATCH_KEY, ["supplier_id"], suppliers, ["supplier_id"],
                           dedupe=False)
-    stored_in = build_edges(batches, BATCH_KEY, ["warehouse_id"], F.broadcast(warehouses),
+    stored_in = build_edges(batch_refs, BATCH_KEY, ["warehouse_id"], F.broadcast(warehouses),
                             ["warehouse_id"], dedupe=False)
     return SupplyGraph(orders=orders, batches=batches, suppliers=suppliers,
                        warehouses=warehouses, contains=contains, made_by=made_by,
                        stored_in=stored_in, batch_key=list(BATCH_KEY),
-                       contains_rows=contains_rows)
+                       contains_rows=contains_rows, batch_keys=batch_agg.select(*BATCH_KEY))
 
 
 def high_delayed():

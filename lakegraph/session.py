@@ -98,3 +98,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, shuffle_fraction: float = 0.25,
+               partition_bytes: int = 256 * MB, max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized to the data, for ``get_spark(extra=...)`` on a cluster.
+
+    * scan splits of ``partition_bytes`` (so a 100 TB scan is ~400k tasks);
+    * initial shuffle partitions from the expected shuffle volume (the jobs
+      shuffle pruned columns, partially aggregated: ``shuffle_fraction`` of
+      the input), which AQE then coalesces to ``partition_bytes`` each;
+    * skewed partitions (a key with a third of all rows) are split by AQE
+      once they exceed 3x the median and ``partition_bytes``;
+    * broadcast joins chosen at plan or run time only below 64 MB.
+    """
+    shuffle_parts = int(min(max_partitions, max(200, input_bytes * shuffle_fraction // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }
