@@ -17,7 +17,8 @@ def dot(a: str | Column, b: str | Column) -> Column:
 
 
 def norm(a: str | Column) -> Column:
-    return F.sqrt(dot(a, a))
+    return F.sqrt(F.aggregate(col(a), F.lit(0.0).cast("double"),
+                              lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
 def cosine(a: str | Column, b: str | Column) -> Column:
@@ -26,9 +27,6 @@ def cosine(a: str | Column, b: str | Column) -> Column:
     return F.when(den > 0, dot(a, b) / den)
 
 
-def normalize(a: str | Column) -> Column:
-    n = norm(a)
-    return F.when(n > 0, F.transform(col(a), lambda x: x.cast("double") / n))
 
 
 def py_str(c: str | Column) -> Column:

@@ -1,0 +1,45 @@
+"""Arrow-batched vector kernels for the places where array higher-order
+functions (interpreted, one lambda call per element) are too slow."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+
+def _stack(s: pd.Series, ok: np.ndarray, dim: int) -> np.ndarray:
+    out = np.zeros((len(s), dim), dtype=np.float64)
+    if ok.any():
+        out[ok] = np.stack(s[ok].to_numpy()).astype(np.float64)
+    return out
+
+
+def _cosine(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Row-wise cosine of two array columns; null when a side is null, the
+    lengths differ, or a norm is zero."""
+    la = a.map(lambda x: -1 if x is None else len(x)).to_numpy()
+    lb = b.map(lambda x: -1 if x is None else len(x)).to_numpy()
+    ok = (la >= 0) & (la == lb)
+    if not ok.any():
+        return pd.Series(np.full(len(a), np.nan))
+    dim = int(la[ok][0])
+    ok &= la == dim
+    A, B = _stack(a, ok, dim), _stack(b, ok, dim)
+    num = np.einsum("ij,ij->i", A, B)
+    den = np.linalg.norm(A, axis=1) * np.linalg.norm(B, axis=1)
+    res = np.full(len(a), np.nan)
+    good = ok & (den > 0)
+    res[good] = num[good] / den[good]
+    return pd.Series(res)
+
+
+_UDFS: dict = {}
+
+
+def cosine_batch(a, b):
+    """Column expression: ``_cosine`` as a pandas UDF (created on first use,
+    since a UDF needs an active session)."""
+    if "cos" not in _UDFS:
+        _UDFS["cos"] = F.pandas_udf(_cosine, "double")
+    return _UDFS["cos"](a, b)

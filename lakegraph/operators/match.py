@@ -40,11 +40,12 @@ class SupplyGraph:
     contains_rows: DataFrame | None = None
     # the batch keys alone, when cheaper to produce than the node frame
     batch_keys: DataFrame | None = None
+    order_keys: DataFrame | None = None
 
     def property_graph(self):
         from lakegraph.operators.graph import EdgeType, PropertyGraph
         g = PropertyGraph()
-        g.add_nodes("Order", self.orders, ["order_id"])
+        g.add_nodes("Order", self.orders, ["order_id"], self.order_keys)
         g.add_nodes("Batch", self.batches, self.batch_key, self.batch_keys)
         g.add_nodes("Supplier", self.suppliers, ["supplier_id"])
         g.add_nodes("Warehouse", self.warehouses, ["warehouse_id"])
@@ -109,17 +110,20 @@ def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
 
 def expand_inner(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
     """``MATCH (o:Order)-[:CONTAINS]->(node)``: seeds with no order vanish; 1:n."""
-    bk = g.batch_key
-    return seeds.join(_contains_for(seeds, g), bk).join(g.orders, "order_id")
+    return _seed_edges(seeds, g).join(g.orders, "order_id")
+
 
+def _seed_edges(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
+    """Seeds joined to their CONTAINS edges, one row per (seed row, order).
 
-def _contains_for(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
-    """CONTAINS edges of the seed batches (de-duplicated after the seed filter)."""
+    With raw edge rows the join runs first and repeated pairs are dropped
+    afterwards, inside the join's partitioning on the batch key.
+    """
     bk = g.batch_key
     if g.contains_rows is None:
-        return g.contains
-    return g.contains_rows.join(seeds.select(*bk).distinct(), bk, "left_semi") \
-                          .dropDuplicates(["order_id", *bk])
+        return seeds.join(g.contains, bk)
+    j = seeds.join(g.contains_rows, bk)
+    return j.dropDuplicates(list(seeds.columns) + ["order_id"])
 
 
 def expand_optional(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
@@ -163,7 +167,7 @@ def seeded_expand(seeds: DataFrame, g: SupplyGraph, order_pred: Column | None =
     orders = g.orders
     if order_pred is not None:
         orders = orders.filter(order_pred)
-    inner = (s.join(_contains_for(s, g), bk)
+    inner = (_seed_edges(s, g)
               .join(orders.select("order_id", "customer", "status", "priority"), "order_id"))
     fks = [c for c in ("supplier_id", "warehouse_id") if c in g.batches.columns]
     props = g.batches.select(*bk, "product", "quality_status", *fks)

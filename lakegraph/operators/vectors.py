@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegraph.functions.exprs import cosine, norm, normalize
+from lakegraph.functions.exprs import norm
+from lakegraph.functions.vector_udfs import cosine_batch
 
 
 def attach_vectors(nodes: DataFrame, node_key: str, vectors: DataFrame, vec_key: str,
@@ -47,13 +48,15 @@ def vector_audit(df: DataFrame, vec_col: str, dim: int) -> DataFrame:
 def centroids(df: DataFrame, group_col: str, vec_col: str, out: str = "centroid") -> DataFrame:
     """Mean vector per group (element-wise), as array<double>.
 
-    Exploded to (group, position) and averaged with partial aggregation,
-    so a group holding most rows is combined map-side.
+    Spark ML's ``Summarizer.mean`` is a JVM aggregate with partial merge, so
+    a group holding most rows is combined map-side, O(d) per row.
     """
-    ex = df.select(group_col, F.posexplode(vec_col).alias("pos", "x"))
-    per_pos = ex.groupBy(group_col, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    return per_pos.groupBy(group_col).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias(out))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    src = df.filter(F.col(vec_col).isNotNull()).select(group_col, array_to_vector(vec_col).alias("__v"))
+    return src.groupBy(group_col).agg(Summarizer.mean(F.col("__v")).alias("__m")) \
+              .select(group_col, vector_to_array("__m").alias(out))
 
 
 def text_vectors(df: DataFrame, id_col: str, text_col: str, num_features: int = 1 << 18,
@@ -72,7 +75,9 @@ def text_vectors(df: DataFrame, id_col: str, text_col: str, num_features: int =
         IDF(inputCol="__tf", outputCol="__idf", minDocFreq=min_doc_freq),
         Normalizer(inputCol="__idf", outputCol="features", p=2.0),
     ])
-    src = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
+    from lakegraph.session import ensure_parallelism
+
+    src = ensure_parallelism(df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col)))
     model = pipe.fit(src)
     return model.transform(src).select(id_col, "features")
 
@@ -179,7 +184,7 @@ def knn_lsh(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    from lakegraph.session import ensure_checkpoint_dir
+    from lakegraph.session import shared_dir
 
     spark = vectors.sparkSession
     q = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("__q")) \
@@ -195,14 +200,19 @@ def knn_lsh(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
     def valid(c):   # what an index of this dimension accepts
         return F.col(c).isNotNull() & (F.size(c) == dim) & (norm(c) > 0)
 
-    def unit(c):
+    from pyspark.ml.feature import Normalizer
+
+    unit_norm = Normalizer(inputCol="__a", outputCol="__u", p=2.0)
+
+    def unit(df, c):
         # total: Spark may evaluate join-key predicates before the validity
         # filter, so the hash input must be well-formed for every row
-        zero = F.array_repeat(F.lit(0.0), dim)
-        return array_to_vector(F.when(valid(c), normalize(c)).otherwise(zero))
+        zero = F.array_repeat(F.lit(0.0).cast("double"), dim)
+        arr = F.when(valid(c), F.col(c).cast("array<double>")).otherwise(zero)
+        return unit_norm.transform(df.withColumn("__a", array_to_vector(arr))).drop("__a")
 
-    v = vectors.select(id_col, vec_col).filter(valid(vec_col)).withColumn("__u", unit(vec_col))
-    q = q.filter(valid("__q")).withColumn("__u", unit("__q"))
+    v = unit(vectors.select(id_col, vec_col).filter(valid(vec_col)), vec_col)
+    q = unit(q.filter(valid("__q")), "__q")
     lsh = BucketedRandomProjectionLSH(inputCol="__u", outputCol="__h", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed)
     model = lsh.fit(v)
@@ -217,14 +227,16 @@ def knn_lsh(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
     if len(small) <= max_queries:
         qh = F.broadcast(qh)               # <= max_queries * num_tables rows
     cand = (vh.join(qh, ["__t", "__b"])
-              .select("query_id", id_col, cosine(vec_col, "__q").alias("score"))
+              .select("query_id", id_col, cosine_batch(vec_col, "__q").alias("score"))
               .groupBy("query_id", id_col).agg(F.max("score").alias("score")))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    # materialise the (queries x k) ranking once in the shared checkpoint folder
-    ensure_checkpoint_dir(spark)
-    ranked = (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-                  .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
-                  .checkpoint(eager=True))
+    # materialise the (queries x k) ranking once, as a table in the shared
+    # folder: it is read twice below, and a lost executor cannot lose it
+    path = shared_dir(spark, "knn_lsh_ranked")
+    (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+         .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
+         .write.parquet(path))
+    ranked = spark.read.parquet(path)
     full = ranked.filter(F.col("__n") >= k).drop("__n")
     short = q.join(full.select("query_id").distinct(), "query_id", "left_anti") \
              .select("query_id", "__q")

@@ -639,9 +639,9 @@ ret AS (SELECT sd.query_id, sd.seed_rank, c.batch_part, c.batch_supp, c.order_id
 """
 
 
-def _retrieved(spark, d, g=None):
+def _retrieved(spark, d, g=None, hits=None):
     g = g or _g(spark, d)
-    hits = _hits(spark, d, K_SEARCH)
+    hits = hits if hits is not None else _hits(spark, d, K_SEARCH)
     seeds = (hits.select("query_id", F.col("rank").alias("seed_rank"), F.col("vec_id").alias("batch_part"))
                  .join(g.batches.select(*g.batch_key), "batch_part"))
     return retrieve.vector_graph_retrieve(seeds, g, carry=["seed_rank"])
@@ -673,7 +673,7 @@ def retrieval_items(spark, d):
 def retrieval_eval(spark, d):
     g = _g(spark, d)
     hits = _hits(spark, d, K_SEARCH)
-    ret = _retrieved(spark, d, g)
+    ret = _retrieved(spark, d, g, hits)
     truth_rows = match.pattern_3hop(g, sg.high_delayed(), sg.failed(), sg.high_risk())
     retrieved = (hits.select("query_id", F.lit("vector").alias("method"), F.col("vec_id").alias("item_id"))
                  .unionByName(ret.select("query_id", F.lit("graph").alias("method"),

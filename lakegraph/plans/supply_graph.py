@@ -32,7 +32,11 @@ BATCH_KEY = ["batch_part", "batch_supp"]
 N_WAREHOUSES = 25
 
 
-def fixture_graph(spark: SparkSession, tables: dict[str, DataFrame] | None = None) -> SupplyGraph:
+def fixture_graph(spark: SparkSession, tables: dict[str, DataFrame] | None = None,
+                  chained: bool = False) -> SupplyGraph:
+    """The demo graph. Edge types are built independently; ``chained=True``
+    instead drops the supplier edge of a batch whose warehouse is missing, as
+    a load statement that matches the warehouse before the supplier does."""
     t = tables or supply_tables(spark)
     sup, wh, bat, ords = t["suppliers"], t["warehouses"], t["batches"], t["orders"]
     suppliers = project_nodes(sup, ["supplier_id"], {"name": "name", "country": "country",
@@ -49,7 +53,9 @@ def fixture_graph(spark: SparkSession, tables: dict[str, DataFrame] | None = Non
     return SupplyGraph(
         orders=orders, batches=batches, suppliers=suppliers, warehouses=warehouses,
         contains=build_edges(ords, ["order_id"], ["batch_id"], batches, ["batch_id"]),
-        made_by=build_edges(bat, ["batch_id"], ["supplier_id"], suppliers, ["supplier_id"]),
+        made_by=build_edges(bat.join(warehouses.select("warehouse_id"), "warehouse_id", "left_semi")
+                            if chained else bat,
+                            ["batch_id"], ["supplier_id"], suppliers, ["supplier_id"]),
         stored_in=build_edges(bat, ["batch_id"], ["warehouse_id"], warehouses, ["warehouse_id"]),
         batch_key=["batch_id"])
 
@@ -128,7 +134,8 @@ def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
     return SupplyGraph(orders=orders, batches=batches, suppliers=suppliers,
                        warehouses=warehouses, contains=contains, made_by=made_by,
                        stored_in=stored_in, batch_key=list(BATCH_KEY),
-                       contains_rows=contains_rows, batch_keys=batch_agg.select(*BATCH_KEY))
+                       contains_rows=contains_rows, batch_keys=batch_agg.select(*BATCH_KEY),
+                       order_keys=t.orders.select(F.col("o_orderkey").alias("order_id")))
 
 
 def high_delayed():

@@ -129,3 +129,13 @@ def scale_conf(input_bytes: int, shuffle_fraction: float = 0.25,
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     }
+
+
+def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Spread a CPU-heavy stage over all task slots when the input has fewer
+    splits than the cluster has slots (a few large files); on large inputs,
+    which already have more splits than slots, this changes nothing."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots * factor)
+    return df

@@ -117,3 +117,14 @@ def test_upsert_update_wins_even_when_null(spark):
     upd = spark.createDataFrame([("S2", None, 20), ("S3", "c", 3)], "k string, name string, n long")
     out = {r.k: (r.name, r.n, r.change) for r in graph.upsert(base, upd, ["k"]).collect()}
     assert out == {"S1": ("a", 1, "keep"), "S2": (None, 20, "update"), "S3": ("c", 3, "insert")}
+
+
+def test_chained_load_drops_supplier_edge_of_unstored_batch(spark):
+    t = supply_tables(spark)
+    extra = spark.createDataFrame([("B008", "Chained 1mg", "FAILED", "2024-03-04", "S001", "W999")],
+                                  t["batches"].schema)
+    t["batches"] = t["batches"].unionByName(extra)
+    free = dict(graph.edge_counts(sg.fixture_graph(spark, t).property_graph()).collect())
+    chained = dict(graph.edge_counts(sg.fixture_graph(spark, t, chained=True).property_graph()).collect())
+    assert free["MANUFACTURED_BY"] == 7 and chained["MANUFACTURED_BY"] == 6
+    assert free["STORED_IN"] == chained["STORED_IN"] == 6
