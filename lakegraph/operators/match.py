@@ -38,7 +38,8 @@ class SupplyGraph:
     # CONTAINS before de-duplication (a fact table can repeat a pair); when
     # given, matches de-duplicate after filtering instead of before
     contains_rows: DataFrame | None = None
-    # the batch keys alone, when cheaper to produce than the node frame
+    # the batch keys (optionally with their to-one references supplier_id /
+    # warehouse_id), when cheaper to produce than the node frame
     batch_keys: DataFrame | None = None
     order_keys: DataFrame | None = None
 
@@ -66,6 +67,8 @@ def _to_one(g: SupplyGraph, fk: str) -> DataFrame:
     batch table does), read it there: joining the target on it is the same
     as walking the edge built from it, and saves a pass over the edge source.
     """
+    if g.batch_keys is not None and fk in g.batch_keys.columns:
+        return g.batch_keys.select(*g.batch_key, fk)
     if fk in g.batches.columns:
         return g.batches.select(*g.batch_key, fk)
     return g.made_by if fk == "supplier_id" else g.stored_in

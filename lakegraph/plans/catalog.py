@@ -500,7 +500,7 @@ LEFT JOIN warehouses_n w ON w.warehouse_id = si.warehouse_id"""
      + EXPAND_SQL_SELECT)
 def seeded_expand(spark, d):
     g = _g(spark, d)
-    return match.seeded_expand(g.batches.select(*g.batch_key), g)
+    return match.seeded_expand(g.batch_keys.select(*g.batch_key), g)
 
 
 @job("expand_inner", "WITH " + GRAPH_CTES + """
@@ -525,7 +525,7 @@ LEFT JOIN stored_in_e si ON si.batch_part = b.batch_part AND si.batch_supp = b.b
 LEFT JOIN warehouses_n w ON w.warehouse_id = si.warehouse_id""")
 def expand_optional(spark, d):
     g = _g(spark, d)
-    return match.expand_optional(g.batches.select(*g.batch_key), g)
+    return match.expand_optional(g.batch_keys, g)      # seeds carry their references
 
 
 # =================================================================== vectors

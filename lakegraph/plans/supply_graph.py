@@ -134,7 +134,7 @@ def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
     return SupplyGraph(orders=orders, batches=batches, suppliers=suppliers,
                        warehouses=warehouses, contains=contains, made_by=made_by,
                        stored_in=stored_in, batch_key=list(BATCH_KEY),
-                       contains_rows=contains_rows, batch_keys=batch_agg.select(*BATCH_KEY),
+                       contains_rows=contains_rows, batch_keys=batch_refs,
                        order_keys=t.orders.select(F.col("o_orderkey").alias("order_id")))
 
 

@@ -113,7 +113,11 @@ def scale_conf(input_bytes: int, shuffle_fraction: float = 0.25,
       the input), which AQE then coalesces to ``partition_bytes`` each;
     * skewed partitions (a key with a third of all rows) are split by AQE
       once they exceed 3x the median and ``partition_bytes``;
-    * broadcast joins chosen at plan or run time only below 64 MB.
+    * broadcast joins chosen at plan or run time only below 64 MB;
+    * an aggregate or de-duplication on (a, b, c) never reuses a partitioning
+      on a subset such as (a): a key holding a third of the rows would put
+      them all in one task. All keys are hashed instead (partial aggregation
+      first), and AQE may split a skewed join even where that costs a shuffle.
     """
     shuffle_parts = int(min(max_partitions, max(200, input_bytes * shuffle_fraction // partition_bytes)))
     return {
@@ -128,6 +132,8 @@ def scale_conf(input_bytes: int, shuffle_fraction: float = 0.25,
         "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MB),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.requireAllClusterKeysForDistribution": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
 
 
