@@ -166,14 +166,21 @@ def seeded_expand(seeds: DataFrame, g: SupplyGraph, order_pred: Column | None =
     """
     bk = g.batch_key
     keep = keep or []
-    s = seeds.select(*keep, *bk)
+    # seeds taken from the batch node frame already carry the batch
+    # properties (and references); then there is nothing to join back
+    props = ["product", "quality_status"]
+    refs = [c for c in ("supplier_id", "warehouse_id") if c in seeds.columns]
+    carried = all(c in seeds.columns for c in props)
+    s = seeds.select(*keep, *bk, *(props + refs if carried else []))
     orders = g.orders
     if order_pred is not None:
         orders = orders.filter(order_pred)
     inner = (_seed_edges(s, g)
               .join(orders.select("order_id", "customer", "status", "priority"), "order_id"))
-    fks = [c for c in ("supplier_id", "warehouse_id") if c in g.batches.columns]
-    props = g.batches.select(*bk, "product", "quality_status", *fks)
-    with_b = inner.join(props, bk)
+    if carried:
+        with_b = inner
+    else:
+        fks = [c for c in ("supplier_id", "warehouse_id") if c in g.batches.columns]
+        with_b = inner.join(g.batches.select(*bk, *props, *fks), bk)
     full = expand_optional(with_b, g)
     return full.select(*keep, *bk, *SEEDED_COLUMNS)

@@ -500,7 +500,7 @@ LEFT JOIN warehouses_n w ON w.warehouse_id = si.warehouse_id"""
      + EXPAND_SQL_SELECT)
 def seeded_expand(spark, d):
     g = _g(spark, d)
-    return match.seeded_expand(g.batch_keys.select(*g.batch_key), g)
+    return match.seeded_expand(g.batches, g)      # every batch node is a seed
 
 
 @job("expand_inner", "WITH " + GRAPH_CTES + """
