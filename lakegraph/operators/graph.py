@@ -148,3 +148,42 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def upsert_table(spark, table_dir: str, updates: DataFrame, key: list[str],
+                 fmt: str = "parquet") -> str:
+    """Upsert into a table kept as numbered versions under ``table_dir``.
+
+    Spark cannot overwrite the files a plan is reading, so the merge of the
+    current version with ``updates`` is written as the next version
+    (``v000001``, ...) and then the one-line pointer ``_latest`` is replaced:
+    readers that resolve the pointer see either the old or the new version,
+    never a half-written one. Returns the new version's path.
+    """
+    import os
+
+    latest = latest_version(spark, table_dir)
+    if latest is None:
+        merged = updates.withColumn("change", F.lit("insert"))
+        n = 0
+    else:
+        base = spark.read.format(fmt).load(latest)
+        merged = upsert(base.drop("change") if "change" in base.columns else base, updates, key)
+        n = int(os.path.basename(latest)[1:])
+    name = f"v{n + 1:06d}"
+    out = os.path.join(table_dir, name)
+    merged.write.format(fmt).mode("errorifexists").save(out)
+    spark.createDataFrame([(name,)], "value string").coalesce(1) \
+         .write.mode("overwrite").text(os.path.join(table_dir, "_latest"))
+    return out
+
+
+def latest_version(spark, table_dir: str) -> str | None:
+    """Path of the version the ``_latest`` pointer names (None before the first)."""
+    import os
+
+    try:
+        row = spark.read.text(os.path.join(table_dir, "_latest")).first()
+    except Exception:  # noqa: BLE001  (no pointer yet)
+        return None
+    return os.path.join(table_dir, row.value) if row else None

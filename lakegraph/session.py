@@ -56,8 +56,19 @@ def get_spark(master: str | None = None, app: str = "lakegraph",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has no handle to it
+    (a remote client session)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return master.startswith("local")
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -68,14 +79,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     its own temporary folder; a cluster session without one is an error,
     because a machine-local folder would not survive a lost executor.
     """
+    sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         base = tempfile.mkdtemp(prefix="lakegraph-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, *parts, uuid.uuid4().hex)
 
@@ -141,7 +154,10 @@ def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
     """Spread a CPU-heavy stage over all task slots when the input has fewer
     splits than the cluster has slots (a few large files); on large inputs,
     which already have more splits than slots, this changes nothing."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
+    sc = _context(df.sparkSession)
+    if sc is None:
+        return df
+    slots = sc.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots * factor)
     return df

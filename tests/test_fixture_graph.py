@@ -128,3 +128,16 @@ def test_chained_load_drops_supplier_edge_of_unstored_batch(spark):
     chained = dict(graph.edge_counts(sg.fixture_graph(spark, t, chained=True).property_graph()).collect())
     assert free["MANUFACTURED_BY"] == 7 and chained["MANUFACTURED_BY"] == 6
     assert free["STORED_IN"] == chained["STORED_IN"] == 6
+
+
+def test_upsert_table_versions(spark):
+    from lakegraph.session import shared_dir
+    d = shared_dir(spark, "versioned_orders")
+    base = spark.createDataFrame([("O1", "a"), ("O2", "b")], "order_id string, status string")
+    upd = spark.createDataFrame([("O2", "c"), ("O3", "d")], "order_id string, status string")
+    v1 = graph.upsert_table(spark, d, base, ["order_id"])
+    v2 = graph.upsert_table(spark, d, upd, ["order_id"])
+    assert v1.endswith("v000001") and v2.endswith("v000002")
+    assert graph.latest_version(spark, d) == v2
+    got = {r.order_id: (r.status, r.change) for r in spark.read.parquet(v2).collect()}
+    assert got == {"O1": ("a", "keep"), "O2": ("c", "update"), "O3": ("d", "insert")}
