@@ -341,7 +341,12 @@ stored_in_e AS (SELECT b.batch_part, b.batch_supp, w.warehouse_id FROM batches b
 
 
 def _g(spark, d) -> match.SupplyGraph:
-    return sg.tables_graph(spark, d)
+    """The graph frames over ``d``. They are lazy plans (no data, no action
+    results), so one definition per session and folder is reused by jobs."""
+    cache = spark.__dict__.setdefault("_lakegraph_graphs", {})
+    if d not in cache:
+        cache[d] = sg.tables_graph(spark, d)
+    return cache[d]
 
 
 PATTERN_SQL = "WITH " + GRAPH_CTES + """
@@ -678,8 +683,10 @@ def retrieval_eval(spark, d):
     retrieved = (hits.select("query_id", F.lit("vector").alias("method"), F.col("vec_id").alias("item_id"))
                  .unionByName(ret.select("query_id", F.lit("graph").alias("method"),
                                          F.col("order_id").alias("item_id"))))
-    truth = (truth_rows.select(F.lit("vector").alias("method"), F.col("batch_part").alias("item_id"))
-             .unionByName(truth_rows.select(F.lit("graph").alias("method"), F.col("oid").alias("item_id"))))
+    # one reference to the exact match, fanned out to both units
+    truth = truth_rows.select(F.inline(F.array(
+        F.struct(F.lit("vector").alias("method"), F.col("batch_part").alias("item_id")),
+        F.struct(F.lit("graph").alias("method"), F.col("oid").alias("item_id")))))
     out = evaluate.retrieval_eval(retrieved, truth)
     return out.withColumns({"precision": r6("precision"), "recall": r6("recall")})
 
