@@ -85,7 +85,7 @@ def quantiles_approx(df: DataFrame, col: str, probs: list[float],
 
 
 def quantiles_exact(df: DataFrame, col: str, probs: list[float],
-                    n_buckets: int = 64) -> DataFrame:
+                    n_buckets: int | None = None) -> DataFrame:
     """Exact discrete quantiles: for each p the smallest value v with
     ``count(x <= v) >= ceil(p * n)`` (first value when that rank is < 1).
 
@@ -95,8 +95,12 @@ def quantiles_exact(df: DataFrame, col: str, probs: list[float],
     totals (``n_buckets`` rows) give each range's starting rank, and a window
     inside each range finds the values where the running count crosses each
     target rank. No step holds more than one range of distinct values.
+    ``n_buckets`` defaults to the session's shuffle partition count, which is
+    sized to the data on a cluster (see ``session.scale_conf``).
     """
     spark = df.sparkSession
+    if n_buckets is None:
+        n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     v = F.col(col).cast("double")
     counts = df.select(v.alias("v")).filter(F.col("v").isNotNull()) \
                .groupBy("v").agg(F.count(F.lit(1)).alias("c"))
