@@ -85,10 +85,16 @@ def text_vectors(df: DataFrame, id_col: str, text_col: str, num_features: int =
 # ------------------------------------------------------------------ exact kNN
 
 def _topk_partitions(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
+    """Per task: scores of each Arrow batch against the query block, folded
+    into a running top-k per query, emitted once when the task's batches are
+    done, so a task sends k rows per query whatever its size."""
     qn = qmat / np.linalg.norm(qmat, axis=1, keepdims=True)
     qdim = qmat.shape[1]
+    nq = len(qids)
 
     def run(batches):
+        best_s: list = [None] * nq
+        best_i: list = [None] * nq
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -104,23 +110,23 @@ def _topk_partitions(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, ve
                 continue
             ids, m, nrm = ids[live], m[live], nrm[live]
             scores = (m @ qn.T) / nrm[:, None]            # n x q
-            kk = min(k, len(ids))
-            out_q, out_id, out_s = [], [], []
-            for j in range(len(qids)):
-                s = scores[:, j]
-                if kk < len(s):
-                    t = np.partition(s, len(s) - kk)[len(s) - kk]
-                    cand = np.nonzero(s >= t)[0]
-                else:
-                    cand = np.arange(len(s))
-                order = np.lexsort((ids[cand], -s[cand]))[:kk]
-                sel = cand[order]
-                out_q.append(np.repeat(qids[j], len(sel)))
-                out_id.append(ids[sel])
-                out_s.append(s[sel])
-            yield pd.DataFrame({"query_id": np.concatenate(out_q),
-                                id_col: np.concatenate(out_id),
-                                "score": np.concatenate(out_s)})
+            n = len(ids)
+            kk = min(k, n)
+            # k-th best score per query, all queries at once; ties kept
+            kth = np.partition(scores, n - kk, axis=0)[n - kk] if kk < n else scores.min(axis=0)
+            for j in range(nq):
+                cand = np.nonzero(scores[:, j] >= kth[j])[0]
+                cs, ci = scores[cand, j], ids[cand]
+                if best_s[j] is not None:
+                    cs = np.concatenate([best_s[j], cs])
+                    ci = np.concatenate([best_i[j], ci])
+                order = np.lexsort((ci, -cs))[:k]          # score desc, id asc
+                best_s[j], best_i[j] = cs[order], ci[order]
+        have = [j for j in range(nq) if best_s[j] is not None]
+        if have:
+            yield pd.DataFrame({"query_id": np.concatenate([np.repeat(qids[j], len(best_s[j])) for j in have]),
+                                id_col: np.concatenate([best_i[j] for j in have]),
+                                "score": np.concatenate([best_s[j] for j in have])})
     return run
 
 
