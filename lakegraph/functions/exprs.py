@@ -34,16 +34,6 @@ def py_str(c: str | Column) -> Column:
     return F.coalesce(col(c).cast("string"), F.lit("None"))
 
 
-def template(*parts) -> Column:
-    """Concatenate literal strings and columns; columns print null as 'None'.
-
-    ``template("Order ", "order_id", ...)`` — plain strings that name no
-    column are passed with ``F.lit``; here every ``str`` that should be a
-    column must be given as ``F.col``.
-    """
-    return F.concat(*[py_str(p) if isinstance(p, Column) else F.lit(p) for p in parts])
-
-
 def fixed3(c: str | Column) -> Column:
     """``f"{x:.3f}"``."""
     return F.format_string("%.3f", col(c))
