@@ -58,7 +58,7 @@ def scan_parquet(spark, d):
 
 @job("sql_limit")   # LIMIT without ORDER BY: any 1000 rows; row count only
 def sql_limit(spark, d):
-    return io.sql_limit(spark, Tables(spark, d).lineitem, "lineitem", 1000)
+    return io.sql_limit(spark, Tables(spark, d).lineitem, "lakegraph_trips", 1000)
 
 
 @job("load_default", "SELECT * FROM orders")
@@ -99,8 +99,8 @@ def cleansed(spark, d):
 def table_roundtrip(spark, d):
     # full-replace write of a named table whose files live in the shared folder
     path = shared_dir(spark, "tables", "trips_cleansed")
-    io.write_table(cleansed(spark, d), name="trips_cleansed", path=path, fmt="parquet")
-    return io.read_table(spark, name="trips_cleansed")
+    io.write_table(cleansed(spark, d), name="lakegraph_trips_cleansed", path=path, fmt="parquet")
+    return io.read_table(spark, name="lakegraph_trips_cleansed")
 
 
 LINEITEM_TYPES = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' " \
