@@ -103,14 +103,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only when ``df`` is proven to hold <= max_rows rows.
-
-    The check reads at most ``max_rows + 1`` rows, so its cost is bounded
-    whatever the size of ``df``.
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000,
+                       max_bytes: int = 64 * (1 << 20)) -> DataFrame:
+    """Hint a broadcast only when ``df`` is proven small: at most ``max_rows``
+    rows and about ``max_bytes`` of data (text length plus 8 bytes per other
+    value). The check reads at most ``max_rows + 1`` rows, so its cost is
+    bounded whatever the size of ``df``; beyond either bound the frame is
+    returned unhinted and Spark shuffles (AQE may still broadcast at run time
+    from measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    sizes = [F.coalesce(F.length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() in ("string", "binary")
+             else F.lit(8) for f in df.schema.fields]
+    row_bytes = sum(sizes[1:], sizes[0]) if sizes else F.lit(0)
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if r["n"] <= max_rows and r["b"] <= max_bytes else df
 
 
 MB = 1 << 20

@@ -160,3 +160,19 @@ def test_table_write_overwrite_and_read(spark, trips):
     assert io.read_table(spark, path=path).count() == 2
     assert io.load_default(spark, path, header=True, inferSchema=True).count() == 2
     assert os.path.isdir(path)
+
+
+def test_broadcast_only_when_proven_small(spark):
+    from lakegraph.session import broadcast_if_small
+    small = spark.range(10).withColumn("s", F.lit("x"))
+    wide = spark.range(10).withColumn("s", F.repeat(F.lit("y"), 1000))
+    big = spark.range(50)
+    probe = spark.range(100)
+
+    def plan(side):
+        j = probe.join(side, "id")
+        return j._jdf.queryExecution().sparkPlan().toString()
+    hinted = broadcast_if_small(small, max_rows=20, max_bytes=10_000)
+    assert "BroadcastHashJoin" in plan(hinted)
+    assert broadcast_if_small(big, max_rows=20) is big            # too many rows
+    assert broadcast_if_small(wide, max_rows=20, max_bytes=5_000) is wide   # too many bytes
