@@ -176,3 +176,18 @@ def test_broadcast_only_when_proven_small(spark):
     assert "BroadcastHashJoin" in plan(hinted)
     assert broadcast_if_small(big, max_rows=20) is big            # too many rows
     assert broadcast_if_small(wide, max_rows=20, max_bytes=5_000) is wide   # too many bytes
+
+
+def test_exact_quantiles_edges(spark):
+    probs = [0.0, 0.5, 1.0]
+    empty = spark.createDataFrame([(None,), (None,)], "v double")
+    assert profile.quantiles_exact(empty, "v", probs).count() == 0
+    one = spark.createDataFrame([(7.0,)] * 5, "v double")
+    assert {r.quantile: r.value for r in profile.quantiles_exact(one, "v", probs).collect()} == \
+        {0.0: 7.0, 0.5: 7.0, 1.0: 7.0}
+
+
+def test_group_count_resolves_name_case_insensitively(trips):
+    out = profile.group_count(trips, F.col("vendorID"))
+    assert out.columns == ["vendorID", "count"]          # the requested spelling
+    assert {r.vendorID: r["count"] for r in out.collect()} == {1: 4, 2: 3}
