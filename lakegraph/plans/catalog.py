@@ -349,7 +349,7 @@ def _g(spark, d) -> match.SupplyGraph:
     return cache[d]
 
 
-PATTERN_SQL = "WITH " + GRAPH_CTES + """
+PATTERN_SELECT = """
 SELECT c.order_id AS oid, o.customer AS cust, c.batch_part, c.batch_supp, b.product AS prod,
        s.name AS sup_name, s.risk_tier AS risk, w.location AS warehouse
 FROM contains_e c
@@ -361,7 +361,8 @@ JOIN stored_in_e si ON si.batch_part = b.batch_part AND si.batch_supp = b.batch_
 JOIN warehouses_n w ON w.warehouse_id = si.warehouse_id
 WHERE o.priority = 'HIGH' AND o.status = 'DELAYED' AND b.quality_status = 'FAILED'
   AND s.risk_tier = 'HIGH'
-ORDER BY oid"""
+"""
+PATTERN_SQL = "WITH " + GRAPH_CTES + PATTERN_SELECT + "ORDER BY oid"
 
 
 @job("pattern_3hop", PATTERN_SQL)
@@ -692,10 +693,8 @@ def retrieval_eval(spark, d):
 
 
 def _eval_sql() -> str:
-    body = PATTERN_SQL.split("ORDER BY oid")[0]
-    truth_select = body.split(GRAPH_CTES, 1)[1]
     return RETRIEVE_SQL + f""",
-tr AS ({truth_select}),
+tr AS ({PATTERN_SELECT}),
 retrieved AS (SELECT DISTINCT query_id, 'vector' AS method, vec_id AS item_id FROM hits
               UNION SELECT DISTINCT query_id, 'graph', order_id FROM ret),
 truth AS (SELECT DISTINCT 'vector' AS method, batch_part AS item_id FROM tr
