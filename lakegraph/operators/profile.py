@@ -114,12 +114,18 @@ def quantiles_exact(df: DataFrame, col: str, probs: list[float],
                  .withColumn("hi", F.col("start") + F.sum("c").over(w_in))
                  .withColumn("lo", F.col("hi") - F.col("c")))
     # target rank r = max(1, ceil(p * n)); keep the value whose run (lo, hi] holds r
-    targets = F.array(*[F.struct(F.lit(float(p)).alias("quantile"),
-                                 F.greatest(F.lit(1).cast("long"),
-                                            F.ceil(F.lit(float(p)) * F.col("n")).cast("long")).alias("r"))
-                        for p in probs])
-    hits = F.filter(targets, lambda t: (F.col("lo") < t["r"]) & (t["r"] <= F.col("hi")))
-    return (cum.select(F.col("v").alias("value"), F.explode(hits).alias("t"))
+    ranks = [F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(float(p)) * F.col("n")).cast("long"))
+             for p in probs]
+    holds = [(F.col("lo") < r) & (r <= F.col("hi")) for r in ranks]
+    any_hold = holds[0]
+    for h in holds[1:]:
+        any_hold = any_hold | h
+    # plain (code-generated) comparisons first; the array step sees only the hits
+    targets = F.array(*[F.struct(F.lit(float(p)).alias("quantile"), h.alias("hit"))
+                        for p, h in zip(probs, holds)])
+    return (cum.filter(any_hold)
+               .select(F.col("v").alias("value"), F.explode(targets).alias("t"))
+               .filter(F.col("t.hit"))
                .select(F.col("t.quantile").alias("quantile"), "value"))
 
 
