@@ -147,10 +147,17 @@ def _query_blocks(queries: DataFrame, qid_col: str, block: int):
         yield keyed.filter(F.col("__blk") == b).drop("__blk").collect()
 
 
+def unit_interval(hits: DataFrame, col: str = "score") -> DataFrame:
+    """Rescale cosine scores from [-1, 1] to [0, 1] as ``(1 + cos) / 2`` (the
+    scale some vector indexes report); ranks are unchanged."""
+    return hits.withColumn(col, (F.lit(1.0) + F.col(col)) / F.lit(2.0))
+
+
 def knn_exact(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
               qid_col: str, qvec_col: str, k: int, block: int = 2048) -> DataFrame:
     """Exact top-k by cosine for every query: (query_id, id, score, rank).
 
+    Scores are raw cosine (see ``unit_interval`` for the [0, 1] scale).
     Ties are broken by the smaller id. Query blocks of at most ``block``
     vectors (a proven size) are shipped to the tasks; more queries just
     mean more blocks, each one more scan of the vector table.

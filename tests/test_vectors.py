@@ -92,3 +92,13 @@ def test_text_vectors_unit_norm_whole_text(spark):
     tail = HashingTF(inputCol="t", outputCol="f", numFeatures=1 << 16).transform(
         spark.createDataFrame([(["tailword"],)], "t array<string>")).first().f.indices[0]
     assert tail in set(rows[3].indices)
+
+
+def test_unit_interval_scores_keep_order(vecs):
+    df, ids, mat, qdf, qids, qmat = vecs
+    hits = vectors.knn_exact(df, "id", "v", qdf, "qid", "qv", k=3)
+    raw = {(r.query_id, r.id): (r.score, r["rank"]) for r in hits.collect()}
+    scaled = {(r.query_id, r.id): (r.score, r["rank"]) for r in vectors.unit_interval(hits).collect()}
+    assert raw.keys() == scaled.keys()
+    for key, (s, rank) in raw.items():
+        assert scaled[key][1] == rank and abs(scaled[key][0] - (1 + s) / 2) < 1e-12
