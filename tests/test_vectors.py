@@ -102,3 +102,16 @@ def test_unit_interval_scores_keep_order(vecs):
     assert raw.keys() == scaled.keys()
     for key, (s, rank) in raw.items():
         assert scaled[key][1] == rank and abs(scaled[key][0] - (1 + s) / 2) < 1e-12
+
+
+def test_lsh_recall_on_table_embeddings(spark):
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    from lakegraph.sources.testdata import Tables
+    jobs = entry.queries()
+    exact = {(r.query_id, r.vec_id) for r in jobs["knn_exact"](spark, SF_SMALL).collect()}
+    lsh = jobs["knn_lsh"](spark, SF_SMALL).collect()
+    ids = {r.vec_id for r in Tables(spark, SF_SMALL).embeddings.select("vec_id").collect()}
+    got = {(r.query_id, r.vec_id) for r in lsh}
+    assert len(lsh) == len(exact) and {v for _, v in got} <= ids
+    assert len(exact & got) / len(exact) >= 0.8
