@@ -85,23 +85,23 @@ def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
     bk = g.batch_key
     o = g.orders.filter(order_pred if order_pred is not None else _true()) \
         .select(F.col("order_id").alias("oid"), F.col("customer").alias("cust"))
+    refs = ["supplier_id", "warehouse_id"]
+    refs_on_batch = all(c in g.batches.columns for c in refs)
     b = g.batches.filter(batch_pred if batch_pred is not None else _true()) \
-        .select(*bk, F.col("product").alias("prod"))
+        .select(*bk, F.col("product").alias("prod"), *(refs if refs_on_batch else []))
     s = g.suppliers.filter(supplier_pred if supplier_pred is not None else _true()) \
         .select("supplier_id", F.col("name").alias("sup_name"), F.col("risk_tier").alias("risk"))
     w = g.warehouses.filter(warehouse_pred if warehouse_pred is not None else _true()) \
         .select("warehouse_id", F.col("location").alias("warehouse"))
 
     # batch side first: batches that pass their own and their supplier's test
-    if "supplier_id" in g.batches.columns and "warehouse_id" in g.batches.columns:
-        b = g.batches.filter(batch_pred if batch_pred is not None else _true()) \
-            .select(*bk, F.col("product").alias("prod"), "supplier_id", "warehouse_id")
+    if refs_on_batch:
         bsw = b.join(s, "supplier_id").join(w, "warehouse_id")
     else:
         bs = b.join(g.made_by, bk).join(s, "supplier_id")
         bsw = bs.join(g.stored_in, bk).join(w, "warehouse_id")
     # then the (largest) edge set, restricted to matching orders; repeated
-    # pairs are dropped after the filters, inside the join's partitioning
+    # pairs are dropped after the filters (on the matching rows only)
     if g.contains_rows is not None:
         ob = g.contains_rows.withColumnRenamed("order_id", "oid").join(o, "oid")
         paths = ob.join(bsw, bk).dropDuplicates(["oid", *bk])
