@@ -109,34 +109,22 @@ def dangling_refs(df: DataFrame, fk_cols: list[str], targets: DataFrame,
 def dangling_summary(checks: dict[str, tuple[DataFrame, list[str], DataFrame, list[str]]]) -> DataFrame:
     """One row per reference: how many referencing rows, how many dangle.
 
-    References that share a source frame are checked in one pass over it:
-    the source is left-joined to each target's distinct keys in turn and a
-    single aggregation counts the misses of every reference.
+    The referencing rows are first counted per key value (partial + final
+    aggregation: a key held by a third of the rows collapses map-side), so
+    only distinct key values are shuffled and joined to the target keys.
     """
-    groups: dict[int, list[tuple[str, list[str], DataFrame, list[str]]]] = {}
-    sources: dict[int, DataFrame] = {}
-    for name, (df, fk, tgt, tkey) in checks.items():
-        groups.setdefault(id(df), []).append((name, fk, tgt, tkey))
-        sources[id(df)] = df
     parts = []
-    for gid, refs in groups.items():
-        cols = sorted({c for _, fk, _, _ in refs for c in fk})
-        j = sources[gid].select(*cols)
-        aggs = [F.count(F.lit(1)).alias("n_refs")]
-        for i, (name, fk, tgt, tkey) in enumerate(refs):
-            hit = f"__hit{i}"
-            tk = tgt.select(*[F.col(k).alias(f) for k, f in zip(tkey, fk)]).distinct() \
-                    .withColumn(hit, F.lit(True))
-            j = j.join(tk, on=fk, how="left")
-            aggs.append(F.count_if(F.col(hit).isNull()).alias(f"n{i}"))
-        counts = j.agg(*aggs)
-        rows = F.array(*[F.struct(F.lit(name).alias("reference"), F.col("n_refs").alias("n_refs"),
-                                  F.col(f"n{i}").alias("n_dangling"))
-                         for i, (name, _, _, _) in enumerate(refs)])
-        parts.append(counts.select(F.inline(rows)))
-    order = {name: i for i, name in enumerate(checks)}
-    out = _union(parts)
-    return out.orderBy(F.array_position(F.array(*[F.lit(n) for n in order]), F.col("reference")))
+    for name, (df, fk, tgt, tkey) in checks.items():
+        per_key = df.groupBy(*fk).agg(F.count(F.lit(1)).alias("__c"))
+        tk = tgt.select(*[F.col(k).alias(f) for k, f in zip(tkey, fk)]).distinct() \
+                .withColumn("__hit", F.lit(True))
+        j = per_key.join(tk, on=fk, how="left")
+        parts.append(j.agg(
+            F.coalesce(F.sum("__c"), F.lit(0)).cast("long").alias("n_refs"),
+            F.coalesce(F.sum(F.when(F.col("__hit").isNull(), F.col("__c"))), F.lit(0))
+             .cast("long").alias("n_dangling"))
+            .select(F.lit(name).alias("reference"), "n_refs", "n_dangling"))
+    return _union(parts)
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: list[str],

@@ -141,3 +141,10 @@ def test_upsert_table_versions(spark):
     assert graph.latest_version(spark, d) == v2
     got = {r.order_id: (r.status, r.change) for r in spark.read.parquet(v2).collect()}
     assert got == {"O1": ("a", "keep"), "O2": ("c", "update"), "O3": ("d", "insert")}
+
+
+def test_dangling_summary_counts_null_and_hot_keys(spark):
+    refs = spark.createDataFrame([("a",)] * 50 + [("b",), (None,), ("zz",)], "k string")
+    tgt = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
+    r = graph.dangling_summary({"refs.k": (refs, ["k"], tgt, ["k"])}).first()
+    assert (r.n_refs, r.n_dangling) == (53, 2)
