@@ -91,7 +91,8 @@ def run_graph(spark: SparkSession, tables: str | None, out: str, k: int = 5,
     written["edge_counts"] = _save(graph.edge_counts(pg), out, "edge_counts")
     written["key_violations"] = _save(
         graph.key_violations(g.batches, g.batch_key), out, "key_violations")
-    truth = match.pattern_3hop(g, sg.high_delayed(), sg.failed(), sg.high_risk())
+    orders_pred = sg.high_delayed() if tables is None else sg.high_delayed_codes()
+    truth = match.pattern_3hop(g, orders_pred, sg.failed(), sg.high_risk())
     written["exact_answer"] = _save(truth.orderBy("oid"), out, "exact_answer")
     if tables is None:
         return written

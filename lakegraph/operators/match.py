@@ -42,6 +42,10 @@ class SupplyGraph:
     # warehouse_id), when cheaper to produce than the node frame
     batch_keys: DataFrame | None = None
     order_keys: DataFrame | None = None
+    # the order rows without joined properties: a filter on them is a plain
+    # filtered scan, which lets Spark build a runtime Bloom filter from it
+    # and prune the CONTAINS rows before they are shuffled
+    order_rows: DataFrame | None = None
 
     def property_graph(self):
         from lakegraph.operators.graph import EdgeType, PropertyGraph
@@ -83,8 +87,10 @@ def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
     sup_name, risk, warehouse.
     """
     bk = g.batch_key
-    o = g.orders.filter(order_pred if order_pred is not None else _true()) \
-        .select(F.col("order_id").alias("oid"), F.col("customer").alias("cust"))
+    op = order_pred if order_pred is not None else _true()
+    o_src = g.order_rows if g.order_rows is not None else g.orders
+    o_ids = o_src.filter(op).select(F.col("order_id").alias("oid"))
+    o_names = g.orders.filter(op).select(F.col("order_id").alias("oid"), F.col("customer").alias("cust"))
     refs = ["supplier_id", "warehouse_id"]
     refs_on_batch = all(c in g.batches.columns for c in refs)
     b = g.batches.filter(batch_pred if batch_pred is not None else _true()) \
@@ -103,11 +109,13 @@ def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
     # then the (largest) edge set, restricted to matching orders; repeated
     # pairs are dropped after the filters (on the matching rows only)
     if g.contains_rows is not None:
-        ob = g.contains_rows.withColumnRenamed("order_id", "oid").join(o, "oid")
+        ob = g.contains_rows.withColumnRenamed("order_id", "oid").join(o_ids, "oid")
         paths = ob.join(bsw, bk).dropDuplicates(["oid", *bk])
     else:
-        ob = g.contains.withColumnRenamed("order_id", "oid").join(o, "oid")
+        ob = g.contains.withColumnRenamed("order_id", "oid").join(o_ids, "oid")
         paths = ob.join(bsw, bk)
+    # customer names only for the matched paths
+    paths = paths.join(o_names, "oid")
     return paths.select("oid", "cust", *bk, "prod", "sup_name", "risk", "warehouse")
 
 

@@ -367,7 +367,7 @@ PATTERN_SQL = "WITH " + GRAPH_CTES + PATTERN_SELECT + "ORDER BY oid"
 
 @job("pattern_3hop", PATTERN_SQL)
 def pattern_3hop(spark, d):
-    return match.pattern_3hop(_g(spark, d), sg.high_delayed(), sg.failed(), sg.high_risk()) \
+    return match.pattern_3hop(_g(spark, d), sg.high_delayed_codes(), sg.failed(), sg.high_risk()) \
                 .orderBy("oid")
 
 
@@ -680,7 +680,7 @@ def retrieval_eval(spark, d):
     g = _g(spark, d)
     hits = _hits(spark, d, K_SEARCH)
     ret = _retrieved(spark, d, g, hits)
-    truth_rows = match.pattern_3hop(g, sg.high_delayed(), sg.failed(), sg.high_risk())
+    truth_rows = match.pattern_3hop(g, sg.high_delayed_codes(), sg.failed(), sg.high_risk())
     retrieved = (hits.select("query_id", F.lit("vector").alias("method"), F.col("vec_id").alias("item_id"))
                  .unionByName(ret.select("query_id", F.lit("graph").alias("method"),
                                          F.col("order_id").alias("item_id"))))
