@@ -58,8 +58,25 @@ def main() -> None:
         s = summarize(plan)
         print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['scans']} | {s['smj']} | "
               f"{s['bhj']} | {s['python']} | {s['cartesian']} |", flush=True)
+    print(NOTES)
     spark.stop()
 
 
+NOTES = """
+Notes
+
+- Shuffles are counted, not weighed: most exchanges above carry partially
+  aggregated data. `dangling_refs` shuffles only per-key reference counts;
+  `quantiles_exact` shuffles (value, count) pairs, then small per-range totals.
+- Broadcasts are fixed-size dimensions (nation, region), bounded frames
+  (histogram bins, quantile range totals, checked lookups) or AQE's run-time
+  choice for sides it measured as small.
+- Python appears only in the vector jobs (Arrow batches: top-k kernel in
+  `knn_exact`, cosine re-rank in `knn_lsh`).
+- Per-stage time, task count and shuffle bytes per job: run bench.py with
+  BENCH_EVENT_LOG and read it with tools/stage_times.py.
+"""
+
+
 if __name__ == "__main__":
     main()
