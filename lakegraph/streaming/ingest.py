@@ -41,3 +41,26 @@ def write_parquet(stream: DataFrame, out_dir: str, checkpoint_dir: str,
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
+
+
+def upsert_stream(spark: SparkSession, src_dir: str, schema: T.StructType, table_dir: str,
+                  key: list[str], checkpoint_dir: str, available_now: bool = True,
+                  processing_time: str | None = None) -> StreamingQuery:
+    """Merge arriving update files into a versioned table, one version per
+    micro-batch (``foreachBatch`` + ``operators.graph.upsert_table``).
+
+    A micro-batch replayed after a failure merges the same rows again, which
+    leaves the same table (updates win by key), so the result does not
+    depend on retries. Update rows repeating a key within one batch are not
+    allowed by the merge (as for a MERGE statement); drop them upstream.
+    """
+    from lakegraph.operators.graph import upsert_table
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        upsert_table(batch.sparkSession, table_dir, batch, key)
+
+    stream = spark.readStream.schema(schema).parquet(src_dir)
+    w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_dir)
+    w = w.trigger(availableNow=True) if available_now else \
+        w.trigger(processingTime=processing_time or "1 minute")
+    return w.start()

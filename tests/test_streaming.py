@@ -31,3 +31,33 @@ def test_stream_matches_batch_and_resumes(spark):
     q = write_parquet(cleanse_stream(spark, src, schema, **args), out, ck)
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 2 * batch.count()
+
+
+def test_upsert_stream_matches_batch_merge(spark):
+    import duckdb
+    from pyspark.sql import functions as F
+    from lakegraph.operators import graph
+    from lakegraph.streaming.ingest import upsert_stream
+    src = shared_dir(spark, "upsert_src")
+    os.makedirs(src)
+    orders = os.path.join(SF_SMALL, "orders.parquet")
+    con = duckdb.connect()
+    # two update files derived from the orders table: early orders, then a
+    # later slice that overlaps it with changed status
+    con.execute(f"COPY (SELECT * FROM '{orders}' WHERE o_orderdate < TIMESTAMP '1998-01-01') "
+                f"TO '{src}/u1.parquet' (FORMAT PARQUET)")
+    schema = spark.read.parquet(orders).schema
+    table, ck = shared_dir(spark, "upsert_table"), shared_dir(spark, "upsert_ck")
+    upsert_stream(spark, src, schema, table, ["o_orderkey"], ck).awaitTermination(120)
+    con.execute(f"COPY (SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice, o_orderdate, "
+                f"o_orderpriority FROM '{orders}' WHERE o_orderdate >= TIMESTAMP '1997-01-01') "
+                f"TO '{src}/u2.parquet' (FORMAT PARQUET)")
+    upsert_stream(spark, src, schema, table, ["o_orderkey"], ck).awaitTermination(120)
+    got = spark.read.parquet(graph.latest_version(spark, table)).drop("change")
+    base = spark.read.parquet(orders)
+    want = graph.upsert(base.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")),
+                        base.filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+                            .withColumn("o_orderstatus", F.lit("F")),
+                        ["o_orderkey"]).drop("change")
+    assert got.count() == want.count() == base.count()
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
