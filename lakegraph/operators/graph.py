@@ -128,14 +128,19 @@ def dangling_summary(checks: dict[str, tuple[DataFrame, list[str], DataFrame, li
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: list[str],
-           columns: list[str] | None = None, change_col: str | None = "change") -> DataFrame:
+           columns: list[str] | None = None, change_col: str | None = "change",
+           check_unique: bool = False) -> DataFrame:
     """Merge ``updates`` into ``base`` by key (``MERGE ... SET``).
 
     Where an update row exists its listed columns win, even when null; base
     rows without an update are kept; update rows without a base row are
     inserted. One full outer join on the key: both sides are shuffled by key
-    once, and AQE splits a skewed key partition.
+    once, and AQE splits a skewed key partition. Two update rows for one key
+    make the merge ambiguous; ``check_unique`` rejects them first (one
+    aggregation over the updates, stopping at the first repeated key).
     """
+    if check_unique and key_violations(updates, key).limit(1).count() > 0:
+        raise ValueError(f"updates repeat a key {key}: the merge would be ambiguous")
     columns = columns or [c for c in base.columns if c not in key]
     b = base.select(*key, *[F.col(c).alias(f"__b_{c}") for c in columns], F.lit(True).alias("__b"))
     u = updates.select(*key, *[F.col(c).alias(f"__u_{c}") for c in columns], F.lit(True).alias("__u"))
@@ -157,7 +162,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def upsert_table(spark, table_dir: str, updates: DataFrame, key: list[str],
-                 fmt: str = "parquet") -> str:
+                 fmt: str = "parquet", check_unique: bool = False) -> str:
     """Upsert into a table kept as numbered versions under ``table_dir``.
 
     Spark cannot overwrite the files a plan is reading, so the merge of the
@@ -174,7 +179,8 @@ def upsert_table(spark, table_dir: str, updates: DataFrame, key: list[str],
         n = 0
     else:
         base = spark.read.format(fmt).load(latest)
-        merged = upsert(base.drop("change") if "change" in base.columns else base, updates, key)
+        merged = upsert(base.drop("change") if "change" in base.columns else base, updates, key,
+                        check_unique=check_unique)
         n = int(os.path.basename(latest)[1:])
     name = f"v{n + 1:06d}"
     out = os.path.join(table_dir, name)

@@ -51,13 +51,13 @@ def upsert_stream(spark: SparkSession, src_dir: str, schema: T.StructType, table
 
     A micro-batch replayed after a failure merges the same rows again, which
     leaves the same table (updates win by key), so the result does not
-    depend on retries. Update rows repeating a key within one batch are not
-    allowed by the merge (as for a MERGE statement); drop them upstream.
+    depend on retries. Update rows repeating a key within one batch make the
+    merge ambiguous (as for a MERGE statement) and stop the query.
     """
     from lakegraph.operators.graph import upsert_table
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        upsert_table(batch.sparkSession, table_dir, batch, key)
+        upsert_table(batch.sparkSession, table_dir, batch, key, check_unique=True)
 
     stream = spark.readStream.schema(schema).parquet(src_dir)
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_dir)

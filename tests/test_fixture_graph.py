@@ -148,3 +148,11 @@ def test_dangling_summary_counts_null_and_hot_keys(spark):
     tgt = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
     r = graph.dangling_summary({"refs.k": (refs, ["k"], tgt, ["k"])}).first()
     assert (r.n_refs, r.n_dangling) == (53, 2)
+
+
+def test_upsert_rejects_repeated_update_keys(spark):
+    import pytest
+    base = spark.createDataFrame([("S1", "a")], "k string, name string")
+    upd = spark.createDataFrame([("S1", "b"), ("S1", "c")], "k string, name string")
+    with pytest.raises(ValueError):
+        graph.upsert(base, upd, ["k"], check_unique=True)
