@@ -8,7 +8,6 @@ import shutil
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
