@@ -30,3 +30,28 @@ def test_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_returnflag:string>" in p
     p2 = _plan(JOBS["project_columns"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double>" in p2
+
+
+def test_knn_top_k_is_limited_before_the_shuffle(spark):
+    p = _plan(JOBS["knn_exact"](spark, SF_SMALL))
+    assert p.count("WindowGroupLimit") >= 2          # partial (map side) + final
+
+
+def test_flagship_gets_runtime_bloom_filter_under_cluster_settings(spark):
+    from lakegraph.session import scale_conf
+    conf = scale_conf(10 ** 9)
+    conf.update({"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1KB",
+                 "spark.sql.autoBroadcastJoinThreshold": "-1"})
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = JOBS["pattern_3hop"](spark, SF_SMALL)
+        opt = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in opt and "l_orderkey" in opt.split("might_contain", 1)[1][:200]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
