@@ -58,7 +58,7 @@ def scan_parquet(spark, d):
 
 @job("sql_limit")   # LIMIT without ORDER BY: any 1000 rows; row count only
 def sql_limit(spark, d):
-    return io.sql_limit(spark, Tables(spark, d).lineitem, "lakegraph_trips", 1000)
+    return io.sql_limit(spark, Tables(spark, d).lineitem, n=1000)
 
 
 @job("load_default", "SELECT * FROM orders")

@@ -41,14 +41,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def sql_limit(spark: SparkSession, df: DataFrame, view: str, n: int = 1000) -> DataFrame:
-    """``SELECT * FROM view LIMIT n`` through the SQL front end.
-
-    Without an ORDER BY the rows returned are whichever partitions finish
-    first; Spark stops scanning once ``n`` rows are collected.
+def sql_limit(spark: SparkSession, df: DataFrame, view: str | None = None,
+              n: int = 1000) -> DataFrame:
+    """``SELECT * FROM <table> LIMIT n`` through the SQL front end.
+
+    With ``view`` the frame is registered under that name (as a table name
+    would be); otherwise it is passed to ``spark.sql`` as a parameter and no
+    session-wide name is created. Without an ORDER BY the rows returned are
+    whichever partitions finish first; Spark stops scanning once ``n`` rows
+    are collected.
     """
-    df.createOrReplaceTempView(view)
-    return spark.sql(f"SELECT * FROM {view} LIMIT {int(n)}")
+    if view:
+        df.createOrReplaceTempView(view)
+        return spark.sql(f"SELECT * FROM {view} LIMIT {int(n)}")
+    return spark.sql(f"SELECT * FROM {{t}} LIMIT {int(n)}", t=df)
 
 
 def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
