@@ -516,7 +516,7 @@ JOIN orders_n o ON o.order_id = c.order_id
 WHERE b.quality_status = 'FAILED'""")
 def expand_inner(spark, d):
     g = _g(spark, d)
-    seeds = g.batches.filter(sg.failed()).select(*g.batch_key)
+    seeds = g.batch_keys.filter(sg.failed()).select(*g.batch_key)   # no product join needed
     return match.expand_inner(seeds, g).select(*g.batch_key, "order_id", "customer", "status",
                                                "priority")
 
@@ -531,7 +531,8 @@ LEFT JOIN stored_in_e si ON si.batch_part = b.batch_part AND si.batch_supp = b.b
 LEFT JOIN warehouses_n w ON w.warehouse_id = si.warehouse_id""")
 def expand_optional(spark, d):
     g = _g(spark, d)
-    return match.expand_optional(g.batch_keys, g)      # seeds carry their references
+    seeds = g.batch_keys.select(*g.batch_key, "supplier_id", "warehouse_id")   # carry their references
+    return match.expand_optional(seeds, g)
 
 
 # =================================================================== vectors

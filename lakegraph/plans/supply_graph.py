@@ -130,7 +130,8 @@ def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
     # the to-one edges and the batch count only need the keys, not the part
     # join that names the product
     batch_refs = batch_agg.select(*BATCH_KEY, F.col("batch_supp").alias("supplier_id"),
-                                  F.pmod(F.col("batch_part"), F.lit(N_WAREHOUSES)).alias("warehouse_id"))
+                                  F.pmod(F.col("batch_part"), F.lit(N_WAREHOUSES)).alias("warehouse_id"),
+                                  qs.alias("quality_status"))
     made_by = build_edges(batch_refs, BATCH_KEY, ["supplier_id"], suppliers, ["supplier_id"],
                           dedupe=False)
     stored_in = build_edges(batch_refs, BATCH_KEY, ["warehouse_id"], F.broadcast(warehouses),
