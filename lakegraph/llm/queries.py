@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegraph.llm import decontaminate, packing, quality, token_files, url_filter, warc
+from lakegraph.llm import decontaminate, jaccard_join, langid, ngram_lm, packing, quality, token_files, url_filter, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(read(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
@@ -43,17 +47,27 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", langid.fold(F.col("doc_id"), 5, 1))
+    return ngram_lm.score(docs, ngram_lm.build(docs.filter(~F.col("held_out"))))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(token_files.write_tokens(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", langid.fold(F.col("doc_id"), 4, 2))
+    return langid.predict(docs, langid.train(docs.filter(~F.col("held_out"))))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op4_best_fit_packing, op5_quality_rules, op6_warc,
-                            op8_token_files, op10_url_filter)}
+    f.__name__: f for f in (op2_decontaminate, op3_jaccard_join, op4_best_fit_packing, op5_quality_rules, op6_warc,
+                            op7_lm_scoring, op8_token_files, op9_language_id, op10_url_filter)}
 
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _SPACE_WORD = r"[^\x20\x09-\x0D]+"
