@@ -7,8 +7,9 @@ written as Parquet and read again as the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakegraph.llm import decontaminate, packing, quality, store
+from lakegraph.llm import decontaminate, jaccard_join, packing, quality, store, suffix_dedup
 from lakegraph.llm.queries import read, vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -19,6 +20,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs, COLUMNS)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard_join.keep_smallest(docs, COLUMNS)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that an earlier one holds;
+    n_chars follows the text."""
+    out = suffix_dedup.dedup(docs, COLUMNS)
+    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the benchmark's passages."""
     return decontaminate.keep_clean(docs, read(spark, sf_dir, "benchmark"), COLUMNS)
@@ -30,6 +43,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [("quality_rules", quality_rules),
+          ("ngram_jaccard_join", ngram_jaccard_join),
+          ("suffix_array_dedup", suffix_array_dedup),
           ("benchmark_decontamination", benchmark_decontamination),
           ("best_fit_packing", best_fit_packing)]
 

@@ -293,3 +293,11 @@ def similar(docs: DataFrame, size: int = SIZE) -> DataFrame:
     return own.join(ids, "v", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_smallest(docs: DataFrame, columns: tuple[str, ...], size: int = SIZE) -> DataFrame:
+    """The given columns of the documents that stand for their component: the
+    smallest doc_id of each. Documents with an empty set, or a null doc_id,
+    stay."""
+    gone = similar(docs, size).filter("component_id != doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*columns)

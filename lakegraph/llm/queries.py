@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegraph.llm import decontaminate, jaccard_join, langid, ngram_lm, packing, quality, token_files, url_filter, warc
+from lakegraph.llm import decontaminate, jaccard_join, langid, ngram_lm, packing, quality, suffix_dedup, token_files, url_filter, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block",
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"])
 
@@ -66,7 +70,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op3_jaccard_join, op4_best_fit_packing, op5_quality_rules, op6_warc,
+    f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_jaccard_join, op4_best_fit_packing, op5_quality_rules, op6_warc,
                             op7_lm_scoring, op8_token_files, op9_language_id, op10_url_filter)}
 
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
