@@ -38,14 +38,12 @@ def pieces(docs: DataFrame, tokenizer: str, byte_level: bool = True, length: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer, byte_level, END)
         for b in batches:
-            rows = []
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                for doc, ids in zip(part["doc_id"].to_pylist(), enc.encode(part["text"].to_pylist()), strict=True):
-                    raw, n = memoryview(ids).cast("B"), len(ids)
+            for first, found in enc.batches(b["text"]):
+                rows = []
+                for doc, ids in zip(b["doc_id"].slice(first, len(found)).to_pylist(), found, strict=True):
+                    n = len(ids)
                     cuts = [0, *range(n % length or length, n + 1, length)]
-                    rows += [(doc, k, s, e - s, zlib.crc32(raw[4 * s:4 * e])) for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False))]
-            if rows:
+                    rows += [(doc, k, s, e - s, zlib.crc32(ids[s:e])) for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECES, strict=True)], schema=_PIECES)
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)

@@ -88,9 +88,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, byte_level: bool = False,
             if not b.num_rows:
                 continue
             out = out or Writer(path, id_type(tokenizer))
-            for lo in range(0, b.num_rows, 256):
-                part, index = b.slice(lo, 256), []
-                for doc, ids in zip(part["doc_id"].to_pylist(), enc.encode(part["text"].to_pylist()), strict=True):
+            for row, found in enc.batches(b["text"]):
+                index = []
+                for doc, ids in zip(b["doc_id"].slice(row, len(found)).to_pylist(), found, strict=True):
                     out.add(ids)
                     first = doc if first is None else first
                     index.append((doc, path, at, len(ids), first))
