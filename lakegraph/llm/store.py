@@ -44,7 +44,8 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
 
 def task_file(folder: str, suffix: str) -> str:
     """A file name that no other task and no other attempt of it uses; readers
-    learn names only from the rows of attempts that succeeded."""
+    learn names only from the rows of attempts that succeeded. A task that
+    writes several files tells them apart by suffix."""
     ctx = TaskContext.get()
     return f"{folder}/{ctx.stageId():05d}-{ctx.partitionId():06d}-{ctx.taskAttemptId():010d}{suffix}"
 
