@@ -16,12 +16,18 @@ partners have c common shingles among their first s - o + c:
 The boundary is the size with the smallest cost over the corpus' histogram of
 set sizes; a list entry costs ``SCAN`` subset keys.
 
-Candidates of a list are first the pairs with its first member. Links found by
-them are joined to components, and only lists that still hold several
-components give their other pairs, so a large group of near copies costs about
-one pair per member and list, and no link between components is lost. Pairs
-are cut by a bound on the symmetric difference (parity bitmaps, exact), and
-the rest is decided by intersecting the whole sets.
+Every entry knows how many rarer shingles its set has in front. The smaller set
+of a pair needs fewer of its first shingles (overlap at least 18/19 of its
+size), so lists pair these index entries with all others, and the shingles in
+front bound the overlap that is still possible.
+
+Candidates of a list are first the pairs with its foremost member (the one with
+the fewest rarer shingles, as the least edited of a group of copies). Links
+found by them are joined to components, and only lists that still hold several
+components give their other pairs, across components, so a large group of near
+copies costs about one pair per member and list, and no link between
+components is lost. Pairs are cut by a bound on the symmetric difference
+(parity bitmaps, exact), and the rest is decided by intersecting whole sets.
 
 Shingles and sets are told apart by 64-bit hashes.
 
@@ -36,14 +42,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegraph.llm import store, words
 from lakegraph.llm.components import components
 
 SIZE, PERCENT = 3, 90
-SKETCH, BLOCKS = 1 << 20, 64
+SKETCH, BLOCKS = 1 << 22, 64
 SCAN = 4
 BITS = 1024
 BLOOM = 1 << 23
@@ -54,6 +60,14 @@ def need(n):
     return -(-PERCENT * n // 100)
 
 
+def overlap(total):
+    """Smallest overlap of two linked sets whose sizes add up to ``total``;
+    a Column or a number."""
+    if isinstance(total, Column):
+        return F.ceil(F.lit(PERCENT) * total / F.lit(100.0 + PERCENT) - F.lit(1e-9))
+    return -(-PERCENT * total // (100 + PERCENT))
+
+
 class Sets:
     """Distinct shingles of each row of a flat batch, sorted by row and hash."""
 
@@ -89,31 +103,31 @@ class Sets:
         cell = self.row * BITS + (self.h >> words.U64(54)).astype(np.int64) % BITS
         return np.packbits((np.bincount(cell, minlength=rows * BITS) & 1).astype(np.uint8).reshape(rows, BITS), axis=1)
 
-    def keys(self, sketch: np.ndarray, light: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, key) of all subset keys and list keys."""
+    def keys(self, sketch: np.ndarray, light: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, key, place) of all subset keys and list keys; place is the
+        number of the set's shingles that come before the key's last one,
+        without the key's own."""
         rank_key = (np.minimum(sketch[(self.h % words.U64(SKETCH)).astype(np.int64)], (1 << 20) - 1).astype(words.U64) << words.U64(44)) \
             | (words.mix(self.h) >> words.U64(20))
         order = np.lexsort((rank_key, self.row))        # stable: equal keys stay in hash order
         token, row = self.h[order], self.row[order]
         place = np.arange(len(token)) - self.first[:-1][row]
         n = self.n[row]
-        linked = n > 8                                  # smaller sets only have equal partners
-        slack = n - need(n)
-        lists = linked & (n >= need(light)) & (place < slack + 1)
-        keys, rows = [words.mix(token[lists] + words.U64(1))], [row[lists]]
-        subset = linked & (n <= light) & (place < slack + 2)
-        depth = int((slack[subset] + 2).max()) if subset.any() else 0
+        lists = (n > 8) & (n >= need(light)) & (place < n - need(n) + 1)     # smaller sets only have equal partners
+        keys, rows, places = [words.mix(token[lists] + words.U64(1))], [row[lists]], [place[lists]]
         start, take = self.first[:-1], self.n - need(self.n) + 2
         small = (self.n > 8) & (self.n <= light)
+        depth = int(take[small].max()) if small.any() else 0
         for i in range(depth):
             for j in range(i + 1, depth):
                 own = np.flatnonzero(small & (take > j))
                 x, y = token[start[own] + i], token[start[own] + j]
                 keys.append(words.mix(np.minimum(x, y) * words.U64(0x9FB21C651E98DF25) + np.maximum(x, y)))
                 rows.append(own)
-        row, key = np.concatenate(rows), np.concatenate(keys)
+                places.append(np.full(len(own), j - 1))
+        row, key, place = np.concatenate(rows), np.concatenate(keys), np.concatenate(places)
         order = np.argsort(row, kind="stable")
-        return row[order], key[order].view(np.int64)
+        return row[order], key[order].view(np.int64), place[order]
 
 
 _MADE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("v", pa.int64()), ("block", pa.int32()), ("counts", pa.binary())])
@@ -171,23 +185,25 @@ def boundary(sizes: list[tuple[int, int]]) -> int:
 
 
 def _vertices(docs: DataFrame, sketch: np.ndarray, light: int, size: int) -> DataFrame:
-    """(v, n, doc, bitmap, keys) of each distinct set with possible partners."""
+    """(v, n, doc, bitmap, keys, places) of each distinct set that may have
+    partners."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row, end, data, offs in words.chunks(b["text"]):
                 s = Sets(data, offs, size)
-                rows, keys = s.keys(sent.value, light)
-                at = np.searchsorted(rows, np.arange(end - row + 1))
+                rows, keys, places = s.keys(sent.value, light)
+                at = pa.array(np.searchsorted(rows, np.arange(end - row + 1)), pa.int32())
                 out = pa.RecordBatch.from_arrays(
                     [pa.array(s.fingerprints()), pa.array(s.n, pa.int64()), b["doc_id"].slice(row, end - row),
                      pa.array([x.tobytes() for x in s.bitmaps()], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys))], names=["v", "n", "doc", "bitmap", "keys"])
+                     pa.ListArray.from_arrays(at, pa.array(keys)), pa.ListArray.from_arrays(at, pa.array(places, pa.int32()))],
+                    names=["v", "n", "doc", "bitmap", "keys", "places"])
                 yield out.filter(pa.array(s.n > 8))
 
-    made = docs.select("doc_id", "text").mapInArrow(run, "v long, n long, doc long, bitmap binary, keys array<long>")
-    return made.groupBy("v").agg(F.first("n").alias("n"), F.min("doc").alias("doc"), F.first("bitmap").alias("bitmap"), F.first("keys").alias("keys"))
+    made = docs.select("doc_id", "text").mapInArrow(run, "v long, n long, doc long, bitmap binary, keys array<long>, places array<int>")
+    return made.groupBy("v").agg(F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("n", "bitmap", "keys", "places")])
 
 
 def _near(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -203,7 +219,7 @@ def _near(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
             total = b["na"].to_numpy() + b["nb"].to_numpy()
             ma, mb = (words.flat(b[c])[0].reshape(b.num_rows, -1) for c in ("ma", "mb"))
             apart = np.bitwise_count(ma ^ mb).sum(axis=1, dtype=np.int64)
-            most = total - 2 * -(-PERCENT * total // (100 + PERCENT))
+            most = total - 2 * overlap(total)
             yield b.select(["a", "b"]).filter(pa.array(apart <= most))
 
     return x.filter("100 * least(na, nb) >= 90 * greatest(na, nb)").select("a", "b", "na", "nb", "ma", "mb") \
@@ -265,20 +281,26 @@ def similar(docs: DataFrame, size: int = SIZE) -> DataFrame:
     sizes = [(r.n, r["count"]) for r in made.filter("n <= 400").groupBy("n").count().collect()]     # at most 401 rows
     light = boundary(sizes)
     vertices = store.saved(_vertices(docs, _sketch(made), light, size), "vertices")
-    entries = vertices.select("v", "n", F.explode("keys").alias("key"))
-    # lists of two or more, with their first member
-    heads = entries.groupBy("key").agg(F.min(F.struct("n", "v")).alias("head"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    lists = store.saved(entries.join(heads, "key").select("key", "v", "n", "many", F.col("head.v").alias("head")), "lists")
+    entries = vertices.select("v", "n", F.explode(F.arrays_zip("keys", "places")).alias("e")) \
+        .select("v", "n", F.col("e.keys").alias("key"), F.col("e.places").alias("place")) \
+        .withColumn("index", F.col("place") <= F.col("n") - overlap(F.col("n") * 2))
+    # lists of two or more, with their foremost member
+    heads = entries.groupBy("key").agg(F.min(F.struct("place", "n", "v")).alias("head"), F.count(F.lit(1)).alias("many"),
+                                       F.max("index").alias("some")).filter("many > 1 and some")
+    lists = store.saved(entries.join(heads, "key").select("key", "v", "n", "place", "index", "many", F.col("head.v").alias("head")), "lists")
     stars = store.saved(_near(lists.filter("v != head").select(F.col("head").alias("a"), F.col("v").alias("b")).distinct(), vertices), "pairs")
     links = store.saved(_verified(stars, docs, vertices, size), "links")
     label = components(links)
     # lists of three or more that hold several components give their other pairs
-    rest = lists.filter("many > 2").select("key", "v", "n", "head").join(label, "v", "left") \
-        .withColumn("label", F.coalesce("label", "v"))
+    rest = lists.filter("many > 2").drop("many").join(label, "v", "left").withColumn("label", F.coalesce("label", "v"))
     mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
-    rest = store.saved(rest.join(mixed, "key", "left_semi").filter("v != head"), "mixed")
-    x, y = (rest.select("key", F.col("v").alias(c), F.col("n").alias(f"n{c}"), F.col("label").alias(f"l{c}")) for c in "ab")
-    others = x.join(y, "key").filter("a < b and la != lb and 100 * least(na, nb) >= 90 * greatest(na, nb)").select("a", "b").distinct()
+    rest = store.saved(rest.join(mixed, "key", "left_semi").filter("v != head").drop("head"), "mixed")
+    x = rest.filter("index").select("key", *[F.col(c).alias(f"{c}_a") for c in ("v", "n", "place", "label")])
+    y = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("v", "n", "place", "label")])
+    front = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    others = x.join(y, "key").filter((F.col("label_a") != F.col("label_b")) & (F.struct("n_a", "v_a") < F.struct("n_b", "v_b"))
+                                     & (100 * F.col("n_a") >= PERCENT * F.col("n_b")) & (front >= overlap(F.col("n_a") + F.col("n_b")))) \
+        .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct()
     more = store.saved(_near(others, vertices), "pairs")
     if more.limit(1).count():
         links = store.saved(links.unionByName(_verified(more, docs, vertices, size)).distinct(), "links")
