@@ -87,12 +87,13 @@ def run_graph(spark: SparkSession, tables: str | None, out: str, k: int = 5,
         written[f"nodes_{label}"] = _save(frame, out, f"nodes_{label}")
     for etype, e in pg.edges.items():
         written[f"edges_{etype}"] = _save(e.frame, out, f"edges_{etype}")
+    g = sg.stored_graph(spark, written, g.batch_key)        # from here on the saved tables are read
+    pg = g.property_graph()
     written["node_counts"] = _save(graph.node_counts(pg), out, "node_counts")
     written["edge_counts"] = _save(graph.edge_counts(pg), out, "edge_counts")
-    written["key_violations"] = _save(
-        graph.key_violations(g.batches, g.batch_key), out, "key_violations")
-    orders_pred = sg.high_delayed() if tables is None else sg.high_delayed_codes()
-    truth = match.pattern_3hop(g, orders_pred, sg.failed(), sg.high_risk())
+    sources = sg.demo_sources(spark) if tables is None else sg.node_sources(spark, tables)
+    written["key_report"] = _save(graph.label_key_report(sources), out, "key_report")
+    truth = match.pattern_3hop(g, sg.high_delayed(), sg.failed(), sg.high_risk())
     written["exact_answer"] = _save(truth.orderBy("oid"), out, "exact_answer")
     if tables is None:
         return written
@@ -100,7 +101,7 @@ def run_graph(spark: SparkSession, tables: str | None, out: str, k: int = 5,
     emb = t.embeddings
     written["vector_audit"] = _save(vectors.vector_audit(emb, "embedding", 64), out, "vector_audit")
     questions = vectors.centroids(emb, "label", "embedding")
-    hits = vectors.knn_exact(emb, "vec_id", "embedding", questions, "label", "centroid", k)
+    hits = vectors.knn_exact(emb, "vec_id", "embedding", questions, "label", "centroid", k, 64)
     written["hits"] = _save(hits, out, "hits")
     hits = spark.read.parquet(written["hits"])
     part = t.part.select(F.col("p_partkey").alias("vec_id"), "p_name", "p_type")
@@ -122,7 +123,9 @@ def run_graph(spark: SparkSession, tables: str | None, out: str, k: int = 5,
     truth_ids = answer.select(F.inline(F.array(
         F.struct(F.lit("vector").alias("method"), F.col("batch_part").alias("item_id")),
         F.struct(F.lit("graph").alias("method"), F.col("oid").alias("item_id")))))
-    written["retrieval_eval"] = _save(evaluate.retrieval_eval(retrieved, truth_ids), out, "retrieval_eval")
+    asked = questions.select(F.col("label").alias("query_id"), F.explode(F.array(F.lit("vector"), F.lit("graph"))).alias("method"))
+    written["retrieval_eval"] = _save(evaluate.retrieval_eval(retrieved, truth_ids, asked), out, "retrieval_eval")
+    written["retrieval_missing"] = _save(evaluate.missing_items(retrieved, truth_ids, asked), out, "retrieval_missing")
     return written
 
 

@@ -10,25 +10,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def dot(a: str | Column, b: str | Column) -> Column:
-    """Dot product of two numeric arrays, accumulated in double."""
-    return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
 def norm(a: str | Column) -> Column:
     return F.sqrt(F.aggregate(col(a), F.lit(0.0).cast("double"),
                               lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
-def cosine(a: str | Column, b: str | Column) -> Column:
-    """Cosine similarity; null when either vector has zero norm."""
-    den = norm(a) * norm(b)
-    return F.when(den > 0, dot(a, b) / den)
-
-
-
-
 def py_str(c: str | Column) -> Column:
     """Text of a value as a Python f-string prints it: null becomes 'None'."""
     return F.coalesce(col(c).cast("string"), F.lit("None"))

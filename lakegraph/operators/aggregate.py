@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegraph.session import broadcast_if_small
-
 
 def monthly_average(df: DataFrame, ts_col: str, value_col: str,
                     name: str = "average_fare") -> DataFrame:
@@ -22,19 +20,18 @@ def avg_by_key(df: DataFrame, key: str, value_col: str,
 
 
 def join_lookup(facts: DataFrame, fact_key: str, lookup: DataFrame, lookup_key: str,
-                lenient: bool = True, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                lenient: bool = True) -> DataFrame:
     """Inner join of a numeric key to a lookup whose key is text.
 
     The text key is cast explicitly to the fact key's type; with ``lenient``
     a malformed key (``'xx'``) becomes null and simply matches nothing
     instead of failing the job under ANSI mode. Both key columns are kept.
-    The lookup is broadcast only when a bounded count proves it small.
+    The planner and adaptive execution choose the join by measured sizes.
     """
     key_type = facts.schema[fact_key].dataType.simpleString()
     lk = F.col(lookup_key)
     typed = lk.try_cast(key_type) if lenient else lk.cast(key_type)
     lu = lookup.withColumn("__lk", typed)
-    lu = broadcast_if_small(lu, max_broadcast_rows)
     return facts.join(lu, facts[fact_key] == F.col("__lk"), "inner").drop("__lk")
 
 

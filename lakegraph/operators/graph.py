@@ -44,10 +44,15 @@ class PropertyGraph:
 
 
 def project_nodes(df: DataFrame, key: list[str], props: dict[str, Column | str]) -> DataFrame:
-    """One node per row: key columns plus the listed properties (renamed)."""
-    cols = [F.col(k) for k in key]
-    cols += [(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in props.items()]
-    return df.select(*cols)
+    """One node per key: key columns plus the listed properties (renamed).
+
+    Rows that share a key are one node (``MERGE`` on the key). Rows have no
+    order, so where they differ the largest property tuple wins, column by
+    column from the left, any value over null. A null key makes no node.
+    """
+    made = [(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in props.items()]
+    rows = df.select(*[F.col(k) for k in key], F.struct(*made).alias("__p")).dropna(subset=key)
+    return rows.groupBy(*key).agg(F.max("__p").alias("__p")).select(*key, *[F.col(f"__p.{n}").alias(n) for n in props])
 
 
 def build_edges(src_rows: DataFrame, src_cols: list[str], fk_cols: list[str],
@@ -94,6 +99,23 @@ def key_violations(df: DataFrame, key: list[str]) -> DataFrame:
               .filter(F.col("n") > 1))
 
 
+def label_key_report(sources: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """One row per label: rows of its source, distinct keys, repeated keys and
+    null keys, counted before any rows are merged."""
+    parts = []
+    for label, (df, key) in sources.items():
+        null = F.lit(False)
+        for k in key:
+            null = null | F.col(k).isNull()
+        per_key = df.select(*key, null.alias("__null")).groupBy(*key, "__null").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"), F.count_if(~F.col("__null")).alias("n_keys"),
+            F.count_if(~F.col("__null") & (F.col("n") > 1)).alias("n_repeated"),
+            F.coalesce(F.sum(F.when(F.col("__null"), F.col("n"))), F.lit(0)).cast("long").alias("n_null"))
+            .select(F.lit(label).alias("label"), "n_rows", "n_keys", "n_repeated", "n_null"))
+    return _union(parts)
+
+
 def drop_duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     """Enforce uniqueness: keep one row per key."""
     return df.dropDuplicates(key)
@@ -132,22 +154,28 @@ def upsert(base: DataFrame, updates: DataFrame, key: list[str],
            check_unique: bool = False) -> DataFrame:
     """Merge ``updates`` into ``base`` by key (``MERGE ... SET``).
 
-    Where an update row exists its listed columns win, even when null; base
-    rows without an update are kept; update rows without a base row are
-    inserted. One full outer join on the key: both sides are shuffled by key
-    once, and AQE splits a skewed key partition. Two update rows for one key
-    make the merge ambiguous; ``check_unique`` rejects them first (one
-    aggregation over the updates, stopping at the first repeated key).
+    Where an update row exists its listed columns win, even when null; all
+    other base columns, and base rows without an update, stay as they are;
+    update rows without a base row are inserted. Update rows that share a key
+    are one update first (the largest tuple, as in ``project_nodes``), in the
+    partitioning the join uses. One full outer join on the key; adaptive
+    execution splits a skewed partition. ``check_unique`` makes repeated
+    update keys an error instead.
     """
     if check_unique and key_violations(updates, key).limit(1).count() > 0:
         raise ValueError(f"updates repeat a key {key}: the merge would be ambiguous")
     columns = columns or [c for c in base.columns if c not in key]
-    b = base.select(*key, *[F.col(c).alias(f"__b_{c}") for c in columns], F.lit(True).alias("__b"))
-    u = updates.select(*key, *[F.col(c).alias(f"__u_{c}") for c in columns], F.lit(True).alias("__u"))
+    b = base.select(*key, F.struct(*[c for c in base.columns if c not in key]).alias("__b"))
+    u = updates.select(*key, F.struct(*columns).alias("__u")).groupBy(*key).agg(F.max("__u").alias("__u"))
     j = b.join(u, on=key, how="full_outer")
     has_u = F.col("__u").isNotNull()
     out = [F.col(k) for k in key]
-    out += [F.when(has_u, F.col(f"__u_{c}")).otherwise(F.col(f"__b_{c}")).alias(c) for c in columns]
+    for c in base.columns:
+        if c in columns:
+            out.append(F.when(has_u, F.col(f"__u.{c}")).otherwise(F.col(f"__b.{c}")).alias(c))
+        elif c not in key:
+            out.append(F.col(f"__b.{c}").alias(c))
+    out += [F.col(f"__u.{c}").alias(c) for c in columns if c not in base.columns]
     if change_col:
         out.append(F.when(F.col("__b").isNull(), "insert")
                     .when(has_u, "update").otherwise("keep").alias(change_col))
@@ -159,43 +187,3 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def upsert_table(spark, table_dir: str, updates: DataFrame, key: list[str],
-                 fmt: str = "parquet", check_unique: bool = False) -> str:
-    """Upsert into a table kept as numbered versions under ``table_dir``.
-
-    Spark cannot overwrite the files a plan is reading, so the merge of the
-    current version with ``updates`` is written as the next version
-    (``v000001``, ...) and then the one-line pointer ``_latest`` is replaced:
-    readers that resolve the pointer see either the old or the new version,
-    never a half-written one. Returns the new version's path.
-    """
-    import os
-
-    latest = latest_version(spark, table_dir)
-    if latest is None:
-        merged = updates.withColumn("change", F.lit("insert"))
-        n = 0
-    else:
-        base = spark.read.format(fmt).load(latest)
-        merged = upsert(base.drop("change") if "change" in base.columns else base, updates, key,
-                        check_unique=check_unique)
-        n = int(os.path.basename(latest)[1:])
-    name = f"v{n + 1:06d}"
-    out = os.path.join(table_dir, name)
-    merged.write.format(fmt).mode("errorifexists").save(out)
-    spark.createDataFrame([(name,)], "value string").coalesce(1) \
-         .write.mode("overwrite").text(os.path.join(table_dir, "_latest"))
-    return out
-
-
-def latest_version(spark, table_dir: str) -> str | None:
-    """Path of the version the ``_latest`` pointer names (None before the first)."""
-    import os
-
-    try:
-        row = spark.read.text(os.path.join(table_dir, "_latest")).first()
-    except Exception:  # noqa: BLE001  (no pointer yet)
-        return None
-    return os.path.join(table_dir, row.value) if row else None

@@ -36,8 +36,13 @@ class SupplyGraph:
     stored_in: DataFrame
     batch_key: list[str]
     # CONTAINS before de-duplication (a fact table can repeat a pair); when
-    # given, matches de-duplicate after filtering instead of before
+    # given, a match de-duplicates the key columns of the rows it needs
     contains_rows: DataFrame | None = None
+    # the same rows with the stored columns a batch predicate can be written on
+    # (see ``any_row_pred`` of pattern_3hop)
+    batch_rows: DataFrame | None = None
+    # suppliers without joined properties, with their stored columns
+    supplier_rows: DataFrame | None = None
     # the batch keys (optionally with their to-one references supplier_id /
     # warehouse_id), when cheaper to produce than the node frame
     batch_keys: DataFrame | None = None
@@ -46,6 +51,8 @@ class SupplyGraph:
     # filtered scan, which lets Spark build a runtime Bloom filter from it
     # and prune the CONTAINS rows before they are shuffled
     order_rows: DataFrame | None = None
+    # product by (a part of) the batch key
+    products: DataFrame | None = None
 
     def property_graph(self):
         from lakegraph.operators.graph import EdgeType, PropertyGraph
@@ -80,11 +87,18 @@ def _to_one(g: SupplyGraph, fk: str) -> DataFrame:
 
 def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
                  batch_pred: Column | None = None, supplier_pred: Column | None = None,
-                 warehouse_pred: Column | None = None) -> DataFrame:
+                 warehouse_pred: Column | None = None, any_row_pred: Column | None = None,
+                 supplier_row_pred: Column | None = None) -> DataFrame:
     """``(o)-[:CONTAINS]->(b)-[:MANUFACTURED_BY]->(sup), (b)-[:STORED_IN]->(w) WHERE ...``
 
     Returns one row per matching path: oid, cust, <batch key>, prod,
     sup_name, risk, warehouse.
+
+    ``any_row_pred`` (with ``g.batch_rows``) says the same as ``batch_pred`` on
+    the stored rows of a batch: the batch matches when any of its rows does.
+    Then matching batches are the distinct keys of the filtered rows, and the
+    filter, like ``supplier_row_pred`` on the stored supplier columns, reaches
+    the scan; no aggregate over all rows is needed.
     """
     bk = g.batch_key
     op = order_pred if order_pred is not None else _true()
@@ -92,28 +106,33 @@ def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
     o_ids = o_src.filter(op).select(F.col("order_id").alias("oid"))
     o_names = g.orders.filter(op).select(F.col("order_id").alias("oid"), F.col("customer").alias("cust"))
     refs = ["supplier_id", "warehouse_id"]
-    refs_on_batch = all(c in g.batches.columns for c in refs)
-    b = g.batches.filter(batch_pred if batch_pred is not None else _true()) \
-        .select(*bk, F.col("product").alias("prod"), *(refs if refs_on_batch else []))
-    s = g.suppliers.filter(supplier_pred if supplier_pred is not None else _true()) \
-        .select("supplier_id", F.col("name").alias("sup_name"), F.col("risk_tier").alias("risk"))
+    suppliers = g.suppliers.filter(supplier_pred if supplier_pred is not None else _true())
+    s = suppliers.select("supplier_id", F.col("name").alias("sup_name"), F.col("risk_tier").alias("risk"))
     w = g.warehouses.filter(warehouse_pred if warehouse_pred is not None else _true()) \
         .select("warehouse_id", F.col("location").alias("warehouse"))
 
     # batch side first: batches that pass their own and their supplier's test
-    if refs_on_batch:
-        bsw = b.join(s, "supplier_id").join(w, "warehouse_id")
-    else:
-        bs = b.join(g.made_by, bk).join(s, "supplier_id")
-        bsw = bs.join(g.stored_in, bk).join(w, "warehouse_id")
-    # then the (largest) edge set, restricted to matching orders; repeated
-    # pairs are dropped after the filters (on the matching rows only)
-    if g.contains_rows is not None:
-        ob = g.contains_rows.withColumnRenamed("order_id", "oid").join(o_ids, "oid")
-        paths = ob.join(bsw, bk).dropDuplicates(["oid", *bk])
+    if any_row_pred is not None and g.batch_rows is not None:
+        rows = g.batch_rows.filter(any_row_pred)
+        if supplier_row_pred is not None and g.supplier_rows is not None:
+            rows = rows.join(g.supplier_rows.filter(supplier_row_pred).select("supplier_id"), "supplier_id", "left_semi")
+        keys = rows.select(*bk, *refs).distinct()
+        bsw = keys.join(s, "supplier_id").join(w, "warehouse_id").drop(*refs)
+        edges = g.contains_rows.withColumnRenamed("order_id", "oid").join(bsw.select(*bk), bk, "left_semi")
+        pairs = edges.join(o_ids, "oid", "left_semi").distinct()
+        products = g.products if g.products is not None else g.batches.select(*bk, "product")
+        on = [c for c in bk if c in products.columns]
+        paths = pairs.join(bsw, bk).join(products.withColumnRenamed("product", "prod"), on, "left")
     else:
-        ob = g.contains.withColumnRenamed("order_id", "oid").join(o_ids, "oid")
-        paths = ob.join(bsw, bk)
+        refs_on_batch = all(c in g.batches.columns for c in refs)
+        b = g.batches.filter(batch_pred if batch_pred is not None else _true()) \
+            .select(*bk, F.col("product").alias("prod"), *(refs if refs_on_batch else []))
+        if refs_on_batch:
+            bsw = b.join(s, "supplier_id").join(w, "warehouse_id")
+        else:
+            bs = b.join(g.made_by, bk).join(s, "supplier_id")
+            bsw = bs.join(g.stored_in, bk).join(w, "warehouse_id")
+        paths = _edges_of(g).withColumnRenamed("order_id", "oid").join(o_ids.distinct(), "oid").join(bsw, bk)
     # customer names only for the matched paths
     paths = paths.join(o_names, "oid")
     return paths.select("oid", "cust", *bk, "prod", "sup_name", "risk", "warehouse")
@@ -124,17 +143,23 @@ def expand_inner(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
     return _seed_edges(seeds, g).join(g.orders, "order_id")
 
 
+def _edges_of(g: SupplyGraph) -> DataFrame:
+    """CONTAINS with one row per (order, batch), key columns only."""
+    return g.contains if g.contains_rows is None else g.contains_rows.distinct()
+
+
 def _seed_edges(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
-    """Seeds joined to their CONTAINS edges, one row per (seed row, order).
+    """Seeds joined to their CONTAINS edges: one row per (seed row, order).
 
-    With raw edge rows the join runs first and repeated pairs are dropped
-    afterwards, inside the join's partitioning on the batch key.
+    Edge pairs are made distinct on their keys first (map-side partial), for
+    the seeds' batches only; equal seed rows stay as many rows, in every
+    input form.
     """
     bk = g.batch_key
     if g.contains_rows is None:
         return seeds.join(g.contains, bk)
-    j = seeds.join(g.contains_rows, bk)
-    return j.dropDuplicates(list(seeds.columns) + ["order_id"])
+    near = g.contains_rows.join(seeds.select(*bk), bk, "left_semi").distinct()
+    return seeds.join(near, bk)
 
 
 def expand_optional(seeds: DataFrame, g: SupplyGraph) -> DataFrame:

@@ -1,13 +1,13 @@
 """Profiles of a table: counts, coverage, summary statistics, quantiles,
 histograms and 2-D densities, each a distributed aggregation.
 
-Only bounded scalars ever reach the driver (the min and max that fix the
-bin edges); values are never fetched to plot them.
+Bin edges and brackets are scalar subqueries of the same plan; no value is
+fetched to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -67,129 +67,141 @@ def schema_profile(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """(column_name, n_distinct): exact distinct counts of every column. Values
+    are collapsed per column first, so repeated values are few rows."""
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
+                                          for c in df.columns])).alias("p")).select("p.*").distinct()
+    return pairs.groupBy("column_name").agg(F.count("v").alias("n_distinct"))
+
+
 # ---------------------------------------------------------------- quantiles
 
+def _numbers(df: DataFrame, col: str) -> DataFrame:
+    """The column as doubles ``v``, without null and NaN."""
+    v = F.col(col).cast("double")
+    return df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
 def quantiles_approx(df: DataFrame, col: str, probs: list[float],
                      relative_error: float = 0.01) -> DataFrame:
     """``approxQuantile`` as a frame: one (quantile, value) row per probability.
 
     ``percentile_approx`` keeps a bounded sketch per partition (accuracy =
     1 / relative error) and merges sketches, so memory does not grow with N.
+    Null and NaN are left out, as ``approxQuantile`` does.
     """
     acc = max(1, int(round(1.0 / relative_error)))
-    arr = df.agg(F.percentile_approx(F.col(col).cast("double"), list(probs), acc).alias("v"))
+    arr = _numbers(df, col).agg(F.percentile_approx("v", list(probs), acc).alias("v"))
     return arr.select(F.posexplode("v").alias("i", "value")).select(
         F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1).alias("quantile"),
         "value")
 
 
-def quantiles_exact(df: DataFrame, col: str, probs: list[float],
-                    n_buckets: int | None = None) -> DataFrame:
+def rank_errors(df: DataFrame, col: str, quantiles: DataFrame) -> DataFrame:
+    """(quantile, rank_error): how far each value's rank is from its target,
+    as a share of the rows; 0 when the target lies within the value's ties.
+    ``quantiles`` holds a few (quantile, value) rows, read as one array."""
+    pairs = quantiles.agg(F.sort_array(F.collect_list(F.struct("quantile", "value")))).scalar()
+    rows = _numbers(df, col).select("v", F.explode(pairs).alias("t"))
+    per = rows.groupBy(F.col("t.quantile").alias("quantile")).agg(
+        F.count_if(F.col("v") < F.col("t.value")).alias("below"),
+        F.count_if(F.col("v") <= F.col("t.value")).alias("upto"), F.count(F.lit(1)).alias("n"))
+    target = F.col("quantile") * F.col("n")
+    return per.select("quantile", (F.greatest(F.lit(0.0), F.col("below") - target, target - F.col("upto")) / F.col("n"))
+                      .alias("rank_error"))
+
+
+def quantiles_exact(df: DataFrame, col: str, probs: list[float], accuracy: int = 10_000) -> DataFrame:
     """Exact discrete quantiles: for each p the smallest value v with
     ``count(x <= v) >= ceil(p * n)`` (first value when that rank is < 1).
 
-    Distributed and skew-proof: values are first collapsed to (value, count)
-    pairs by a partial + final aggregation, so a value held by a third of all
-    rows is one row. The distinct values are range-partitioned; per-range
-    totals (``n_buckets`` rows) give each range's starting rank, and a window
-    inside each range finds the values where the running count crosses each
-    target rank. No step holds more than one range of distinct values.
-    ``n_buckets`` defaults to the session's shuffle partition count, which is
-    sized to the data on a cluster (see ``session.scale_conf``).
+    Pass 1 brackets each target with a sketch of known rank error
+    (1 / ``accuracy`` of the rows, bracket twice as wide on both sides). Pass 2
+    counts the rows below and inside each bracket; the target must lie inside.
+    Only values inside a bracket are collapsed to (value, count) and ranked,
+    about 4 / ``accuracy`` of the rows per target, so nothing depends on how
+    rows are partitioned. Null and NaN are left out.
     """
-    spark = df.sparkSession
-    if n_buckets is None:
-        n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    v = F.col(col).cast("double")
-    counts = df.select(v.alias("v")).filter(F.col("v").isNotNull()) \
-               .groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    ranged = counts.repartitionByRange(n_buckets, "v").withColumn("b", F.spark_partition_id())
-    per_b = ranged.groupBy("b").agg(F.sum("c").alias("bc"))
-    w_all = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_b.select("b", F.coalesce(F.sum("bc").over(w_all), F.lit(0)).alias("start"),
-                          F.sum("bc").over(Window.partitionBy()).alias("n"))
-    w_in = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (ranged.join(F.broadcast(starts), "b")   # n_buckets rows: bounded
-                 .withColumn("hi", F.col("start") + F.sum("c").over(w_in))
-                 .withColumn("lo", F.col("hi") - F.col("c")))
-    # target rank r = max(1, ceil(p * n)); keep the value whose run (lo, hi] holds r
-    ranks = [F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(float(p)) * F.col("n")).cast("long"))
-             for p in probs]
-    holds = [(F.col("lo") < r) & (r <= F.col("hi")) for r in ranks]
-    any_hold = holds[0]
-    for h in holds[1:]:
-        any_hold = any_hold | h
-    # plain (code-generated) comparisons first; the array step sees only the hits
-    targets = F.array(*[F.struct(F.lit(float(p)).alias("quantile"), h.alias("hit"))
-                        for p, h in zip(probs, holds)])
-    return (cum.filter(any_hold)
-               .select(F.col("v").alias("value"), F.explode(targets).alias("t"))
-               .filter(F.col("t.hit"))
-               .select(F.col("t.quantile").alias("quantile"), "value"))
+    vals = _numbers(df, col)
+    margin = 2.0 / accuracy
+    edges = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = vals.agg(F.percentile_approx("v", edges, accuracy)).scalar()
+    v = F.col("v")
+    below, inside = [], []
+    for i in range(len(probs)):
+        lo, hi = F.get(sketch, F.lit(2 * i)), F.get(sketch, F.lit(2 * i + 1))
+        below.append(v < lo)
+        inside.append((v >= lo) & (v <= hi))
+    counts = vals.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(f"b{i}") for i, c in enumerate(below)],
+                      *[F.count_if(c).alias(f"m{i}") for i, c in enumerate(inside)])
+    starts = []
+    for i, p in enumerate(probs):
+        rank = F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(float(p)) * F.col("n")).cast("long"))
+        held = (F.col(f"b{i}") < rank) & (rank <= F.col(f"b{i}") + F.col(f"m{i}"))
+        missed = F.raise_error(F.lit(f"quantile {p} is outside its bracket; raise accuracy")).cast("long")
+        starts.append(F.struct(F.lit(float(p)).alias("quantile"), rank.alias("rank"),
+                               F.when(held, F.col(f"b{i}")).otherwise(missed).alias("before")))
+    target = counts.filter("n > 0").select(F.array(*starts)).scalar()
+    which = F.explode(F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(inside)])))
+    few = vals.select(v, which.alias("i")).groupBy("i", "v").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = few.withColumn("t", F.get(target, F.col("i"))).withColumn("hi", F.col("t.before") + upto)
+    return ranked.filter((F.col("hi") - F.col("c") < F.col("t.rank")) & (F.col("t.rank") <= F.col("hi"))) \
+                 .select(F.col("t.quantile").alias("quantile"), F.col("v").alias("value"))
 
 
 # ---------------------------------------------------------------- histograms
 
-def _bounds(df: DataFrame, col: str) -> tuple[float | None, float | None]:
-    """Global min and max (two scalars to the driver) that fix the bin edges."""
-    r = df.agg(F.min(F.col(col).cast("double")).alias("lo"),
-               F.max(F.col(col).cast("double")).alias("hi")).first()
-    return r["lo"], r["hi"]
+def _range(df: DataFrame, *cols: str) -> Column:
+    """One scalar struct with lo and hi of each column, NaN left out."""
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        aggs += [F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+    return df.agg(*aggs).select(F.struct(*[F.col(f"{e}{i}") for i in range(len(cols)) for e in ("lo", "hi")])).scalar()
 
 
-def _bin_expr(col: str, lo: float, hi: float, bins: int):
+def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Equal-width bin in [0, bins-1]; the last bin is closed on the right;
     a single-valued column puts everything in bin 0."""
-    c = F.col(col).cast("double")
-    if hi == lo:
-        return F.lit(0).cast("int")
-    width = (hi - lo) / bins
-    return F.least(F.floor((c - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    width = (hi - lo) / F.lit(float(bins))
+    return F.when(hi == lo, F.lit(0)).otherwise(
+        F.least(F.floor((value - lo) / F.when(hi > lo, width)), F.lit(bins - 1))).cast("int")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """``plt.hist(values, bins)`` as a table: bin, bin_lo, bin_hi, count.
 
     Counting is one partial + final aggregation keyed by bin (at most
-    ``bins`` groups); empty bins are kept by joining the counts to the
-    ``bins``-row bin list.
+    ``bins`` groups); empty bins are kept. Null and NaN are left out; a column
+    without numbers gives no rows.
     """
-    spark = df.sparkSession
-    lo, hi = _bounds(df, col)
-    if lo is None:
-        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, count long")
-    counts = (df.filter(F.col(col).isNotNull())
-                .groupBy(_bin_expr(col, lo, hi, bins).alias("bin"))
-                .agg(F.count(F.lit(1)).alias("count")))
-    width = (hi - lo) / bins
-    edges = spark.range(bins).select(
+    edges = _range(df, col)
+    lo, hi = edges["lo0"], edges["hi0"]
+    counts = _numbers(df, col).groupBy(_bin(F.col("v"), lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    width = (hi - lo) / F.lit(float(bins))
+    all_bins = df.sparkSession.range(bins).filter(lo.isNotNull()).select(
         F.col("id").cast("int").alias("bin"),
-        (F.lit(lo) + F.col("id") * F.lit(width)).alias("bin_lo"),
-        F.when(F.col("id") == bins - 1, F.lit(hi))
-         .otherwise(F.lit(lo) + (F.col("id") + 1) * F.lit(width)).alias("bin_hi"))
-    return (edges.join(F.broadcast(counts), "bin", "left")     # <= bins rows
-                 .select("bin", "bin_lo", "bin_hi",
-                         F.coalesce("count", F.lit(0)).cast("long").alias("count")))
+        (lo + F.col("id") * width).alias("bin_lo"),
+        F.when(F.col("id") == bins - 1, hi).otherwise(lo + (F.col("id") + 1) * width).alias("bin_hi"))
+    return (all_bins.join(counts, "bin", "left")
+                    .select("bin", "bin_lo", "bin_hi", F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
 def density_2d(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
-    """Scatter plot as a table: count per (x bin, y bin), non-empty cells only."""
-    xlo, xhi = _bounds(df, x)
-    ylo, yhi = _bounds(df, y)
-    if xlo is None or ylo is None:
-        return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, count long")
-    both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    return both.groupBy(_bin_expr(x, xlo, xhi, bins).alias("x_bin"),
-                        _bin_expr(y, ylo, yhi, bins).alias("y_bin")) \
+    """Scatter plot as a table: count per (x bin, y bin), non-empty cells only.
+    One scan gives all four bounds, one counts; rows with null or NaN in
+    either column are left out of the counts."""
+    edges = _range(df, x, y)
+    xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
+    both = df.filter(xv.isNotNull() & yv.isNotNull() & ~F.isnan(xv) & ~F.isnan(yv))
+    return both.groupBy(_bin(xv, edges["lo0"], edges["hi0"], bins).alias("x_bin"),
+                        _bin(yv, edges["lo1"], edges["hi1"], bins).alias("y_bin")) \
                .agg(F.count(F.lit(1)).alias("count"))
 
 
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Pearson correlation, one row."""
-    return df.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("corr"),
-                  F.count(F.lit(1)).alias("n"))
-
-
-def sample_points(df: DataFrame, x: str, y: str, fraction: float, seed: int = 7) -> DataFrame:
-    """A seeded Bernoulli sample of points for plotting (the sampling is the feature)."""
-    return df.select(x, y).sample(False, fraction, seed)
+    """Pearson correlation and the number of pairs it uses, one row."""
+    xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
+    return df.agg(F.corr(xv, yv).alias("corr"), F.count_if(xv.isNotNull() & yv.isNotNull()).alias("n"))

@@ -1,33 +1,36 @@
 """Vector columns, their audit, and nearest-neighbour search.
 
-Exact top-k (``knn_exact``) scans the vector table once per block of
-queries: each task multiplies its Arrow batch of vectors by the (bounded,
-broadcast) query block with NumPy and keeps only the k best rows per query,
-so the shuffle that follows carries k rows per query per batch, never the
-Q x N score matrix. No join pairs queries with vectors.
-
-Approximate top-k (``knn_lsh``) hashes both sides with random projections
-(Spark ML ``BucketedRandomProjectionLSH`` on unit vectors, whose Euclidean
-order equals the cosine order), equi-joins the broadcast query hashes to the
-vector hashes, re-ranks candidates by exact cosine and hands every query with
-fewer than k candidates to ``knn_exact``, so each query gets k results.
+Exact top-k (``knn_exact``) deals the vectors over cells, gives every cell all
+queries, and multiplies the two blocks of each cell with NumPy; a cell sends k
+rows per query to the ranking, never a score matrix.
+
+Approximate top-k (``knn_cells``) clusters the vectors (Spark ML k-means over
+the whole table) and compares a query only with the vectors of its nearest
+clusters.
+
+Both take the declared dimension; vectors of another length, null or of zero
+norm take no part (``vector_audit`` reports them).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegraph.functions.exprs import norm
-from lakegraph.functions.vector_udfs import cosine_batch
+
+DIGITS = 12          # scores are rounded before ranking, so equal vectors tie
 
 
 def attach_vectors(nodes: DataFrame, node_key: str, vectors: DataFrame, vec_key: str,
-                   how: str = "inner") -> DataFrame:
-    """Set a vector property on nodes: one join by id (not one call per row)."""
+                   how: str = "left") -> DataFrame:
+    """Set a vector property on nodes: one join by id (not one call per row).
+    A node without a vector stays, with nulls."""
     return nodes.join(vectors.withColumnRenamed(vec_key, node_key), node_key, how)
 
 
@@ -59,92 +62,35 @@ def centroids(df: DataFrame, group_col: str, vec_col: str, out: str = "centroid"
               .select(group_col, vector_to_array("__m").alias(out))
 
 
+# fixed pattern: runs of characters that are no letter and no digit of any script
+NOT_WORD = "[^\\p{L}\\p{N}]+"
+
+
+def text_tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_tokens, n_terms): lower-case words of each text, and distinct ones."""
+    tok = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), NOT_WORD), lambda t: t != "")
+    return df.select(id_col, F.size(tok).alias("n_tokens"), F.size(F.array_distinct(tok)).alias("n_terms"))
+
+
 def text_vectors(df: DataFrame, id_col: str, text_col: str, num_features: int = 1 << 18,
                  min_doc_freq: int = 1) -> DataFrame:
     """Text -> unit-norm TF-IDF vectors with Spark ML (whole texts).
 
     Tokenizer -> HashingTF -> IDF -> Normalizer. Fitting IDF is one
-    distributed pass of document frequencies; transform is per row.
+    distributed pass of document frequencies; transform is per row. Words are
+    runs of letters and digits of any script.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 
     pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern="\\W+", toLowercase=True),
+        RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=NOT_WORD, toLowercase=True),
         HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features),
         IDF(inputCol="__tf", outputCol="__idf", minDocFreq=min_doc_freq),
         Normalizer(inputCol="__idf", outputCol="features", p=2.0),
     ])
-    from lakegraph.session import ensure_parallelism
-
-    src = ensure_parallelism(df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col)))
-    model = pipe.fit(src)
-    return model.transform(src).select(id_col, "features")
-
-
-# ------------------------------------------------------------------ exact kNN
-
-def _topk_partitions(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
-    """Per task: scores of each Arrow batch against the query block, folded
-    into a running top-k per query, emitted once when the task's batches are
-    done, so a task sends k rows per query whatever its size."""
-    qn = qmat / np.linalg.norm(qmat, axis=1, keepdims=True)
-    qdim = qmat.shape[1]
-    nq = len(qids)
-
-    def run(batches):
-        best_s: list = [None] * nq
-        best_i: list = [None] * nq
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            vecs = pdf[vec_col]
-            ok = vecs.map(lambda a: a is not None and len(a) == qdim).to_numpy(dtype=bool)
-            if not ok.any():
-                continue
-            ids = pdf[id_col].to_numpy()[ok]
-            m = np.stack(vecs[ok].to_numpy()).astype(np.float64)
-            nrm = np.linalg.norm(m, axis=1)
-            live = nrm > 0
-            if not live.any():
-                continue
-            ids, m, nrm = ids[live], m[live], nrm[live]
-            scores = (m @ qn.T) / nrm[:, None]            # n x q
-            n = len(ids)
-            kk = min(k, n)
-            # k-th best score per query, all queries at once; ties kept
-            kth = np.partition(scores, n - kk, axis=0)[n - kk] if kk < n else scores.min(axis=0)
-            for j in range(nq):
-                cand = np.nonzero(scores[:, j] >= kth[j])[0]
-                cs, ci = scores[cand, j], ids[cand]
-                if best_s[j] is not None:
-                    cs = np.concatenate([best_s[j], cs])
-                    ci = np.concatenate([best_i[j], ci])
-                order = np.lexsort((ci, -cs))[:k]          # score desc, id asc
-                best_s[j], best_i[j] = cs[order], ci[order]
-        have = [j for j in range(nq) if best_s[j] is not None]
-        if have:
-            yield pd.DataFrame({"query_id": np.concatenate([np.repeat(qids[j], len(best_s[j])) for j in have]),
-                                id_col: np.concatenate([best_i[j] for j in have]),
-                                "score": np.concatenate([best_s[j] for j in have])})
-    return run
-
-
-def _query_blocks(queries: DataFrame, qid_col: str, block: int):
-    """Yield the queries as local row lists of at most about ``block`` rows.
-
-    One bounded fetch proves the common case (all queries fit one block);
-    beyond it the queries are hashed into blocks and fetched block by block.
-    """
-    first = queries.limit(block + 1).collect()
-    if len(first) <= block:
-        yield first
-        return
-    total = queries.count()
-    nb = -(-total // block)
-    keyed = queries.withColumn("__blk", F.pmod(F.xxhash64(qid_col), F.lit(nb)))
-    for b in range(nb):
-        yield keyed.filter(F.col("__blk") == b).drop("__blk").collect()
+    src = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
+    return pipe.fit(src).transform(src).select(id_col, "features")
 
 
 def unit_interval(hits: DataFrame, col: str = "score") -> DataFrame:
@@ -153,117 +99,140 @@ def unit_interval(hits: DataFrame, col: str = "score") -> DataFrame:
     return hits.withColumn(col, (F.lit(1.0) + F.col(col)) / F.lit(2.0))
 
 
-def knn_exact(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
-              qid_col: str, qvec_col: str, k: int, block: int = 2048) -> DataFrame:
-    """Exact top-k by cosine for every query: (query_id, id, score, rank).
+# ------------------------------------------------------------------ exact kNN
 
-    Scores are raw cosine (see ``unit_interval`` for the [0, 1] scale).
-    Ties are broken by the smaller id. Query blocks of at most ``block``
-    vectors (a proven size) are shipped to the tasks; more queries just
-    mean more blocks, each one more scan of the vector table.
-    """
-    id_type = vectors.schema[id_col].dataType
-    qid_type = queries.schema[qid_col].dataType
-    schema = T.StructType([T.StructField("query_id", qid_type), T.StructField(id_col, id_type),
-                           T.StructField("score", T.DoubleType())])
-    src = vectors.select(id_col, vec_col)
-    parts = []
-    for rows in _query_blocks(queries.select(qid_col, qvec_col).filter(norm(qvec_col) > 0),
-                              qid_col, block):
-        if not rows:
-            continue
-        qids = np.array([r[0] for r in rows])
-        qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
-        parts.append(src.mapInPandas(_topk_partitions(qids, qmat, k, id_col, vec_col), schema))
-    if not parts:
-        return vectors.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+def _valid(c: str, dim: int) -> Column:
+    """What an index of this dimension accepts."""
+    return F.col(c).isNotNull() & (F.size(c) == dim) & (norm(c) > 0)
 
 
-# ------------------------------------------------------------------ LSH kNN
+def _unit(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Rows of a list column as unit vectors, from its flat value buffer."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    m = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
 
-def knn_lsh(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
-            qid_col: str, qvec_col: str, k: int, bucket_length: float | None = None,
-            num_tables: int = 4, seed: int = 17, max_queries: int = 2048,
-            max_broadcast_bytes: int = 64 * (1 << 20)) -> DataFrame:
-    """Approximate top-k: LSH candidates, exact re-rank, exact fallback.
 
-    Output rows as ``knn_exact``. A query whose buckets hold fewer than k
-    vectors is answered by ``knn_exact`` instead, so no query is short.
-    A unit vector's projection on a random direction spreads about 1/sqrt(d),
-    so the default bucket width is 2/sqrt(d): several buckets per hash table
-    instead of one bucket holding everything (recall@5 against the exact
-    search was 0.96-0.98 on the test embeddings with 4 tables).
+def _best(scores: np.ndarray, order_of_id: np.ndarray, k: int) -> np.ndarray:
+    """Rows of the k best scores, equal ones by id order."""
+    if len(scores) > k:
+        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+        keep = np.flatnonzero(scores >= kth)
+    else:
+        keep = np.arange(len(scores))
+    return keep[np.lexsort((order_of_id[keep], -scores[keep]))[:k]]
 
-    Up to ``max_queries`` query vectors (a bounded fetch) travel as a local
-    frame, broadcast when their hashed form fits ``max_broadcast_bytes``;
-    more queries stay distributed and the bucket join is a shuffle join
-    (AQE splits a bucket that holds a third of the vectors).
-    """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector, vector_to_array
 
-    from lakegraph.session import shared_dir
+def _ranked(found: DataFrame, id_col: str, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
 
-    spark = vectors.sparkSession
-    q = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("__q")) \
-               .filter(norm("__q") > 0)
-    small = q.limit(max_queries + 1).collect()
-    if len(small) <= max_queries:          # proven small: ship as a local frame
-        q = spark.createDataFrame(small, q.schema)
-    first = small[0] if small else q.first()
-    if first is None:
-        return knn_exact(vectors, id_col, vec_col, queries, qid_col, qvec_col, k)
-    dim = len(first[1])
-    if bucket_length is None:
-        bucket_length = 2.0 / float(np.sqrt(dim))
+def _hit_schema(vectors: DataFrame, id_col: str, queries: DataFrame, qid_col: str) -> T.StructType:
+    return T.StructType([T.StructField("query_id", queries.schema[qid_col].dataType),
+                         T.StructField(id_col, vectors.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
 
-    def valid(c):   # what an index of this dimension accepts
-        return F.col(c).isNotNull() & (F.size(c) == dim) & (norm(c) > 0)
 
+def knn_exact(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame, qid_col: str,
+              qvec_col: str, k: int, dim: int, cells: int | None = None) -> DataFrame:
+    """Exact top-k by cosine for every query: (query_id, id, score, rank).
+
+    Scores are raw cosine (see ``unit_interval`` for the [0, 1] scale).
+    Ties are broken by the smaller id. Vectors are dealt over ``cells`` cells
+    by hash (default: the session's shuffle partitions, which are sized to the
+    data), each cell gets all queries: one plan whatever the number of
+    queries. A cell holds its share of the vectors and all queries in memory;
+    for very many queries use ``knn_cells`` or more cells.
+    """
+    cells = cells or int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = _hit_schema(vectors, id_col, queries, qid_col)
+    names = schema.names
+    v = vectors.filter(_valid(vec_col, dim)).select(
+        F.col(id_col).alias("__id"), F.col(vec_col).alias("__v"),
+        F.pmod(F.xxhash64(id_col, vec_col), F.lit(cells)).cast("int").alias("__cell"))
+    q = queries.filter(_valid(qvec_col, dim)).select(
+        F.col(qid_col).alias("__qid"), F.col(qvec_col).alias("__q"),
+        F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("__cell"))
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, qids = left["__id"].combine_chunks(), right["__qid"].combine_chunks()
+        rows, qrows, found = [], [], []
+        if len(ids) and len(qids):
+            a, b = _unit(left["__v"], dim), _unit(right["__q"], dim)
+            order = np.argsort(np.argsort(ids.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+            for lo in range(0, len(b), 256):            # bounds the score block
+                s = np.round(a @ b[lo:lo + 256].T, DIGITS)
+                for j in range(s.shape[1]):
+                    best = _best(s[:, j], order, k)
+                    rows.append(best)
+                    qrows.append(np.full(len(best), lo + j))
+                    found.append(s[best, j])
+        cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
+        return pa.table([qids.take(pa.array(cat(qrows, np.int64))), ids.take(pa.array(cat(rows, np.int64))),
+                         pa.array(cat(found, np.float64))], names=names)
+
+    hits = v.groupBy("__cell").cogroup(q.groupBy("__cell")).applyInArrow(score, schema)
+    return _ranked(hits, id_col, k)
+
+
+# ------------------------------------------------------------ clustered kNN
+
+def probes(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame, qid_col: str,
+           qvec_col: str, k: int, dim: int, n_clusters: int = 400, n_probe: int = 80, seed: int = 17) -> DataFrame:
+    """The (query_id, id, vectors) pairs that ``knn_cells`` compares."""
+    from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import Normalizer
+    from pyspark.ml.functions import array_to_vector
+
+    unit = Normalizer(inputCol="__a", outputCol="__u", p=2.0)
+    v = unit.transform(vectors.filter(_valid(vec_col, dim)).select(
+        id_col, F.col(vec_col).alias("__v"), array_to_vector(vec_col).alias("__a"))).drop("__a")
+    model = KMeans(k=n_clusters, featuresCol="__u", predictionCol="__cell", seed=seed, maxIter=10).fit(v)
+    centres = np.array(model.clusterCenters())
+    placed = model.transform(v).select(id_col, "__v", "__cell")
+    sizes = placed.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"))
+    # cluster sizes as one array, read inside the plan
+    size_of = sizes.agg(F.map_from_entries(F.collect_list(F.struct("__cell", "n")))).scalar()
+    q = queries.filter(_valid(qvec_col, dim)).select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("__q"))
+    qtype = queries.schema[qid_col].dataType
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                near = np.argsort(((_unit(b["__q"], dim)[:, None, :] - centres[None]) ** 2).sum(axis=2), axis=1, kind="stable")
+                yield pa.RecordBatch.from_arrays([b["query_id"], b["__q"], pa.array(near.tolist(), pa.list_(pa.int32()))],
+                                                 names=["query_id", "__q", "__near"])
+
+    ordered = q.mapInArrow(order, T.StructType([T.StructField("query_id", qtype), q.schema["__q"],
+                                                T.StructField("__near", T.ArrayType(T.IntegerType()))]))
+    step = ordered.select("query_id", "__q", F.posexplode("__near").alias("i", "__cell")).withColumn(
+        "n", F.coalesce(F.try_element_at(size_of, F.col("__cell")), F.lit(0)))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("query_id").orderBy("i")
+                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = step.withColumn("before", before).filter((F.col("i") < n_probe) | (F.col("before") < k)) \
+                 .select("query_id", "__q", "__cell")
+    return placed.join(chosen, "__cell").select("query_id", id_col, "__v", "__q")
+
+
+def knn_cells(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame, qid_col: str,
+              qvec_col: str, k: int, dim: int, n_clusters: int = 400, n_probe: int = 80,
+              seed: int = 17) -> DataFrame:
+    """Approximate top-k, same rows as ``knn_exact``.
+
+    k-means over all unit vectors makes ``n_clusters`` clusters (a parameter;
+    the centres are the only model). Every vector lies in one cluster. A query
+    takes its clusters in order of distance: the first ``n_probe``, and further
+    ones while those before hold fewer than k vectors, so each query gets k
+    rows if there are that many. Ids and vectors meet their queries in one join
+    on the cluster, which adaptive execution splits where a cluster is large.
+    """
+    pairs = probes(vectors, id_col, vec_col, queries, qid_col, qvec_col, k, dim, n_clusters, n_probe, seed)
+    schema = _hit_schema(vectors, id_col, queries, qid_col)
 
-    unit_norm = Normalizer(inputCol="__a", outputCol="__u", p=2.0)
-
-    def unit(df, c):
-        # total: Spark may evaluate join-key predicates before the validity
-        # filter, so the hash input must be well-formed for every row
-        zero = F.array_repeat(F.lit(0.0).cast("double"), dim)
-        arr = F.when(valid(c), F.col(c).cast("array<double>")).otherwise(zero)
-        return unit_norm.transform(df.withColumn("__a", array_to_vector(arr))).drop("__a")
-
-    v = unit(vectors.select(id_col, vec_col).filter(valid(vec_col)), vec_col)
-    q = unit(q.filter(valid("__q")), "__q")
-    lsh = BucketedRandomProjectionLSH(inputCol="__u", outputCol="__h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=seed)
-    model = lsh.fit(v)
-
-    def explode_hashes(df):
-        return model.transform(df).select(
-            "*", F.posexplode("__h").alias("__t", "__hv")).withColumn(
-            "__b", vector_to_array("__hv")[0]).drop("__h", "__hv", "__u")
-
-    vh = explode_hashes(v)
-    qh = explode_hashes(q)
-    if len(small) <= max_queries and len(small) * num_tables * (dim * 8 + 64) <= max_broadcast_bytes:
-        qh = F.broadcast(qh)               # size proven above
-    cand = (vh.join(qh, ["__t", "__b"])
-              .select("query_id", id_col, cosine_batch(vec_col, "__q").alias("score"))
-              .groupBy("query_id", id_col).agg(F.max("score").alias("score")))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    # materialise the (queries x k) ranking once, as a table in the shared
-    # folder: it is read twice below, and a lost executor cannot lose it
-    path = shared_dir(spark, "knn_lsh_ranked")
-    (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-         .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
-         .write.parquet(path))
-    ranked = spark.read.parquet(path)
-    full = ranked.filter(F.col("__n") >= k).drop("__n")
-    short = q.join(full.select("query_id").distinct(), "query_id", "left_anti") \
-             .select("query_id", "__q")
-    exact = knn_exact(vectors, id_col, vec_col, short, "query_id", "__q", k)
-    return full.unionByName(exact)
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                s = np.round(np.einsum("ij,ij->i", _unit(b["__v"], dim), _unit(b["__q"], dim)), DIGITS)
+                yield pa.RecordBatch.from_arrays([b["query_id"], b[id_col], pa.array(s)], names=schema.names)
+
+    return _ranked(pairs.mapInArrow(score, schema), id_col, k)

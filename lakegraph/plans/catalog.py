@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegraph.functions.exprs import py_str
+from lakegraph.functions.exprs import norm, py_str
 from lakegraph.operators import aggregate as agg
 from lakegraph.operators import cleanse, evaluate, graph, match, profile, retrieve, vectors
 from lakegraph.plans import supply_graph as sg
@@ -56,9 +56,14 @@ def scan_parquet(spark, d):
     return io.read_parquet(spark, table_path(d, "lineitem"))
 
 
-@job("sql_limit")   # LIMIT without ORDER BY: any 1000 rows; row count only
+@job("sql_limit", "SELECT * FROM lineitem ORDER BY ALL NULLS FIRST LIMIT 1000")
 def sql_limit(spark, d):
-    return io.sql_limit(spark, Tables(spark, d).lineitem, n=1000)
+    return io.sql_limit(spark, Tables(spark, d).lineitem, n=1000, order_by="ALL")
+
+
+@job("preview", "SELECT * FROM orders ORDER BY ALL NULLS FIRST LIMIT 20")
+def preview(spark, d):
+    return io.preview(Tables(spark, d).orders, 20)
 
 
 @job("load_default", "SELECT * FROM orders")
@@ -99,8 +104,9 @@ def cleansed(spark, d):
 def table_roundtrip(spark, d):
     # full-replace write of a named table whose files live in the shared folder
     path = shared_dir(spark, "tables", "trips_cleansed")
-    io.write_table(cleansed(spark, d), name="lakegraph_trips_cleansed", path=path, fmt="parquet")
-    return io.read_table(spark, name="lakegraph_trips_cleansed")
+    name = f"lakegraph_trips_cleansed_{path.rsplit('/', 1)[1]}"     # runs do not meet in the metastore
+    io.write_table(cleansed(spark, d), name=name, path=path, fmt="parquet")
+    return io.read_table(spark, name=name)
 
 
 LINEITEM_TYPES = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' " \
@@ -122,6 +128,13 @@ def schema_profile(spark, d):
     return profile.schema_profile(Tables(spark, d).lineitem)
 
 
+@job("distinct_profile", """
+WITH t AS (UNPIVOT (SELECT count(DISTINCT COLUMNS(*)) FROM supplier) ON COLUMNS(*) INTO NAME column_name VALUE n_distinct)
+SELECT column_name, n_distinct FROM t""")
+def distinct_profile(spark, d):
+    return profile.distinct_counts(Tables(spark, d).supplier)
+
+
 # ============================================================ cleanse / filter
 
 @job("project_columns", "SELECT l_quantity, l_extendedprice FROM lineitem")
@@ -271,11 +284,18 @@ def quantiles_exact(spark, d):
     return profile.quantiles_exact(Tables(spark, d).lineitem, tr.FARE, QUANTILES)
 
 
-@job("quantiles_approx")   # approximate by design: invariant-tested, row count only here
+@job("quantiles_approx")   # approximate by design; its ranks are checked by quantiles_approx_ranks
 def quantiles_approx(spark, d):
     return profile.quantiles_approx(Tables(spark, d).lineitem, tr.FARE, QUANTILES, 0.01)
 
 
+@job("quantiles_approx_ranks", f"SELECT unnest({QUANTILES}) AS quantile, true AS within_error")
+def quantiles_approx_ranks(spark, d):
+    li = Tables(spark, d).lineitem
+    ranks = profile.rank_errors(li, tr.FARE, profile.quantiles_approx(li, tr.FARE, QUANTILES, 0.01))
+    return ranks.select("quantile", (F.col("rank_error") <= 0.01).alias("within_error"))
+
+
 @job("histogram_50", f"""
 WITH s AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
 b AS (SELECT CASE WHEN s.hi = s.lo THEN 0
@@ -367,8 +387,7 @@ PATTERN_SQL = "WITH " + GRAPH_CTES + PATTERN_SELECT + "ORDER BY oid"
 
 @job("pattern_3hop", PATTERN_SQL)
 def pattern_3hop(spark, d):
-    return match.pattern_3hop(_g(spark, d), sg.high_delayed_codes(), sg.failed(), sg.high_risk()) \
-                .orderBy("oid")
+    return sg.exact_answer(_g(spark, d)).orderBy("oid")
 
 
 @job("build_edges", "WITH " + GRAPH_CTES + """
@@ -386,14 +405,36 @@ def build_edges(spark, d):
 
 @job("project_nodes", "WITH " + GRAPH_CTES + """
 SELECT batch_part, batch_supp, product, quality_status,
-       concat_ws(' ', product, 'batch', CAST(batch_part AS VARCHAR) || '-' || CAST(batch_supp AS VARCHAR),
-                 'quality', quality_status, 'supplier', CAST(batch_supp AS VARCHAR)) AS description
+       coalesce(product, 'None') || ' batch ' || CAST(batch_part AS VARCHAR) || '-' || CAST(batch_supp AS VARCHAR) ||
+       ' quality ' || quality_status || ' supplier ' || CAST(batch_supp AS VARCHAR) AS description
 FROM batches""")
 def project_nodes(spark, d):
     return _g(spark, d).batches.select("batch_part", "batch_supp", "product", "quality_status",
                                        "description")
 
 
+@job("merged_nodes", """
+SELECT DISTINCT 'Order' AS label, CAST(o.o_orderkey AS VARCHAR) AS id,
+       'customer=' || coalesce(c.c_name, 'None') || '|status=' || (CASE o.o_orderstatus WHEN 'P' THEN 'DELAYED' WHEN 'F' THEN 'SHIPPED'
+       WHEN 'O' THEN 'PENDING' ELSE o.o_orderstatus END) || '|priority=' || (CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'HIGH'
+       WHEN o.o_orderpriority = '3-MEDIUM' THEN 'MEDIUM' ELSE 'LOW' END) || '|order_date=' || strftime(o.o_orderdate, '%Y-%m-%d') AS properties
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey WHERE o.o_orderkey IN (SELECT l_orderkey FROM lineitem)
+UNION ALL
+SELECT DISTINCT 'Supplier', CAST(s_suppkey AS VARCHAR), 'name=' || s_name || '|country=' || coalesce(n_name, 'None') || '|risk_tier=' ||
+       (CASE WHEN s_acctbal < 1000 THEN 'HIGH' WHEN s_acctbal < 5000 THEN 'MEDIUM' ELSE 'LOW' END)
+FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)
+UNION ALL
+SELECT DISTINCT 'Warehouse', CAST(n_nationkey AS VARCHAR), 'location=' || n_name || '|region=' || coalesce(r_name, 'None')
+FROM nation LEFT JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey IN (SELECT l_partkey % 25 FROM lineitem)
+UNION ALL
+SELECT 'Batch', id, 'product=' || product || '|quality_status=' || q || '|description=' || product || ' batch ' || id || ' quality ' || q || ' supplier ' || supp
+FROM (SELECT CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS id, coalesce(any_value(p_name), 'None') AS product,
+             CASE WHEN count(*) FILTER (WHERE l_returnflag = 'R') > 0 THEN 'FAILED' ELSE 'PASSED' END AS q, CAST(l_suppkey AS VARCHAR) AS supp
+      FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY l_partkey, l_suppkey)""")
+def merged_nodes(spark, d):
+    return sg.merged_nodes(spark, d)
+
+
 @job("describe_entities", "WITH " + GRAPH_CTES + """
 SELECT batch_part, batch_supp,
        concat(coalesce(product, 'None'), ' batch ', CAST(batch_part AS VARCHAR) || '-' || CAST(batch_supp AS VARCHAR),
@@ -436,6 +477,17 @@ def key_violations(spark, d):
     return graph.key_violations(Tables(spark, d).lineitem, ["l_orderkey", "l_linenumber"])
 
 
+@job("label_key_report", """
+WITH k AS (SELECT 'Batch' AS label, count(*) AS n FROM lineitem GROUP BY l_partkey, l_suppkey
+           UNION ALL SELECT 'Order', count(*) FROM orders GROUP BY o_orderkey
+           UNION ALL SELECT 'Supplier', count(*) FROM supplier GROUP BY s_suppkey
+           UNION ALL SELECT 'Warehouse', count(*) FROM nation GROUP BY n_nationkey)
+SELECT label, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, count(*) FILTER (WHERE n > 1) AS n_repeated,
+       CAST(0 AS BIGINT) AS n_null FROM k GROUP BY label""")
+def label_key_report(spark, d):
+    return graph.label_key_report(sg.node_sources(spark, d))
+
+
 @job("upsert", f"""
 WITH b AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{SNAPSHOT}'),
 u AS (SELECT o_orderkey, o_custkey,
@@ -515,6 +567,7 @@ FROM batches b JOIN contains_e c ON c.batch_part = b.batch_part AND c.batch_supp
 JOIN orders_n o ON o.order_id = c.order_id
 WHERE b.quality_status = 'FAILED'""")
 def expand_inner(spark, d):
+    # the seeds here are the FAILED batches; every batch is a seed in seeded_expand
     g = _g(spark, d)
     seeds = g.batch_keys.filter(sg.failed()).select(*g.batch_key)   # no product join needed
     return match.expand_inner(seeds, g).select(*g.batch_key, "order_id", "customer", "status",
@@ -538,21 +591,31 @@ def expand_optional(spark, d):
 # =================================================================== vectors
 
 @job("attach_vectors", "WITH " + GRAPH_CTES + """
-SELECT b.batch_part, b.batch_supp, e.vec_id, CAST(len(e.embedding) AS INTEGER) AS dim, e.label
-FROM batches b JOIN embeddings e ON e.vec_id = b.batch_part""")
+SELECT b.batch_part, b.batch_supp, e.vec_id, CAST(len(e.embedding) AS INTEGER) AS dim, e.label,
+       round(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE))), 6) AS vector_sum
+FROM batches b LEFT JOIN embeddings e ON e.vec_id = b.batch_part""")
 def attach_vectors(spark, d):
     g = _g(spark, d)
     emb = Tables(spark, d).embeddings
-    v = vectors.attach_vectors(g.batches.select(*g.batch_key), "batch_part",
+    v = vectors.attach_vectors(g.batch_keys.select(*g.batch_key), "batch_part",
                                emb.withColumn("vec_id_", F.col("vec_id")), "vec_id_")
-    return v.select("batch_part", "batch_supp", "vec_id", F.size("embedding").alias("dim"), "label")
+    total = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double"))
+    return v.select("batch_part", "batch_supp", "vec_id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dim"),
+                    "label", r6(total).alias("vector_sum"))
 
 
-@job("text_vectors")   # TF-IDF vectors of whole documents: no SQL twin; row count only
+@job("text_vectors")   # TF-IDF vectors of whole documents: no SQL twin; text_tokens checks the words
 def text_vectors(spark, d):
     return vectors.text_vectors(Tables(spark, d).documents, "doc_id", "text")
 
 
+@job("text_tokens", r"""
+WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents)
+SELECT doc_id, CAST(len(w) AS INTEGER) AS n_tokens, CAST(len(list_distinct(w)) AS INTEGER) AS n_terms FROM t""")
+def text_tokens(spark, d):
+    return vectors.text_tokens(Tables(spark, d).documents, "doc_id", "text")
+
+
 @job("vector_audit", f"""
 SELECT count(*) AS n_vectors, count(*) FILTER (WHERE embedding IS NULL) AS n_null,
        count(*) FILTER (WHERE embedding IS NOT NULL AND len(embedding) <> {EMBED_DIM}) AS n_wrong_dim,
@@ -581,7 +644,7 @@ hits AS (SELECT query_id, vec_id, score,
 def _hits(spark, d, k):
     emb = Tables(spark, d).embeddings
     q = vectors.centroids(emb, "label", "embedding")
-    return vectors.knn_exact(emb, "vec_id", "embedding", q, "label", "centroid", k)
+    return vectors.knn_exact(emb, "vec_id", "embedding", q, "label", "centroid", k, EMBED_DIM)
 
 
 @job("knn_exact", "WITH " + knn_sql(K_SEARCH) + " SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits")
@@ -589,12 +652,28 @@ def knn_exact(spark, d):
     return _hits(spark, d, K_SEARCH).withColumn("score", r6("score"))
 
 
-@job("knn_lsh")   # approximate: checked for recall against knn_exact in tests
+def _cell_hits(spark, d):
+    emb = Tables(spark, d).embeddings
+    q = vectors.centroids(emb, "label", "embedding")
+    return vectors.knn_cells(emb, "vec_id", "embedding", q, "label", "centroid", K_SEARCH, EMBED_DIM)
+
+
+@job("knn_lsh")   # approximate (clusters): recall tested against knn_exact, exact facts checked by knn_approx_facts
 def knn_lsh(spark, d):
+    return _cell_hits(spark, d).withColumn("score", r6("score"))
+
+
+@job("knn_approx_facts", "WITH " + knn_sql(K_SEARCH) + """
+SELECT query_id, count(*) AS n_hits, count(*) AS n_true_scores FROM hits GROUP BY query_id""")
+def knn_approx_facts(spark, d):
+    # every question gets k rows, and each returned score is the pair's true cosine
     emb = Tables(spark, d).embeddings
     q = vectors.centroids(emb, "label", "embedding")
-    return vectors.knn_lsh(emb, "vec_id", "embedding", q, "label", "centroid", K_SEARCH) \
-                  .withColumn("score", r6("score"))
+    hits = _cell_hits(spark, d).join(emb.select("vec_id", "embedding"), "vec_id") \
+        .join(q.select(F.col("label").alias("query_id"), "centroid"), "query_id")
+    dot = F.aggregate(F.zip_with("embedding", "centroid", lambda x, y: x.cast("double") * y), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    true = F.abs(dot / (norm("embedding") * norm("centroid")) - F.col("score")) < 1e-6
+    return hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_hits"), F.count_if(true).alias("n_true_scores"))
 
 
 CONTEXT_SQL = "WITH " + knn_sql(K_CONTEXT) + """,
@@ -650,7 +729,7 @@ def _retrieved(spark, d, g=None, hits=None):
     g = g or _g(spark, d)
     hits = hits if hits is not None else _hits(spark, d, K_SEARCH)
     seeds = (hits.select("query_id", F.col("rank").alias("seed_rank"), F.col("vec_id").alias("batch_part"))
-                 .join(g.batches.select(*g.batch_key), "batch_part"))
+                 .join(g.batch_keys.select(*g.batch_key), "batch_part"))
     return retrieve.vector_graph_retrieve(seeds, g, carry=["seed_rank"])
 
 
@@ -676,39 +755,74 @@ def retrieval_items(spark, d):
                         F.col("metadata")["order_id"].alias("metadata_order_id"))
 
 
-@job("retrieval_eval")   # SQL twin set below (_eval_sql)
-def retrieval_eval(spark, d):
+@job("graph_prompts", RETRIEVE_SQL + f"""
+SELECT query_id, seed_rank, CAST(order_id AS VARCHAR) AS order_id, batch_part, batch_supp,
+       '{retrieve.SYSTEM_PROMPT}' AS system_prompt, '{retrieve.QUESTION}' AS question
+FROM ret""")
+def graph_prompts(spark, d):
+    # the prompt parts of the graph path: one row per item, so no text grows with a seed's orders
+    return _retrieved(spark, d).select("query_id", "seed_rank", F.col("order_id").cast("string").alias("order_id"), "batch_part",
+                                       "batch_supp", F.lit(retrieve.SYSTEM_PROMPT).alias("system_prompt"),
+                                       F.lit(retrieve.QUESTION).alias("question"))
+
+
+def _evaluated(spark, d):
+    """Retrieved ids, exact ids and the questions, each written once: hits and
+    the exact answer feed several branches."""
     g = _g(spark, d)
-    hits = _hits(spark, d, K_SEARCH)
-    ret = _retrieved(spark, d, g, hits)
-    truth_rows = match.pattern_3hop(g, sg.high_delayed_codes(), sg.failed(), sg.high_risk())
+    hits = _kept(spark, _hits(spark, d, K_SEARCH), "eval_hits")
+    truth_rows = _kept(spark, sg.exact_answer(g), "eval_truth")
+    # the evaluation needs the retrieved orders only, not their properties
+    seeds = hits.select("query_id", F.col("vec_id").alias("batch_part"))
+    orders = Tables(spark, d).orders.select(F.col("o_orderkey").alias("order_id"))
+    found = g.contains_rows.join(seeds, "batch_part").select("query_id", "order_id").distinct() \
+             .join(orders, "order_id", "left_semi")
     retrieved = (hits.select("query_id", F.lit("vector").alias("method"), F.col("vec_id").alias("item_id"))
-                 .unionByName(ret.select("query_id", F.lit("graph").alias("method"),
-                                         F.col("order_id").alias("item_id"))))
-    # one reference to the exact match, fanned out to both units
+                 .unionByName(found.select("query_id", F.lit("graph").alias("method"),
+                                           F.col("order_id").alias("item_id"))))
     truth = truth_rows.select(F.inline(F.array(
         F.struct(F.lit("vector").alias("method"), F.col("batch_part").alias("item_id")),
         F.struct(F.lit("graph").alias("method"), F.col("oid").alias("item_id")))))
-    out = evaluate.retrieval_eval(retrieved, truth)
+    asked = Tables(spark, d).embeddings.filter("embedding is not null").select(F.col("label").alias("query_id")).distinct() \
+        .select("query_id", F.explode(F.array(F.lit("vector"), F.lit("graph"))).alias("method"))
+    return retrieved, truth, asked
+
+
+def _kept(spark, df, name):
+    path = shared_dir(spark, name)
+    io.write_table(df, path=path)
+    return io.read_table(spark, path=path)
+
+
+@job("retrieval_eval")   # SQL twin set below (_eval_sql)
+def retrieval_eval(spark, d):
+    out = evaluate.retrieval_eval(*_evaluated(spark, d))
     return out.withColumns({"precision": r6("precision"), "recall": r6("recall")})
 
 
-def _eval_sql() -> str:
-    return RETRIEVE_SQL + f""",
+@job("retrieval_missing")   # SQL twin set below
+def retrieval_missing(spark, d):
+    return evaluate.missing_items(*_evaluated(spark, d))
+
+
+EVAL_CTES = RETRIEVE_SQL + f""",
 tr AS ({PATTERN_SELECT}),
+asked AS (SELECT q.query_id, m.method FROM (SELECT DISTINCT label AS query_id FROM embeddings) q,
+          (SELECT unnest(['vector', 'graph']) AS method) m),
 retrieved AS (SELECT DISTINCT query_id, 'vector' AS method, vec_id AS item_id FROM hits
               UNION SELECT DISTINCT query_id, 'graph', order_id FROM ret),
 truth AS (SELECT DISTINCT 'vector' AS method, batch_part AS item_id FROM tr
-          UNION SELECT DISTINCT 'graph', oid FROM tr),
-nrel AS (SELECT method, count(*) AS n_relevant FROM truth GROUP BY method),
-per_q AS (SELECT r.query_id, r.method, count(*) AS n_retrieved, count(t.item_id) AS n_hits
-          FROM retrieved r LEFT JOIN truth t ON t.method = r.method AND t.item_id = r.item_id
-          GROUP BY r.query_id, r.method)
-SELECT p.query_id, p.method, p.n_retrieved, coalesce(n.n_relevant, 0) AS n_relevant, p.n_hits,
-       coalesce(n.n_relevant, 0) - p.n_hits AS n_missing,
-       round(CASE WHEN p.n_retrieved > 0 THEN p.n_hits / p.n_retrieved END, 6) AS precision,
-       round(CASE WHEN coalesce(n.n_relevant, 0) > 0 THEN p.n_hits / n.n_relevant END, 6) AS recall
-FROM per_q p LEFT JOIN nrel n ON n.method = p.method"""
-
-
-SQL["retrieval_eval"] = _eval_sql().strip()
+          UNION SELECT DISTINCT 'graph', oid FROM tr)"""
+
+SQL["retrieval_eval"] = (EVAL_CTES + """,
+c AS (SELECT a.query_id, a.method,
+             (SELECT count(*) FROM retrieved r WHERE r.query_id = a.query_id AND r.method = a.method) AS n_retrieved,
+             (SELECT count(*) FROM truth t WHERE t.method = a.method) AS n_relevant,
+             (SELECT count(*) FROM retrieved r JOIN truth t ON t.method = r.method AND t.item_id = r.item_id
+              WHERE r.query_id = a.query_id AND r.method = a.method) AS n_hits FROM asked a)
+SELECT query_id, method, n_retrieved, n_relevant, n_hits, n_relevant - n_hits AS n_missing,
+       round(CASE WHEN n_retrieved > 0 THEN n_hits / n_retrieved END, 6) AS precision,
+       round(CASE WHEN n_relevant > 0 THEN n_hits / n_relevant END, 6) AS recall FROM c""").strip()
+SQL["retrieval_missing"] = (EVAL_CTES + """
+SELECT a.query_id, a.method, t.item_id FROM asked a JOIN truth t ON t.method = a.method
+EXCEPT SELECT query_id, method, item_id FROM retrieved""").strip()

@@ -14,8 +14,7 @@
 * Warehouse = nation; a batch is stored in nation (l_partkey mod 25).
 * CONTAINS  = distinct (l_orderkey, l_partkey, l_suppkey).
 
-Nation (25 rows) and region (5 rows) are fixed-size dimensions and are
-broadcast; every other join is left to the planner and AQE.
+All joins are left to the planner and adaptive execution.
 """
 
 from __future__ import annotations
@@ -23,8 +22,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakegraph.functions.exprs import py_str
 from lakegraph.operators.graph import build_edges, project_nodes
-from lakegraph.operators.match import SupplyGraph
+from lakegraph.operators.match import SupplyGraph, pattern_3hop
 from lakegraph.sources.fixtures import supply_tables
 from lakegraph.sources.testdata import Tables
 
@@ -46,8 +46,7 @@ def fixture_graph(spark: SparkSession, tables: dict[str, DataFrame] | None = Non
                                                       "capacity": "capacity"})
     batches = project_nodes(bat, ["batch_id"], {
         "product": "product", "quality_status": "quality_status",
-        "description": F.concat_ws(" ", "product", F.lit("batch"), "batch_id", F.lit("quality"),
-                                   "quality_status", F.lit("supplier"), "supplier_id")})
+        "description": description(F.col("product"), F.col("batch_id"), F.col("quality_status"), F.col("supplier_id"))})
     orders = project_nodes(ords, ["order_id"], {"customer": "customer", "status": "status",
                                                 "priority": "priority", "order_date": "order_date"})
     return SupplyGraph(
@@ -60,6 +59,12 @@ def fixture_graph(spark: SparkSession, tables: dict[str, DataFrame] | None = Non
         batch_key=["batch_id"])
 
 
+def description(product, batch_id, status, supplier_id):
+    """The stored batch text; a missing part prints ``None``."""
+    return F.concat(py_str(product), F.lit(" batch "), py_str(batch_id), F.lit(" quality "), py_str(status),
+                    F.lit(" supplier "), py_str(supplier_id))
+
+
 def order_status(c):
     return (F.when(c == "P", "DELAYED").when(c == "F", "SHIPPED")
              .when(c == "O", "PENDING").otherwise(c))
@@ -82,8 +87,6 @@ def batch_id_text(part, supp):
 def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
     t = Tables(spark, sf_dir)
     li = t.lineitem
-    nation = F.broadcast(t.nation)     # fixed 25 rows
-    region = F.broadcast(t.region)     # fixed 5 rows
 
     # the order columns, raw codes kept next to the derived values so that a
     # filter can be written on the stored column (and pushed to the scan)
@@ -106,18 +109,16 @@ def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
     # table), so the MANUFACTURED_BY / STORED_IN edges need no second pass
     batches = (batch_agg.join(part, "batch_part", "left")
                .select(*BATCH_KEY, "product", qs.alias("quality_status"),
-                       F.concat_ws(" ", "product", F.lit("batch"),
-                                   batch_id_text(F.col("batch_part"), F.col("batch_supp")),
-                                   F.lit("quality"), qs, F.lit("supplier"),
-                                   F.col("batch_supp").cast("string")).alias("description"),
+                       description(F.col("product"), batch_id_text(F.col("batch_part"), F.col("batch_supp")), qs,
+                                   F.col("batch_supp")).alias("description"),
                        F.col("batch_supp").alias("supplier_id"),
                        F.pmod(F.col("batch_part"), F.lit(N_WAREHOUSES)).alias("warehouse_id")))
 
-    suppliers = (t.supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    suppliers = (t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
                  .select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name"),
                          F.col("n_name").alias("country"),
                          risk_tier(F.col("s_acctbal")).alias("risk_tier")))
-    warehouses = (t.nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    warehouses = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
                   .select(F.col("n_nationkey").cast("long").alias("warehouse_id"),
                           F.col("n_name").alias("location"), F.col("r_name").alias("region")))
 
@@ -134,12 +135,17 @@ def tables_graph(spark: SparkSession, sf_dir: str) -> SupplyGraph:
                                   qs.alias("quality_status"))
     made_by = build_edges(batch_refs, BATCH_KEY, ["supplier_id"], suppliers, ["supplier_id"],
                           dedupe=False)
-    stored_in = build_edges(batch_refs, BATCH_KEY, ["warehouse_id"], F.broadcast(warehouses),
+    stored_in = build_edges(batch_refs, BATCH_KEY, ["warehouse_id"], warehouses,
                             ["warehouse_id"], dedupe=False)
     return SupplyGraph(orders=orders, batches=batches, suppliers=suppliers,
                        warehouses=warehouses, contains=contains, made_by=made_by,
                        stored_in=stored_in, batch_key=list(BATCH_KEY),
                        contains_rows=contains_rows, batch_keys=batch_refs,
+                       batch_rows=li.select(F.col("l_partkey").alias("batch_part"), F.col("l_suppkey").alias("batch_supp"),
+                                            F.col("l_suppkey").alias("supplier_id"),
+                                            F.pmod(F.col("l_partkey"), F.lit(N_WAREHOUSES)).alias("warehouse_id"), "l_returnflag"),
+                       supplier_rows=t.supplier.select(F.col("s_suppkey").alias("supplier_id"), "s_acctbal"),
+                       products=part,
                        order_keys=t.orders.select(F.col("o_orderkey").alias("order_id")),
                        order_rows=order_rows)
 
@@ -163,6 +169,59 @@ def high_risk():
     return F.col("risk_tier") == "HIGH"
 
 
+def exact_answer(g: SupplyGraph) -> DataFrame:
+    """The flagship question over the tables: its predicates on the derived
+    values, and the same ones on the stored columns, which reach the scans."""
+    return pattern_3hop(g, high_delayed_codes(), failed(), high_risk(),
+                        any_row_pred=F.col("l_returnflag") == "R", supplier_row_pred=F.col("s_acctbal") < 1000.0)
+
+
+def node_sources(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The rows each label's nodes come from, and their key, before merging."""
+    t = Tables(spark, sf_dir)
+    return {"Batch": (t.lineitem, ["l_partkey", "l_suppkey"]), "Order": (t.orders, ["o_orderkey"]),
+            "Supplier": (t.supplier, ["s_suppkey"]), "Warehouse": (t.nation, ["n_nationkey"])}
+
+
+def demo_sources(spark: SparkSession) -> dict[str, tuple[DataFrame, list[str]]]:
+    t = supply_tables(spark)
+    return {"Batch": (t["batches"], ["batch_id"]), "Order": (t["orders"], ["order_id"]),
+            "Supplier": (t["suppliers"], ["supplier_id"]), "Warehouse": (t["warehouses"], ["warehouse_id"])}
+
+
+def stored_graph(spark: SparkSession, paths: dict[str, str], batch_key: list[str]) -> SupplyGraph:
+    """The graph over saved node and edge tables (``nodes_<label>``,
+    ``edges_<type>``)."""
+    read = lambda name: spark.read.parquet(paths[name])
+    batches = read("nodes_Batch")
+    return SupplyGraph(orders=read("nodes_Order"), batches=batches, suppliers=read("nodes_Supplier"),
+                       warehouses=read("nodes_Warehouse"), contains=read("edges_CONTAINS"),
+                       made_by=read("edges_MANUFACTURED_BY"), stored_in=read("edges_STORED_IN"),
+                       batch_key=batch_key, batch_keys=batches)
+
+
+def merged_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four labels merged by key from rows that repeat it (every line
+    names its order, batch, supplier and warehouse): label, id, properties."""
+    t = Tables(spark, sf_dir)
+    g = tables_graph(spark, sf_dir)
+    lines = t.lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id"),
+                              F.pmod(F.col("l_partkey"), F.lit(N_WAREHOUSES)).alias("warehouse_id"))
+    sources = {"Order": (lines.select("order_id").join(g.orders, "order_id"), ["order_id"],
+                         ["customer", "status", "priority", "order_date"]),
+               "Supplier": (lines.select("supplier_id").join(g.suppliers, "supplier_id"), ["supplier_id"], ["name", "country", "risk_tier"]),
+               "Warehouse": (lines.select("warehouse_id").join(g.warehouses, "warehouse_id"), ["warehouse_id"], ["location", "region"]),
+               "Batch": (g.batches.withColumn("batch", batch_id_text(F.col("batch_part"), F.col("batch_supp"))), ["batch"],
+                         ["product", "quality_status", "description"])}
+    out = None
+    for label, (rows, key, props) in sources.items():
+        nodes = project_nodes(rows, key, {p: p for p in props})
+        text = F.concat_ws("|", *[F.concat(F.lit(f"{p}="), py_str(p)) for p in props])
+        part = nodes.select(F.lit(label).alias("label"), F.col(key[0]).cast("string").alias("id"), text.alias("properties"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def edge_list(g: SupplyGraph) -> DataFrame:
     """All edges as (edge_type, src_id, dst_id) text ids; a batch id is 'part-supplier'."""
     bid = batch_id_text(F.col("batch_part"), F.col("batch_supp"))

@@ -29,11 +29,9 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LocationID (text), Borough, Zone, service_zone."""
     t = Tables(spark, sf_dir)
-    nation = F.broadcast(t.nation)     # fixed 25 rows
-    region = F.broadcast(t.region)     # fixed 5 rows
     return (t.supplier
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+            .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+            .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
             .select(F.col("s_suppkey").cast("string").alias("LocationID"),
                     F.col("r_name").alias("Borough"), F.col("n_name").alias("Zone"),
                     F.col("s_name").alias("service_zone")))

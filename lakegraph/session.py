@@ -1,13 +1,14 @@
-"""Session defaults and the few cluster-facing helpers every job shares.
+"""Session defaults and the cluster-facing helpers every job shares.
 
 * ``get_spark`` builds a session with the settings the jobs assume: UTC,
-  adaptive execution with skew-join splitting, ANSI mode, Arrow transfer.
+  adaptive execution, guards against hot keys, ANSI mode, Arrow transfer.
 * ``shared_dir`` returns a folder on the storage the cluster names in
   ``spark.checkpoint.dir``; intermediate tables are written there so that a
   lost executor never loses state that lives only on its local disk.
-* ``broadcast_if_small`` broadcasts a side only after a bounded row count has
-  proven it small; beyond the bound the caller gets the plain frame back and
-  Spark shuffles (AQE may still switch to a broadcast at run time).
+* ``scale_conf`` sizes partitions to the input.
+
+Join strategies are left to the planner and to adaptive execution, which
+broadcast by measured size only.
 """
 
 from __future__ import annotations
@@ -16,18 +17,24 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a key holding a third of the rows: split skewed joins even where that costs
+    # a shuffle, and never reuse a partitioning on a subset of the grouping keys
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+}
+# one machine only: executors elsewhere could not reach a loopback driver
+LOCAL_CONF = {
     "spark.driver.host": "127.0.0.1",
     "spark.driver.bindAddress": "127.0.0.1",
 }
@@ -46,6 +53,8 @@ def get_spark(master: str | None = None, app: str = "lakegraph",
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and is_single_machine(master):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -56,75 +65,36 @@ def get_spark(master: str | None = None, app: str = "lakegraph",
     return spark
 
 
-def _context(spark: SparkSession):
-    """The SparkContext, or None where the session has no handle to it
-    (a remote client session)."""
-    try:
-        return spark.sparkContext
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def _is_local(spark: SparkSession) -> bool:
-    sc = _context(spark)
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    return master.startswith("local")
+def is_single_machine(master: str) -> bool:
+    """``local`` and ``local[...]``; ``local-cluster[...]`` has executors with
+    disks of their own."""
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
     The location is read from the session (``spark.checkpoint.dir``, or the
-    SparkContext checkpoint dir). Only a local-mode session without one gets
-    its own temporary folder; a cluster session without one is an error,
-    because a machine-local folder would not survive a lost executor.
+    SparkContext checkpoint dir). Only a single-machine session without one
+    gets its own temporary folder; elsewhere that is an error, because a
+    machine-local folder would not survive a lost executor.
     """
-    sc = _context(spark)
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and sc is not None:
-        base = sc.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        if not _is_local(spark):
+        if not is_single_machine(sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         base = tempfile.mkdtemp(prefix="lakegraph-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(base)
+        sc.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, *parts, uuid.uuid4().hex)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a reliable folder to write to."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    path = shared_dir(spark, "rdd-checkpoints")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000,
-                       max_bytes: int = 64 * (1 << 20)) -> DataFrame:
-    """Hint a broadcast only when ``df`` is proven small: at most ``max_rows``
-    rows and about ``max_bytes`` of data (text length plus 8 bytes per other
-    value). The check reads at most ``max_rows + 1`` rows, so its cost is
-    bounded whatever the size of ``df``; beyond either bound the frame is
-    returned unhinted and Spark shuffles (AQE may still broadcast at run time
-    from measured sizes).
-    """
-    sizes = [F.coalesce(F.length(F.col(f.name)), F.lit(0)) if f.dataType.typeName() in ("string", "binary")
-             else F.lit(8) for f in df.schema.fields]
-    row_bytes = sum(sizes[1:], sizes[0]) if sizes else F.lit(0)
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                   F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
-    return F.broadcast(df) if r["n"] <= max_rows and r["b"] <= max_bytes else df
-
-
 MB = 1 << 20
 
 
 def scale_conf(input_bytes: int, shuffle_fraction: float = 0.25,
-               partition_bytes: int = 256 * MB, max_partitions: int = 100_000) -> dict[str, str]:
+               partition_bytes: int = 256 * MB) -> dict[str, str]:
     """Settings sized to the data, for ``get_spark(extra=...)`` on a cluster.
 
     * scan splits of ``partition_bytes`` (so a 100 TB scan is ~400k tasks);
@@ -139,7 +109,7 @@ def scale_conf(input_bytes: int, shuffle_fraction: float = 0.25,
       them all in one task. All keys are hashed instead (partial aggregation
       first), and AQE may split a skewed join even where that costs a shuffle.
     """
-    shuffle_parts = int(min(max_partitions, max(200, input_bytes * shuffle_fraction // partition_bytes)))
+    shuffle_parts = int(max(200, input_bytes * shuffle_fraction // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle_parts),
@@ -155,16 +125,3 @@ def scale_conf(input_bytes: int, shuffle_fraction: float = 0.25,
         "spark.sql.requireAllClusterKeysForDistribution": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
-
-
-def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Spread a CPU-heavy stage over all task slots when the input has fewer
-    splits than the cluster has slots (a few large files); on large inputs,
-    which already have more splits than slots, this changes nothing."""
-    sc = _context(df.sparkSession)
-    if sc is None:
-        return df
-    slots = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots * factor)
-    return df

@@ -42,19 +42,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def sql_limit(spark: SparkSession, df: DataFrame, view: str | None = None,
-              n: int = 1000) -> DataFrame:
+              n: int = 1000, order_by: str | None = None) -> DataFrame:
     """``SELECT * FROM <table> LIMIT n`` through the SQL front end.
 
     With ``view`` the frame is registered under that name (as a table name
     would be); otherwise it is passed to ``spark.sql`` as a parameter and no
-    session-wide name is created. Without an ORDER BY the rows returned are
-    whichever partitions finish first; Spark stops scanning once ``n`` rows
-    are collected.
+    session-wide name is created. Without ``order_by`` the rows returned are
+    whichever partitions finish first; with it (``ALL`` or columns) they are
+    the first by that order, each task keeping ``n`` rows.
     """
+    order = f" ORDER BY {order_by}" if order_by else ""
     if view:
         df.createOrReplaceTempView(view)
-        return spark.sql(f"SELECT * FROM {view} LIMIT {int(n)}")
-    return spark.sql(f"SELECT * FROM {{t}} LIMIT {int(n)}", t=df)
+        return spark.sql(f"SELECT * FROM {view}{order} LIMIT {int(n)}")
+    return spark.sql(f"SELECT * FROM {{t}}{order} LIMIT {int(n)}", t=df)
 
 
 def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
@@ -87,5 +88,6 @@ def read_table(spark: SparkSession, name: str | None = None, path: str | None =
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """First ``n`` rows, the frame behind ``show()`` / ``display()``."""
-    return df.limit(n)
+    """First ``n`` rows by all columns, the frame behind ``show()``: an order
+    makes the preview the same every time."""
+    return df.orderBy(*df.columns).limit(n)

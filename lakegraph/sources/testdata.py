@@ -36,7 +36,3 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         return table(self.spark, self.sf_dir, name)
-
-    def register_views(self, names=TABLES) -> None:
-        for n in names:
-            getattr(self, n).createOrReplaceTempView(n)

@@ -3,9 +3,9 @@ agree with the registered jobs."""
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from lakegraph import apps
+from lakegraph.plans import catalog
 from lakegraph.session import shared_dir
 
 
@@ -25,7 +25,7 @@ def test_graph_app_tables(spark):
     out = shared_dir(spark, "app_graph")
     written = apps.run_graph(spark, SF_SMALL, out)
     exact = spark.read.parquet(written["exact_answer"])
-    assert exact.count() == entry.queries()["pattern_3hop"](spark, SF_SMALL).count() == 51
+    assert exact.count() == catalog.JOBS["pattern_3hop"](spark, SF_SMALL).count() == 51
     ev = spark.read.parquet(written["retrieval_eval"]).collect()
     assert {r.method for r in ev} == {"vector", "graph"}
     assert all(r.n_hits <= r.n_retrieved for r in ev)

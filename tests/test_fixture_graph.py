@@ -130,17 +130,53 @@ def test_chained_load_drops_supplier_edge_of_unstored_batch(spark):
     assert free["STORED_IN"] == chained["STORED_IN"] == 6
 
 
-def test_upsert_table_versions(spark):
-    from lakegraph.session import shared_dir
-    d = shared_dir(spark, "versioned_orders")
-    base = spark.createDataFrame([("O1", "a"), ("O2", "b")], "order_id string, status string")
-    upd = spark.createDataFrame([("O2", "c"), ("O3", "d")], "order_id string, status string")
-    v1 = graph.upsert_table(spark, d, base, ["order_id"])
-    v2 = graph.upsert_table(spark, d, upd, ["order_id"])
-    assert v1.endswith("v000001") and v2.endswith("v000002")
-    assert graph.latest_version(spark, d) == v2
-    got = {r.order_id: (r.status, r.change) for r in spark.read.parquet(v2).collect()}
-    assert got == {"O1": ("a", "keep"), "O2": ("c", "update"), "O3": ("d", "insert")}
+def test_repeated_rows_are_one_node(spark):
+    t = supply_tables(spark)
+    t["orders"] = t["orders"].unionByName(t["orders"].filter(F.col("order_id") == "O001"))
+    t["batches"] = t["batches"].unionByName(t["batches"].filter(F.col("batch_id") == "B001"))
+    g = sg.fixture_graph(spark, t)
+    assert g.orders.count() == 7 and g.batches.count() == 6
+    exact = match.pattern_3hop(g, sg.high_delayed(), sg.failed(), sg.high_risk())
+    assert sorted(r.oid for r in exact.collect()) == ["O001", "O002", "O005"]
+    report = {r.label: (r.n_rows, r.n_keys, r.n_repeated, r.n_null) for r in
+              graph.label_key_report({"Order": (t["orders"], ["order_id"])}).collect()}
+    assert report == {"Order": (8, 7, 1, 0)}
+
+
+def test_missing_part_of_description_prints_none(spark):
+    t = supply_tables(spark)
+    t["batches"] = t["batches"].withColumn("product", F.when(F.col("batch_id") != "B001", F.col("product")))
+    text = sg.fixture_graph(spark, t).batches.filter("batch_id = 'B001'").first().description
+    assert text == "None batch B001 quality FAILED supplier S001"
+
+
+def test_equal_seeds_stay_as_many_rows_in_both_forms(spark):
+    g = sg.fixture_graph(spark)
+    seeds = g.batches.filter("batch_id = 'B001'").select("batch_id")
+    once = match.seeded_expand(seeds, g).count()
+    assert match.seeded_expand(seeds.union(seeds), g).count() == 2 * once
+    rows = g.contains.union(g.contains)                 # the same edges as rows that repeat
+    g.contains_rows = rows
+    assert match.seeded_expand(seeds, g).count() == once
+    assert match.seeded_expand(seeds.union(seeds), g).count() == 2 * once
+
+
+def test_upsert_keeps_columns_it_does_not_set(spark):
+    base = spark.createDataFrame([("S1", "a", 1), ("S2", "b", 2)], "k string, name string, n long")
+    upd = spark.createDataFrame([("S2", "x"), ("S2", "y"), ("S3", "z")], "k string, name string")
+    out = {r.k: (r.name, r.n, r.change) for r in graph.upsert(base, upd, ["k"], columns=["name"]).collect()}
+    assert out == {"S1": ("a", 1, "keep"), "S2": ("y", 2, "update"), "S3": ("z", None, "insert")}
+
+
+def test_questions_without_hits_are_scored(spark):
+    from lakegraph.operators import evaluate
+    truth = spark.createDataFrame([("m", 1), ("m", 2)], "method string, item_id long")
+    got = spark.createDataFrame([("q1", "m", 1), ("q1", "m", 9)], "query_id string, method string, item_id long")
+    asked = spark.createDataFrame([("q1", "m"), ("q2", "m")], "query_id string, method string")
+    rows = {r.query_id: (r.n_retrieved, r.n_missing, r.precision, r.recall) for r in evaluate.retrieval_eval(got, truth, asked).collect()}
+    assert rows == {"q1": (2, 1, 0.5, 0.5), "q2": (0, 2, None, 0.0)}
+    missing = {(r.query_id, r.item_id) for r in evaluate.missing_items(got, truth, asked).collect()}
+    assert missing == {("q1", 2), ("q2", 1), ("q2", 2)}
 
 
 def test_dangling_summary_counts_null_and_hot_keys(spark):

@@ -3,12 +3,12 @@ except the vector search's Arrow batches, filters and pruning at the scan."""
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from lakegraph.plans import catalog
 
-JOBS = entry.queries()
-PYTHON_OK = {"knn_exact", "knn_lsh", "vector_context", "prompt_table", "vector_graph_retrieve",
-             "retrieval_items", "retrieval_eval"}
+JOBS = catalog.JOBS
+PYTHON_OK = {"knn_exact", "knn_lsh", "knn_approx_facts", "vector_context", "prompt_table", "vector_graph_retrieve",
+             "retrieval_items", "graph_prompts", "retrieval_eval"}
 
 
 def _plan(df):
@@ -21,7 +21,7 @@ def test_no_cartesian_no_row_udf(spark, name):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "BatchEvalPython" not in p                  # never row-at-a-time Python
     if name not in PYTHON_OK:
-        assert "MapInPandas" not in p and "ArrowEvalPython" not in p
+        assert "MapInPandas" not in p and "ArrowEvalPython" not in p and "InArrow" not in p
 
 
 def test_pushdown_and_pruning(spark):
@@ -32,6 +32,20 @@ def test_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double>" in p2
 
 
+def test_flagship_filters_reach_the_scans(spark):
+    p = _plan(JOBS["pattern_3hop"](spark, SF_SMALL))
+    assert "EqualTo(l_returnflag,R)" in p and "LessThan(s_acctbal,1000.0)" in p
+    assert "bool_or" not in p and "max((l_returnflag" not in p        # no aggregate over all lines
+
+
+def test_no_driver_fetch_in_operators():
+    import pathlib
+    import lakegraph.operators
+    for f in pathlib.Path(lakegraph.operators.__file__).parent.glob("*.py"):
+        text = f.read_text()
+        assert ".collect(" not in text and ".first(" not in text and "broadcast(" not in text, f.name
+
+
 def test_knn_top_k_is_limited_before_the_shuffle(spark):
     p = _plan(JOBS["knn_exact"](spark, SF_SMALL))
     assert p.count("WindowGroupLimit") >= 2          # partial (map side) + final

@@ -9,8 +9,8 @@ import shutil
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from lakegraph.plans import catalog
 from oracle_compare import compare, duck
 from lakegraph.session import scale_conf, shared_dir
 
@@ -74,6 +74,12 @@ def test_skewed_input_is_skewed(skewed_dir):
 
 @pytest.mark.parametrize("name", SKEW_JOBS)
 def test_job_correct_under_skew(skew_session, skewed_dir, name):
-    df = entry.queries()[name](skew_session, skewed_dir)
-    r = compare(df, duck(skewed_dir), entry.oracle_sql()[name])
+    df = catalog.JOBS[name](skew_session, skewed_dir)
+    r = compare(df, duck(skewed_dir), catalog.SQL[name])
+    assert r["ok"], r
+
+
+@pytest.mark.parametrize("name", ["seeded_expand", "pattern_3hop", "merged_nodes"])
+def test_hot_batch_with_default_settings(spark, skewed_dir, name):
+    r = compare(catalog.JOBS[name](spark, skewed_dir), duck(skewed_dir), catalog.SQL[name])
     assert r["ok"], r

@@ -123,7 +123,7 @@ def test_exact_quantiles_match_duckdb_with_hot_value(spark, seed):
     vals += [None] * 10
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {r.quantile: r.value for r in profile.quantiles_exact(df, "v", probs, n_buckets=8).collect()}
+    got = {r.quantile: r.value for r in profile.quantiles_exact(df, "v", probs).collect()}
     con = duckdb.connect()
     con.execute("CREATE TABLE t(v DOUBLE)")
     con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in vals])
@@ -162,20 +162,39 @@ def test_table_write_overwrite_and_read(spark, trips):
     assert os.path.isdir(path)
 
 
-def test_broadcast_only_when_proven_small(spark):
-    from lakegraph.session import broadcast_if_small
-    small = spark.range(10).withColumn("s", F.lit("x"))
-    wide = spark.range(10).withColumn("s", F.repeat(F.lit("y"), 1000))
-    big = spark.range(50)
-    probe = spark.range(100)
-
-    def plan(side):
-        j = probe.join(side, "id")
-        return j._jdf.queryExecution().sparkPlan().toString()
-    hinted = broadcast_if_small(small, max_rows=20, max_bytes=10_000)
-    assert "BroadcastHashJoin" in plan(hinted)
-    assert broadcast_if_small(big, max_rows=20) is big            # too many rows
-    assert broadcast_if_small(wide, max_rows=20, max_bytes=5_000) is wide   # too many bytes
+def test_only_single_machine_sessions_bind_to_loopback():
+    from lakegraph.session import DEFAULT_CONF, is_single_machine
+    assert not any(k.startswith("spark.driver") for k in DEFAULT_CONF)
+    assert is_single_machine("local[8]") and is_single_machine("local")
+    assert not is_single_machine("local-cluster[3,2,1024]") and not is_single_machine("yarn")
+
+
+def test_nan_takes_no_part_in_bins_and_quantiles(spark):
+    rows = [(float(i), float(i % 7)) for i in range(100)] + [(float("nan"), 1.0)] * 100 + [(None, 2.0)]
+    df = spark.createDataFrame(rows, "v double, w double").repartition(3)
+    h = profile.histogram(df, "v", bins=50).collect()
+    assert sum(r["count"] for r in h) == 100 and all(r["count"] == 2 for r in h)
+    assert sum(r["count"] for r in profile.density_2d(df, "v", "w", bins=10).collect()) == 100
+    exact = {r.quantile: r.value for r in profile.quantiles_exact(df, "v", [0.25, 0.5]).collect()}
+    assert exact == {0.25: 24.0, 0.5: 49.0}
+    approx = {r.quantile: r.value for r in profile.quantiles_approx(df, "v", [0.25, 0.5], 0.01).collect()}
+    assert all(abs(approx[q] - exact[q]) <= 1 for q in exact)
+    assert profile.correlation(df.filter("not isnan(v)"), "v", "w").first().n == 100
+
+
+@pytest.mark.parametrize(("reuse", "parts"), [("true", 8), ("false", 64), ("false", 500)])
+def test_exact_quantiles_do_not_depend_on_partitions(spark, reuse, parts):
+    df = spark.range(40_000).select(((F.col("id") * 7919) % 100_003 / 7.0).alias("v"))
+    want = sorted(r.v for r in df.collect())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = {r.quantile: r.value for r in profile.quantiles_exact(df.repartition(5), "v", [0.1, 0.5, 0.9]).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {p: want[max(1, int(np.ceil(p * len(want)))) - 1] for p in (0.1, 0.5, 0.9)}
 
 
 def test_exact_quantiles_edges(spark):

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakegraph.operators import vectors
 
@@ -37,7 +38,7 @@ def vecs(spark):
 
 def test_knn_exact_matches_brute_force_with_ties(vecs):
     df, ids, mat, qdf, qids, qmat = vecs
-    got = vectors.knn_exact(df, "id", "v", qdf, "qid", "qv", k=5).collect()
+    got = vectors.knn_exact(df, "id", "v", qdf, "qid", "qv", k=5, dim=16).collect()
     want = _brute(ids, mat, qids, qmat, 5)
     by_q = {}
     for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
@@ -46,24 +47,43 @@ def test_knn_exact_matches_brute_force_with_ties(vecs):
     assert [i for i, _ in by_q[0][:3]] == [10, 11, 20]      # tie broken by id
 
 
-def test_knn_exact_many_query_blocks(vecs):
+@pytest.mark.parametrize("cells", [1, 2, 40])
+def test_knn_exact_any_number_of_cells(vecs, cells):
     df, ids, mat, qdf, qids, qmat = vecs
-    got = vectors.knn_exact(df, "id", "v", qdf, "qid", "qv", k=3, block=2)
+    got = vectors.knn_exact(df, "id", "v", qdf, "qid", "qv", k=3, dim=16, cells=cells)
     want = _brute(ids, mat, qids, qmat, 3)
     assert {(r.query_id, r.id) for r in got.collect()} == {(q, i) for q, l in want.items() for i, _ in l}
 
 
-def test_knn_lsh_returns_k_and_good_recall(vecs):
+def test_knn_exact_one_plan_for_few_and_many_queries(spark, vecs):
+    import re
+    df = vecs[0]
+
+    def plan(n):
+        q = spark.range(n).select(F.col("id").alias("qid"), F.array(*[(F.col("id") + i).cast("double") + 1 for i in range(16)]).alias("qv"))
+        hits = vectors.knn_exact(df, "id", "v", q, "qid", "qv", k=2, dim=16)
+        names = re.findall(r"[A-Z][A-Za-z]+", hits._jdf.queryExecution().executedPlan().toString())
+        return hits, [x for x in names if x.endswith(("Exchange", "Arrow", "Window", "Limit", "Scan", "Join", "Range", "Sort"))]
+    few, many = plan(10), plan(5000)
+    assert few[1] == many[1]
+    assert few[0].count() == 20 and many[0].count() == 10_000
+
+
+def test_wrong_dimensions_take_no_part(spark, vecs):
     df, ids, mat, qdf, qids, qmat = vecs
-    got = vectors.knn_lsh(df, "id", "v", qdf, "qid", "qv", k=5, bucket_length=2.0, num_tables=6).collect()
-    want = _brute(ids, mat, qids, qmat, 5)
+    ragged = qdf.union(spark.createDataFrame([(90, [1.0, 2.0]), (91, None), (92, [0.0] * 16)], qdf.schema))
+    got = vectors.knn_exact(df, "id", "v", ragged, "qid", "qv", k=3, dim=16)
+    assert {r.query_id for r in got.collect()} == set(qids)
+    assert vectors.knn_exact(df, "id", "v", qdf.limit(0), "qid", "qv", k=3, dim=16).count() == 0
+
+
+def test_knn_cells_fills_every_query(vecs):
+    df, ids, mat, qdf, qids, qmat = vecs
+    got = vectors.knn_cells(df, "id", "v", qdf, "qid", "qv", k=40, dim=16, n_clusters=30, n_probe=1).collect()
     per_q = {}
     for r in got:
         per_q.setdefault(r.query_id, set()).add(r.id)
-    assert all(len(per_q[q]) == 5 for q in qids)             # exact fallback fills short queries
-    assert all(i in set(ids) for s in per_q.values() for i in s)
-    recall = np.mean([len(per_q[q] & {i for i, _ in want[q]}) / 5 for q in qids])
-    assert recall >= 0.6
+    assert all(len(per_q[q]) == 40 for q in qids) and set().union(*per_q.values()) <= set(ids)
 
 
 def test_vector_audit(vecs):
@@ -95,7 +115,7 @@ def test_text_vectors_unit_norm_whole_text(spark):
 
 def test_unit_interval_scores_keep_order(vecs):
     df, ids, mat, qdf, qids, qmat = vecs
-    hits = vectors.knn_exact(df, "id", "v", qdf, "qid", "qv", k=3)
+    hits = vectors.knn_exact(df, "id", "v", qdf, "qid", "qv", k=3, dim=16)
     raw = {(r.query_id, r.id): (r.score, r["rank"]) for r in hits.collect()}
     scaled = {(r.query_id, r.id): (r.score, r["rank"]) for r in vectors.unit_interval(hits).collect()}
     assert raw.keys() == scaled.keys()
@@ -103,14 +123,30 @@ def test_unit_interval_scores_keep_order(vecs):
         assert scaled[key][1] == rank and abs(scaled[key][0] - (1 + s) / 2) < 1e-12
 
 
-def test_lsh_recall_on_table_embeddings(spark):
-    import __spark_entry__ as entry
-    from conftest import SF_SMALL
-    from lakegraph.sources.testdata import Tables
-    jobs = entry.queries()
-    exact = {(r.query_id, r.vec_id) for r in jobs["knn_exact"](spark, SF_SMALL).collect()}
-    lsh = jobs["knn_lsh"](spark, SF_SMALL).collect()
-    ids = {r.vec_id for r in Tables(spark, SF_SMALL).embeddings.select("vec_id").collect()}
-    got = {(r.query_id, r.vec_id) for r in lsh}
-    assert len(lsh) == len(exact) and {v for _, v in got} <= ids
-    assert len(exact & got) / len(exact) >= 0.8
+def test_cells_prune_and_find(spark):
+    """At sf0.1: every 50th vector asks all vectors; few pairs are compared and
+    the true neighbours are found."""
+    emb = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    n = emb.count()
+    q = emb.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    exact = {(r.query_id, r.vec_id) for r in vectors.knn_exact(emb, "vec_id", "embedding", q, "qid", "qv", 5, 64).collect()}
+    hits = vectors.knn_cells(emb, "vec_id", "embedding", q, "qid", "qv", 5, 64)
+    got = {(r.query_id, r.vec_id) for r in hits.collect()}
+    assert len(got) == len(exact) == 5 * q.count()
+    assert len(exact & got) / len(exact) >= 0.9
+    probes = vectors.probes(emb, "vec_id", "embedding", q, "qid", "qv", 5, 64)
+    assert probes.count() <= n * q.count() / 3
+
+
+def test_words_of_any_script(spark):
+    df = spark.createDataFrame([(1, "Qualität prüfen"), (2, "日本語 テキスト"), (3, None), (4, "it's A-1")], "id long, t string")
+    got = {r.id: (r.n_tokens, r.n_terms) for r in vectors.text_tokens(df, "id", "t").collect()}
+    assert got == {1: (2, 2), 2: (2, 2), 3: (0, 0), 4: (4, 4)}
+    unit = {r.id: np.linalg.norm(r.features.toArray()) for r in vectors.text_vectors(df, "id", "t").collect()}
+    assert abs(unit[1] - 1) < 1e-9 and abs(unit[2] - 1) < 1e-9
+
+
+def test_nodes_keep_without_vector(spark):
+    nodes = spark.createDataFrame([(1,), (2,)], "k long")
+    vecs = spark.createDataFrame([(1, [1.0])], "id long, v array<double>")
+    assert {r.k: r.v for r in vectors.attach_vectors(nodes, "k", vecs, "id").collect()} == {1: [1.0], 2: None}
