@@ -7,8 +7,11 @@ without that setting (a test) gets a temporary folder of its own.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs
@@ -62,3 +65,20 @@ def open_input(uri: str) -> pa.NativeFile:
     if isinstance(files, fs.LocalFileSystem):
         return pa.memory_map(path)
     return files.open_input_file(path)
+
+
+@lru_cache(maxsize=1)
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:                                     # another C library
+        return None
+
+
+def release() -> None:
+    """Give memory that a large group has freed back to the system, so that
+    idle Python workers stay small beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)

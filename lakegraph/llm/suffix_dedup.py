@@ -43,7 +43,8 @@ from lakegraph.llm.suffix_array import common_prefixes, longest_with_smaller, su
 
 SIZE, ANCHOR = 50, 24
 LEFT = SIZE - ANCHOR
-BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
+BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 2 << 20
+BLOCKS_PER_TASK = 4
 PIECE = 1 << 18
 PAD = 256                               # stands for "no byte" in a context
 _U = words.U64
@@ -235,17 +236,43 @@ def _answer_hashes(group: pa.Table) -> pa.Table:
 def _contexts(data: np.ndarray, offs: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Context of each anchor: LEFT bytes before it, nearest first, then SIZE
     bytes from its start; PAD beyond the document."""
-    out = np.full((len(at), LEFT + SIZE), PAD, dtype=np.uint16)
-    lo, hi = offs[row], offs[row + 1]
-    for k in range(LEFT):
-        ok = at - 1 - k >= lo
-        out[ok, k] = data[at[ok] - 1 - k]
-    for k in range(SIZE):
-        ok = at + k < hi
-        out[ok, LEFT + k] = data[at[ok] + k]
+    padded = np.concatenate([np.zeros(LEFT, np.uint8), data, np.zeros(SIZE, np.uint8)])
+    around = np.lib.stride_tricks.sliding_window_view(padded, LEFT + SIZE)[at]
+    out = np.empty((len(at), LEFT + SIZE), dtype=np.uint16)
+    out[:, :LEFT] = around[:, LEFT - 1::-1]
+    out[:, LEFT:] = around[:, LEFT:]
+    before, behind = at - offs[row], offs[row + 1] - at
+    for edge, room, first in ((before < LEFT, before, 0), (behind < SIZE, behind, LEFT)):
+        i = np.flatnonzero(edge)
+        width = LEFT if first == 0 else SIZE
+        beyond = np.arange(width) >= room[i][:, None]
+        part = out[i, first:first + width]
+        part[beyond] = PAD
+        out[i, first:first + width] = part
     return out
 
 
+def _same_contexts(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row of each distinct context, number of each row's context), in
+    order of the anchor's hash. A hash of the bytes sorts, the bytes decide; a
+    collision can only leave equal contexts apart, which changes no result."""
+    wide = np.ascontiguousarray(c).view(_U)
+    mixed = np.zeros(len(h), dtype=_U)
+    for k in range(wide.shape[1]):
+        mixed = (mixed ^ wide[:, k]) * _U(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> _U(29)
+    order = np.lexsort((mixed, h))
+    new = np.ones(len(h), dtype=bool)
+    same = (h[order][1:] == h[order][:-1]) & (mixed[order][1:] == mixed[order][:-1])
+    at = np.flatnonzero(same) + 1
+    for lo in range(0, len(at), 1 << 14):                # the rows compared are copied, a part at a time
+        part = at[lo:lo + (1 << 14)]
+        new[part] = (wide[order[part]] != wide[order[part - 1]]).any(axis=1)
+    number = np.empty(len(h), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
 def _rows_as_strings(*columns: np.ndarray) -> np.ndarray:
     """Rows of integer columns as byte strings that sort like the rows."""
     parts = []
@@ -271,7 +298,7 @@ def _shared_of_block(path: str, answers: dict[int, bytes], buckets: int):
     keep = several[of]
     row, at, h = row[keep], at[keep], h[keep]
     c = _contexts(data, offs, row, at)
-    _, first, number = np.unique(_rows_as_strings(h, c), return_index=True, return_inverse=True) if len(at) else (None, at, at)
+    first, number = _same_contexts(h, c)
     least = np.full(len(first), LAST)
     np.minimum.at(least, number, order[row])
     return table, data, offs, order, row, at, c[first], h[first], least, number
@@ -290,6 +317,8 @@ def _send_contexts(group_blocks: pa.Table, answers: pa.Table, buckets: int) -> p
             out["hashes"].append(_sorted_out(h[part]))
             out["docs"].append(_squeeze(least[part]))
             out["bytes"].append(_squeeze(c[part]))
+        del c, h, least
+        store.release()
     return pa.table(out, schema=_SENT)
 
 
@@ -379,7 +408,7 @@ def _answer_contexts(group: pa.Table) -> pa.Table:
     h = np.concatenate(hashes)
     docs = np.concatenate([_spread(x.as_py(), np.int64) for x in group["docs"]])
     c = np.concatenate([_spread(x.as_py(), np.uint16, LEFT + SIZE) for x in group["bytes"]])
-    _, first, number = np.unique(_rows_as_strings(h, c), return_index=True, return_inverse=True)
+    first, number = _same_contexts(h, c)
     least = np.full(len(first), LAST)
     np.minimum.at(least, number, docs)
     lo, hi = reaches(h[first], c[first], least)
@@ -390,6 +419,8 @@ def _answer_contexts(group: pa.Table) -> pa.Table:
     lo, hi = np.where(whole, left, lo).astype(np.uint8), np.where(whole, right, hi).astype(np.uint8)
     cut = np.cumsum([0] + [len(x) for x in hashes])
     packed = [_squeeze(np.stack([lo[a:b], hi[a:b]], axis=1)) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    del c, h, docs
+    store.release()
     return pa.table({"bucket": group["bucket"], "file": group["file"], "reach": pa.array(packed, pa.binary())})
 
 
@@ -444,10 +475,11 @@ def dedup(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), block_bytes: int
     buckets = max(1, -(-total // block_bytes))
     bits = min(64, max(40, total.bit_length() + 10))
     blocks = _write_blocks(rows, store.workspace(spark, "dedup"))
-    blocks = blocks.repartition("file")
+    n = max(1, -(-blocks.count() // BLOCKS_PER_TASK))
+    blocks = blocks.repartition(n, "file")
     answers = store.saved(_send_hashes(blocks, buckets, bits).groupBy("bucket").applyInArrow(
         _answer_hashes, "bucket long, file string, shared binary"), "dedup-shared")
-    sent = blocks.groupBy("file").cogroup(answers.groupBy("file")).applyInArrow(
+    sent = blocks.groupBy("file").cogroup(answers.repartition(n, "file").groupBy("file")).applyInArrow(
         lambda x, y: _send_contexts(x, y, buckets), "bucket long, file string, hashes binary, docs binary, bytes binary")
     reach = store.saved(sent.groupBy("bucket").applyInArrow(_answer_contexts, "bucket long, file string, reach binary"), "dedup-reach")
     schema = StructType([rows.schema[c] for c in keep])
@@ -464,6 +496,7 @@ def dedup(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), block_bytes: int
         import pyarrow.compute as pc
         first, second = y.filter(pc.is_valid(y["shared"])), y.filter(pc.is_valid(y["reach"]))
         made = [_rows(*_removed(path, first, second, buckets), arrow, as_text) for path in x["file"].to_pylist()]
+        store.release()
         return pa.concat_tables(made) if made else arrow.empty_table()
 
-    return blocks.groupBy("file").cogroup(told.groupBy("file")).applyInArrow(finish, schema)
+    return blocks.groupBy("file").cogroup(told.repartition(n, "file").groupBy("file")).applyInArrow(finish, schema)
