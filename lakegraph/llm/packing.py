@@ -3,9 +3,10 @@
 Documents longer than a sequence are cut; the first piece takes the remainder
 and the others are full. Pieces are dealt evenly over blocks of bounded size.
 In a block each piece goes where the sum over residual gaps of the squared
-number of open bins with that gap becomes smallest. Bins that stay too empty
-are dealt over fewer blocks and packed again, until one block holds the rest
-or a round no longer helps; no piece is ever left out.
+number of open bins with that gap becomes smallest, largest pieces first. Bins
+that are not full are dealt over fewer blocks and packed again, until one block
+holds the rest (or the rounds end); the last round also tries large pieces first
+with the rest mixed, and keeps what needs fewer bins. No piece is left out.
 
 Defined cases: a null or empty text has just the end id; repeated documents
 are packed once per row; an empty table gives no rows.
@@ -24,8 +25,7 @@ from pyspark.sql import functions as F
 from lakegraph.llm import store, tokens
 
 LENGTH, END = 1024, 2
-BLOCK = 4096                # pieces packed together
-GOOD = 1.0                  # fill from which a bin is closed in an early round
+BLOCK = 16_384              # pieces packed together
 ROUNDS = 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -49,14 +49,22 @@ def pieces(docs: DataFrame, tokenizer: str, byte_level: bool = True, length: int
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 
 
-def sum_of_squares(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of each size, placed largest first."""
+def arrivals(sizes: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """Orders to try: largest first; more than half a bin first, then mixed."""
+    down = np.argsort(-sizes, kind="stable")
+    large = int((2 * sizes > length).sum())
+    return [down, np.concatenate([down[:large], np.random.default_rng(len(sizes)).permutation(down[large:])])]
+
+
+def sum_of_squares(sizes: np.ndarray, length: int = LENGTH, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of each size, placed in the given order."""
     n = len(sizes)
+    order = arrivals(sizes, length)[0] if order is None else order
     where, offset = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
     open_bins = np.zeros(length + 1, dtype=np.int64)        # number of bins by residual gap
     by_gap: list[list[int]] = [[] for _ in range(length + 1)]
     bins = 0
-    for i in np.argsort(-sizes, kind="stable").tolist():
+    for i in order.tolist():
         s = int(sizes[i])
         # a bin of gap g becomes one of gap g - s; gap 0 is closed and counts as none
         gaps = np.flatnonzero(open_bins[s:length + 1]) + s
@@ -84,10 +92,10 @@ _PACKED = pa.schema([*_PIECES, ("block", pa.int64()), ("bin", pa.int64()), ("off
 PACKED = PIECES + ", block long, bin long, offset long, fill long"
 
 
-def _pack_block(length: int):
+def _pack_block(length: int, last: bool):
     def run(group: pa.Table) -> pa.Table:
         sizes = group["length"].to_numpy()
-        where, offset = sum_of_squares(sizes, length)
+        where, offset = min((sum_of_squares(sizes, length, x) for x in arrivals(sizes, length)[:2 if last else 1]), key=lambda r: int(r[0].max()))
         fill = np.bincount(where, weights=sizes)[where].astype(np.int64)
         cols = [group[c] for c in _PIECES.names] + [group["block"], pa.array(where), pa.array(offset), pa.array(fill)]
         return pa.table(cols, schema=_PACKED)
@@ -103,10 +111,10 @@ def pack(items: DataFrame, length: int = LENGTH, block: int = BLOCK, rounds: int
         blocks = max(1, -(-n // block))
         # row numbers of a written table: equal rows spread over blocks as well
         dealt = rest.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
-        packed = store.saved(dealt.groupBy("block").applyInArrow(_pack_block(length), PACKED), "packed")
-        number = F.lit(step << 58) + F.col("block") * (1 << 20) + F.col("bin")
         last = blocks == 1 or step == rounds - 1
-        good = F.lit(True) if last else F.col("fill") >= int(GOOD * length)
+        packed = store.saved(dealt.groupBy("block").applyInArrow(_pack_block(length, last), PACKED), "packed")
+        number = F.lit(step << 58) + F.col("block") * (1 << 20) + F.col("bin")
+        good = F.lit(True) if last else F.col("fill") == length
         done.append(packed.filter(good).withColumn("sequence_id", number))
         if last:
             break
