@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from lakegraph.llm import store, words
 
@@ -135,21 +135,23 @@ def digest(n_words, n_hit, names) -> list[pa.Array]:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], n: int = N,
-              max_bytes: int = MAX_BENCHMARK_BYTES) -> DataFrame:
-    """The kept columns of every document and its HITS columns."""
+              max_bytes: int = MAX_BENCHMARK_BYTES, prefix: str = "") -> DataFrame:
+    """The kept columns of every document and its HITS columns; a prefix of
+    their names avoids clashes with kept columns."""
     schema = StructType([docs.schema[c] for c in keep])
     rows = docs.select(*keep, F.col("text").alias("_text"))
+    names = [prefix + x for x in HITS]
     blocks = list(_blocks(benchmark, n, max_bytes))
     if len(blocks) == 1:
-        for name, kind in zip(HITS, ("long", "long", "long", "string", "boolean"), strict=True):
+        for name, kind in zip(names, ("long", "long", "long", "string", "boolean"), strict=True):
             schema = schema.add(name, kind)
         return _scan(rows, blocks[0], schema, keep, raw=False)
     # several blocks: hit word numbers and items of each are merged per row
     key = "_row"
     rows = rows.withColumn(key, F.expr("uuid()"))
     rows = store.saved(rows, "decontaminate")           # fixes the row keys
-    raw = StructType([rows.schema[c] for c in [*keep, key]]).add("n_words", "long") \
-        .add("_hit", "array<long>").add("_items", "array<string>")
+    raw = StructType([rows.schema[c] for c in [*keep, key]]).add("_n_words", "long") \
+        .add("_hit", ArrayType(LongType())).add("_items", ArrayType(StringType()))
     found = [_scan(rows, b, raw, [*keep, key], raw=True) for b in blocks]
     out = found[0]
     for x in found[1:]:
@@ -158,12 +160,13 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], n: int = N
     n_items = F.size(F.array_distinct(F.flatten(F.collect_list("_items"))))
     # each row comes once per block, so a group has as many rows as blocks
     out = out.groupBy(key).agg(
-        *[F.first(c).alias(c) for c in [*keep, "n_words"]],
-        F.size(F.array_distinct(F.flatten(F.collect_list("_hit")))).cast("long").alias("n_hit"),
-        n_items.cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"))
-    return out.drop(key).withColumn("contaminated", F.col("n_hit") > 0)
+        *[F.first(c).alias(c) for c in keep], F.first("_n_words").alias(names[0]),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_hit")))).cast("long").alias(names[1]),
+        n_items.cast("long").alias(names[2]), F.sha2(items, 256).alias(names[3]))
+    return out.drop(key).withColumn(names[4], F.col(names[1]) > 0)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, columns: tuple[str, ...], n: int = N) -> DataFrame:
     """The given columns of the documents without a hit, texts unchanged."""
-    return find_hits(docs, benchmark, list(columns), n).filter(~F.col("contaminated")).select(*columns)
+    found = find_hits(docs, benchmark, list(columns), n, prefix="__found_")
+    return found.filter(~F.col("__found_contaminated")).select(*columns)

@@ -16,13 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakegraph.llm import store, words
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW, MAX_RATE = 10, 20, 5, 0.5
+MIN_WEIGHT = 10.0     # the prior weighs at least as much as so many documents
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _IN_LINE = np.ones(256, dtype=bool)
@@ -72,10 +73,12 @@ def measure(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
             _per_row(_SYMBOL[data], offs), np.bincount(line_row[dup], minlength=n), _per_row(repeated, word_of_row)]
 
 
-def with_measures(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """The kept columns and the MEASURES of every whole text."""
+def with_measures(docs: DataFrame, keep: tuple[str, ...], prefix: str = "") -> DataFrame:
+    """The kept columns and the MEASURES of every whole text; a prefix of their
+    names avoids clashes with kept columns."""
+    names = [prefix + x for x in MEASURES]
     schema = StructType([docs.schema[c] for c in keep])
-    for c in MEASURES:
+    for c in names:
         schema = schema.add(c, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,15 +87,16 @@ def with_measures(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
                 part = b.slice(row, end - row)
                 yield pa.RecordBatch.from_arrays(
                     [part[c] for c in keep] + [pa.array(x, pa.int64()) for x in measure(data, offs)],
-                    names=[*keep, *MEASURES])
+                    names=[*keep, *names])
 
     text = "text" if "text" in keep else "_text"
     extra = [] if text in keep else [F.col("text").alias(text)]
     return docs.select(*keep, *extra).mapInArrow(run, schema)
 
 
-def base_failed(min_words: int = MIN_WORDS, max_percent: int = MAX_REPEAT_PERCENT) -> F.Column:
-    return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_percent * F.col("n_words"))
+def base_failed(min_words: int = MIN_WORDS, max_percent: int = MAX_REPEAT_PERCENT, prefix: str = "") -> Column:
+    n, repeated = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
+    return (n < min_words) | (100 * repeated > max_percent * n)
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:
@@ -109,7 +113,7 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     m = (r.m * r.n + 0.5) / (r.n + 1.0)                 # never exactly 0 or 1
     between = r.var - m * (1 - m) * r.inv               # what sampling does not explain
     weight = m * (1 - m) / between - 1 if between > 0 else r.n
-    weight = min(max(weight, 1.0), r.n + 1.0)
+    weight = max(min(weight, r.n + 1.0), MIN_WEIGHT)
     return m * weight, (1 - m) * weight
 
 
@@ -138,5 +142,5 @@ def keep(docs: DataFrame, columns: tuple[str, ...], max_rate: float = MAX_RATE)
     again instead of moving whole texts through a join."""
     judged = store.saved(with_measures(docs, ("source",)).select("source", base_failed().alias("base_failed")), "quality")
     bad = host_verdicts(judged, max_rate).filter("rejected").select("source")
-    good = with_measures(docs, columns).filter(~base_failed()).select(*columns)
+    good = with_measures(docs, columns, "__m_").filter(~base_failed(prefix="__m_")).select(*columns)
     return good.join(bad, "source", "left_anti").select(*columns)

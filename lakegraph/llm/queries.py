@@ -108,6 +108,18 @@ per_item AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY i
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN per_word USING (doc_id) LEFT JOIN per_item USING (doc_id)""",
+    "op3_jaccard_join": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_SPACE_WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS sh
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * i >= {jaccard_join.PERCENT} * (nx.n + ny.n - i)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.y, r.c FROM r JOIN e ON r.doc_id = e.x)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""",
     "op5_quality_rules": rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_SPACE_WORD}') AS w FROM documents),
 lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
@@ -123,7 +135,7 @@ j AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality
 h AS (SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS f FROM j WHERE source IS NOT NULL GROUP BY source),
 s AS (SELECT sum(n) AS n, (sum(f) + 0.5) / (sum(n) + 1) AS m, var_pop(f / n) AS v, avg(1 / n) AS inv FROM h),
 k AS (SELECT n, m, v - m * (1 - m) * inv AS b FROM s),
-p AS (SELECT m, least(greatest(CASE WHEN b > 0 THEN m * (1 - m) / b - 1 ELSE n END, 1), n + 1) AS wt FROM k),
+p AS (SELECT m, greatest(least(CASE WHEN b > 0 THEN m * (1 - m) / b - 1 ELSE n END, n + 1), {quality.MIN_WEIGHT}) AS wt FROM k),
 bad AS (SELECT source FROM h, p WHERE (f + m * wt) / (n + wt) > {quality.MAX_RATE})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept FROM j""",
