@@ -16,7 +16,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as entry  # noqa: E402
+from lakegraph.plans import catalog  # noqa: E402
 
 from lakegraph.session import get_spark  # noqa: E402
 
@@ -50,7 +50,7 @@ def main() -> None:
     print("|---|---|---|---|---|---|---|---|")
     # (shuffles counts exchanges in the final plan, including those AQE later
     # reads as coalesced or local; broadcasts include runtime conversions)
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.JOBS.items():
         df = fn(spark, sf_dir)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()                 # run this frame's own adaptive plan to the end
@@ -72,7 +72,7 @@ Notes
   (histogram bins, quantile range totals, checked lookups) or AQE's run-time
   choice for sides it measured as small.
 - Python appears only in the vector jobs (Arrow batches: top-k kernel in
-  `knn_exact`, cosine re-rank in `knn_lsh`).
+  `knn_exact` and `knn_lsh`).
 - Per-stage time, task count and shuffle bytes per job: run bench.py with
   BENCH_EVENT_LOG and read it with tools/stage_times.py.
 """
