@@ -209,13 +209,18 @@ def fit(sample: list[tuple[str, str]], labels: list[str], lex: np.ndarray) -> di
 def train(labelled: DataFrame) -> dict | None:
     """A model of fixed size from (doc_id, text, lang) rows; None without any."""
     labelled = labelled.filter("text is not null and lang is not null")
-    labels = sorted(r.lang for r in labelled.select("lang").distinct().collect())
+    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    labels = sorted(counts)
     if not labels:
         return None
     lex = lexicon(labelled, labels)
-    rows = (labelled.filter((F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"\S"))
-            .select("text", "lang", F.xxhash64("doc_id").alias("h"))
-            .orderBy("h", "text").limit(SAMPLE_DOCS).collect())
+    # a share of the rows by hash first, about four times the sample, so that few
+    # texts are sorted and sent however many tasks there are
+    h = F.xxhash64("doc_id", "text")
+    share = min(1.0, 4.0 * SAMPLE_DOCS / sum(counts.values()))
+    rows = (labelled.filter(F.pmod(h, F.lit(1_000_000_007)) <= int(share * 1_000_000_007))
+            .filter((F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"\S"))
+            .select("text", "lang", h.alias("h")).orderBy("h", "text").limit(SAMPLE_DOCS).collect())
     sample = [(r.text, r.lang) for r in rows]
     if not sample:
         return {"labels": labels, "lexicon": lex, "weight": 1.0, "trans": np.eye(len(labels)) * 2.0,
