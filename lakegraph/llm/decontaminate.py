@@ -124,6 +124,7 @@ def _scan(docs: DataFrame, block: Windows, schema: StructType, keep: list[str],
                 else:
                     cols += digest(np.diff(first), [len(h) for h in hits], names)
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+        store.release()
 
     return docs.mapInArrow(run, schema)
 

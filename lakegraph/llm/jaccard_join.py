@@ -137,20 +137,22 @@ def _measure(docs: DataFrame, size: int) -> DataFrame:
     """One row per document (doc_id, n, v) and each task's sketch blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(SKETCH, dtype=np.int64)
+        table = np.zeros(SKETCH, dtype=np.int32)
         for b in batches:
             for row, end, data, offs in words.chunks(b["text"]):
                 s = Sets(data, offs, size)
-                table += np.bincount((s.h % words.U64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                np.add.at(table, (s.h % words.U64(SKETCH)).astype(np.int64), 1)
                 k = end - row
                 yield pa.RecordBatch.from_arrays(
                     [b["doc_id"].slice(row, k), pa.array(s.n, pa.int64()), pa.array(s.fingerprints()),
                      pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=_MADE)
-        blocks = [x.astype(np.int32) for x in np.split(table, BLOCKS)]
+        blocks = np.split(table, BLOCKS)
         used = [i for i, x in enumerate(blocks) if x.any()]
         packed = [pa.compress(blocks[i].tobytes(), codec="zstd", asbytes=True) for i in used]
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, pa.array(used, pa.int32()), pa.array(packed, pa.binary())], schema=_MADE)
+        del table, blocks, packed
+        store.release()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, v long, block int, counts binary")
 
@@ -201,6 +203,7 @@ def _vertices(docs: DataFrame, sketch: np.ndarray, light: int, size: int) -> Dat
                      pa.ListArray.from_arrays(at, pa.array(keys)), pa.ListArray.from_arrays(at, pa.array(places, pa.int32()))],
                     names=["v", "n", "doc", "bitmap", "keys", "places"])
                 yield out.filter(pa.array(s.n > 8))
+        store.release()
 
     made = docs.select("doc_id", "text").mapInArrow(run, "v long, n long, doc long, bitmap binary, keys array<long>, places array<int>")
     return made.groupBy("v").agg(F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("n", "bitmap", "keys", "places")])
@@ -258,6 +261,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, size: int)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.fingerprints()), pa.ListArray.from_arrays(pa.array(s.first, pa.int32()), pa.array(s.h.view(np.int64)))],
                     names=["v", "h"])
+        store.release()
 
     made = docs.select("doc_id", "text").mapInArrow(sets, "v long, h array<long>")
     both = pairs.join(made.select(F.col("v").alias("a"), F.col("h").alias("ha")), "a") \
@@ -271,6 +275,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, size: int)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append((100 + PERCENT) * common >= PERCENT * (len(x) + len(y)))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        store.release()
 
     return both.select("a", "b", "ha", "hb").mapInArrow(check, "a long, b long").distinct()
 

@@ -88,6 +88,7 @@ def with_measures(docs: DataFrame, keep: tuple[str, ...], prefix: str = "") -> D
                 yield pa.RecordBatch.from_arrays(
                     [part[c] for c in keep] + [pa.array(x, pa.int64()) for x in measure(data, offs)],
                     names=[*keep, *names])
+        store.release()
 
     text = "text" if "text" in keep else "_text"
     extra = [] if text in keep else [F.col("text").alias(text)]

@@ -167,6 +167,8 @@ def _write_blocks(docs: DataFrame, folder: str) -> DataFrame:
                     held, size = [], 0
         if held:
             yield pa.RecordBatch.from_pydict({"file": [flush()]})
+        held = []
+        store.release()
 
     return store.saved(docs.mapInArrow(run, "file string"), "dedup-blocks")
 
@@ -208,6 +210,7 @@ def _send_hashes(blocks: DataFrame, buckets: int, bits: int) -> DataFrame:
                      pa.array([_sorted_out(short[cut[i]:cut[i + 1]]) for i in used], pa.binary()),
                      pa.array([np.packbits(several[cut[i]:cut[i + 1]]).tobytes() for i in used], pa.binary())],
                     names=["bucket", "file", "hashes", "several"])
+        store.release()
 
     return blocks.mapInArrow(run, "bucket long, file string, hashes binary, several binary")
 

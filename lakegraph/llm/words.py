@@ -33,9 +33,12 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column; null reads as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
-    _, offs, data = column.buffers()
-    o = np.frombuffer(offs, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    if column.null_count:
+        column = column.fill_null("" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    _, offs, data = column.buffers()                    # views, the batch is not copied
+    o = np.frombuffer(offs, dtype=np.int64 if wide else np.int32) if offs is not None and offs.size else np.zeros(1, np.int64)
+    o = o[column.offset:column.offset + len(column) + 1].astype(np.int64)
     d = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     return d[o[0]:o[-1]], o - o[0]
 
