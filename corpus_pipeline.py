@@ -13,6 +13,8 @@ from lakegraph.llm import decontaminate, jaccard_join, packing, quality, store,
 from lakegraph.llm.queries import read, vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# near copies: Jaccard of at least 80 percent on runs of five words
+NEAR_SIZE, NEAR_PERCENT = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return jaccard_join.keep_smallest(docs, COLUMNS)
+    return jaccard_join.keep_smallest(docs, COLUMNS, NEAR_SIZE, NEAR_PERCENT)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,11 @@
-"""Similarity join of documents on word shingles: Jaccard >= 0.9, by a
-size-aware heavy-light join.
+"""Similarity join of documents on word shingles: Jaccard >= percent / 100 (0.9
+unless given), by a size-aware heavy-light join.
 
 A document is its set of distinct word shingles. Equal sets are one vertex.
 Shingles are ordered rare first by a count sketch over the whole corpus (a
 table of fixed size; the order decides only how much work is done). A set of
-size s shares at least o = ceil(0.9 s) shingles with any partner, so two
-partners have c common shingles among their first s - o + c:
+size s shares at least o = ceil(percent / 100 s) shingles with any partner, so
+two partners have c common shingles among their first s - o + c:
 
 * light sets (up to the boundary size) enumerate all pairs (c = 2) of those
   first shingles; equal pairs make candidates;
@@ -17,8 +17,8 @@ The boundary is the size with the smallest cost over the corpus' histogram of
 set sizes; a list entry costs ``SCAN`` subset keys.
 
 Every entry knows how many rarer shingles its set has in front. The smaller set
-of a pair needs fewer of its first shingles (overlap at least 18/19 of its
-size), so lists pair these index entries with all others, and the shingles in
+of a pair needs fewer of its first shingles (at 0.9, overlap at least 18/19 of
+its size), so lists pair these index entries with all others, and the shingles in
 front bound the overlap that is still possible.
 
 Candidates of a list are first the pairs with its foremost member (the one with
@@ -32,7 +32,7 @@ components is lost. Pairs are cut by a bound on the symmetric difference
 Shingles and sets are told apart by 64-bit hashes.
 
 Defined cases: null, empty or wordless texts have the empty set and no link;
-fewer than three words are one shingle; a null doc_id is larger than any
+fewer words than a shingle has are one shingle; a null doc_id is larger than any
 other; repeated rows are copies; an empty table gives no rows.
 """
 
@@ -55,17 +55,22 @@ BITS = 1024
 BLOOM = 1 << 23
 
 
-def need(n):
+def need(n, percent: int = PERCENT):
     """Smallest overlap of a set of n with any partner."""
-    return -(-PERCENT * n // 100)
+    return -(-percent * n // 100)
 
 
-def overlap(total):
+def overlap(total, percent: int = PERCENT):
     """Smallest overlap of two linked sets whose sizes add up to ``total``;
     a Column or a number."""
     if isinstance(total, Column):
-        return F.ceil(F.lit(PERCENT) * total / F.lit(100.0 + PERCENT) - F.lit(1e-9))
-    return -(-PERCENT * total // (100 + PERCENT))
+        return F.ceil(F.lit(percent) * total / F.lit(100.0 + percent) - F.lit(1e-9))
+    return -(-percent * total // (100 + percent))
+
+
+def linkable(percent: int = PERCENT) -> int:
+    """Smallest set that may link to a different one: n of n + 1 in common."""
+    return -(-percent // (100 - percent))
 
 
 class Sets:
@@ -103,7 +108,7 @@ class Sets:
         cell = self.row * BITS + (self.h >> words.U64(54)).astype(np.int64) % BITS
         return np.packbits((np.bincount(cell, minlength=rows * BITS) & 1).astype(np.uint8).reshape(rows, BITS), axis=1)
 
-    def keys(self, sketch: np.ndarray, light: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def keys(self, sketch: np.ndarray, light: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, key, place) of all subset keys and list keys; place is the
         number of the set's shingles that come before the key's last one,
         without the key's own."""
@@ -113,10 +118,11 @@ class Sets:
         token, row = self.h[order], self.row[order]
         place = np.arange(len(token)) - self.first[:-1][row]
         n = self.n[row]
-        lists = (n > 8) & (n >= need(light)) & (place < n - need(n) + 1)     # smaller sets only have equal partners
+        least = linkable(percent)                       # smaller sets only have equal partners
+        lists = (n >= least) & (n >= need(light, percent)) & (place < n - need(n, percent) + 1)
         keys, rows, places = [words.mix(token[lists] + words.U64(1))], [row[lists]], [place[lists]]
-        start, take = self.first[:-1], self.n - need(self.n) + 2
-        small = (self.n > 8) & (self.n <= light)
+        start, take = self.first[:-1], self.n - need(self.n, percent) + 2
+        small = (self.n >= least) & (self.n <= light)
         depth = int(take[small].max()) if small.any() else 0
         for i in range(depth):
             for j in range(i + 1, depth):
@@ -175,18 +181,19 @@ def _sketch(made: DataFrame) -> np.ndarray:
     return out
 
 
-def boundary(sizes: list[tuple[int, int]]) -> int:
+def boundary(sizes: list[tuple[int, int]], percent: int = PERCENT) -> int:
     """Largest light size, by cost over (size, sets) pairs of the histogram."""
     n = np.array([s for s, _ in sizes] or [0], dtype=np.int64)
     many = np.array([c for _, c in sizes] or [0], dtype=np.float64)
-    slack = n - need(n)
+    slack, least = n - need(n, percent), linkable(percent)
     light_cost = many * (slack + 2) * (slack + 1) / 2
     list_cost = many * (slack + 1) * SCAN
-    best = min(range(8, 400), key=lambda x: (light_cost[(n > 8) & (n <= x)].sum() + list_cost[(n > 8) & (n >= need(x))].sum(), x))
+    best = min(range(least - 1, 400), key=lambda x: (light_cost[(n >= least) & (n <= x)].sum()
+                                                     + list_cost[(n >= least) & (n >= need(x, percent))].sum(), x))
     return best
 
 
-def _vertices(docs: DataFrame, sketch: np.ndarray, light: int, size: int) -> DataFrame:
+def _vertices(docs: DataFrame, sketch: np.ndarray, light: int, size: int, percent: int) -> DataFrame:
     """(v, n, doc, bitmap, keys, places) of each distinct set that may have
     partners."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
@@ -195,21 +202,21 @@ def _vertices(docs: DataFrame, sketch: np.ndarray, light: int, size: int) -> Dat
         for b in batches:
             for row, end, data, offs in words.chunks(b["text"]):
                 s = Sets(data, offs, size)
-                rows, keys, places = s.keys(sent.value, light)
+                rows, keys, places = s.keys(sent.value, light, percent)
                 at = pa.array(np.searchsorted(rows, np.arange(end - row + 1)), pa.int32())
                 out = pa.RecordBatch.from_arrays(
                     [pa.array(s.fingerprints()), pa.array(s.n, pa.int64()), b["doc_id"].slice(row, end - row),
                      pa.array([x.tobytes() for x in s.bitmaps()], pa.binary()),
                      pa.ListArray.from_arrays(at, pa.array(keys)), pa.ListArray.from_arrays(at, pa.array(places, pa.int32()))],
                     names=["v", "n", "doc", "bitmap", "keys", "places"])
-                yield out.filter(pa.array(s.n > 8))
+                yield out.filter(pa.array(s.n >= linkable(percent)))
         store.release()
 
     made = docs.select("doc_id", "text").mapInArrow(run, "v long, n long, doc long, bitmap binary, keys array<long>, places array<int>")
     return made.groupBy("v").agg(F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("n", "bitmap", "keys", "places")])
 
 
-def _near(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and parity bitmaps do not rule out."""
     side = vertices.select("v", "n", "bitmap")
     x = pairs.join(side.select(F.col("v").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("ma")), "a")
@@ -222,14 +229,14 @@ def _near(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
             total = b["na"].to_numpy() + b["nb"].to_numpy()
             ma, mb = (words.flat(b[c])[0].reshape(b.num_rows, -1) for c in ("ma", "mb"))
             apart = np.bitwise_count(ma ^ mb).sum(axis=1, dtype=np.int64)
-            most = total - 2 * overlap(total)
+            most = total - 2 * overlap(total, percent)
             yield b.select(["a", "b"]).filter(pa.array(apart <= most))
 
-    return x.filter("100 * least(na, nb) >= 90 * greatest(na, nb)").select("a", "b", "na", "nb", "ma", "mb") \
+    return x.filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b", "na", "nb", "ma", "mb") \
         .mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, size: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose whole sets link. Only documents that may stand for a
     paired vertex have their sets made again: a Bloom filter of fixed size
     over their doc_ids spares the others, the join decides."""
@@ -273,28 +280,29 @@ def _verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, size: int)
             for x, y in zip(b["ha"], b["hb"], strict=True):
                 x, y = x.values.to_numpy(), y.values.to_numpy()
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append((100 + PERCENT) * common >= PERCENT * (len(x) + len(y)))
+                keep.append((100 + percent) * common >= percent * (len(x) + len(y)))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
         store.release()
 
     return both.select("a", "b", "ha", "hb").mapInArrow(check, "a long, b long").distinct()
 
 
-def similar(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document; percent is above
+    50 and below 100."""
     made = store.saved(_measure(docs, size), "shingle-sets")
     sizes = [(r.n, r["count"]) for r in made.filter("n <= 400").groupBy("n").count().collect()]     # at most 401 rows
-    light = boundary(sizes)
-    vertices = store.saved(_vertices(docs, _sketch(made), light, size), "vertices")
+    light = boundary(sizes, percent)
+    vertices = store.saved(_vertices(docs, _sketch(made), light, size, percent), "vertices")
     entries = vertices.select("v", "n", F.explode(F.arrays_zip("keys", "places")).alias("e")) \
         .select("v", "n", F.col("e.keys").alias("key"), F.col("e.places").alias("place")) \
-        .withColumn("index", F.col("place") <= F.col("n") - overlap(F.col("n") * 2))
+        .withColumn("index", F.col("place") <= F.col("n") - overlap(F.col("n") * 2, percent))
     # lists of two or more, with their foremost member
     heads = entries.groupBy("key").agg(F.min(F.struct("place", "n", "v")).alias("head"), F.count(F.lit(1)).alias("many"),
                                        F.max("index").alias("some")).filter("many > 1 and some")
     lists = store.saved(entries.join(heads, "key").select("key", "v", "n", "place", "index", "many", F.col("head.v").alias("head")), "lists")
-    stars = store.saved(_near(lists.filter("v != head").select(F.col("head").alias("a"), F.col("v").alias("b")).distinct(), vertices), "pairs")
-    links = store.saved(_verified(stars, docs, vertices, size), "links")
+    stars = store.saved(_near(lists.filter("v != head").select(F.col("head").alias("a"), F.col("v").alias("b")).distinct(), vertices, percent), "pairs")
+    links = store.saved(_verified(stars, docs, vertices, size, percent), "links")
     label = components(links)
     # lists of three or more that hold several components give their other pairs
     rest = lists.filter("many > 2").drop("many").join(label, "v", "left").withColumn("label", F.coalesce("label", "v"))
@@ -304,11 +312,11 @@ def similar(docs: DataFrame, size: int = SIZE) -> DataFrame:
     y = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("v", "n", "place", "label")])
     front = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     others = x.join(y, "key").filter((F.col("label_a") != F.col("label_b")) & (F.struct("n_a", "v_a") < F.struct("n_b", "v_b"))
-                                     & (100 * F.col("n_a") >= PERCENT * F.col("n_b")) & (front >= overlap(F.col("n_a") + F.col("n_b")))) \
+                                     & (100 * F.col("n_a") >= percent * F.col("n_b")) & (front >= overlap(F.col("n_a") + F.col("n_b"), percent))) \
         .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct()
-    more = store.saved(_near(others, vertices), "pairs")
+    more = store.saved(_near(others, vertices, percent), "pairs")
     if more.limit(1).count():
-        links = store.saved(links.unionByName(_verified(more, docs, vertices, size)).distinct(), "links")
+        links = store.saved(links.unionByName(_verified(more, docs, vertices, size, percent)).distinct(), "links")
         label = components(links)
     grouped = vertices.select("v", "doc").join(label, "v")
     smallest = grouped.groupBy("label").agg(F.min("doc").alias("component"))
@@ -322,9 +330,9 @@ def similar(docs: DataFrame, size: int = SIZE) -> DataFrame:
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_smallest(docs: DataFrame, columns: tuple[str, ...], size: int = SIZE) -> DataFrame:
+def keep_smallest(docs: DataFrame, columns: tuple[str, ...], size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The given columns of the documents that stand for their component: the
     smallest doc_id of each. Documents with an empty set, or a null doc_id,
     stay."""
-    gone = similar(docs, size).filter("component_id != doc_id").select("doc_id").distinct()
+    gone = similar(docs, size, percent).filter("component_id != doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*columns)
