@@ -26,7 +26,8 @@ the fewest rarer shingles, as the least edited of a group of copies). Links
 found by them are joined to components, and only lists that still hold several
 components give their other pairs, across components, so a large group of near
 copies costs about one pair per member and list, and no link between
-components is lost. Pairs are cut by a bound on the symmetric difference
+components is lost. Where all links are asked for, the lists then give their
+pairs inside components too. Pairs are cut by a bound on the symmetric difference
 (parity bitmaps, exact), and the rest is decided by intersecting whole sets.
 
 Shingles and sets are told apart by 64-bit hashes.
@@ -287,9 +288,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, size: int,
     return both.select("a", "b", "ha", "hb").mapInArrow(check, "a long, b long").distinct()
 
 
-def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document; percent is above
-    50 and below 100."""
+def _others(members: DataFrame, on: list[str], percent: int) -> DataFrame:
+    """(a, b, label_a, label_b) of list members that agree in ``on`` and whose
+    sizes and places do not rule a link out; a is the smaller set."""
+    x = members.filter("index").select(*on, *[F.col(c).alias(f"{c}_a") for c in ("v", "n", "place", "label") if c not in on])
+    y = members.select(*on, *[F.col(c).alias(f"{c}_b") for c in ("v", "n", "place", "label") if c not in on])
+    front = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    return x.join(y, on).filter((F.struct("n_a", "v_a") < F.struct("n_b", "v_b")) & (100 * F.col("n_a") >= percent * F.col("n_b"))
+                                & (front >= overlap(F.col("n_a") + F.col("n_b"), percent))) \
+        .withColumnsRenamed({"v_a": "a", "v_b": "b"})
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _joined(docs: DataFrame, size: int, percent: int, whole: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The measured documents, the vertices, links (a, b) and the components
+    (v, label). The links make the components; ``whole`` gives all of them,
+    each once."""
     made = store.saved(_measure(docs, size), "shingle-sets")
     sizes = [(r.n, r["count"]) for r in made.filter("n <= 400").groupBy("n").count().collect()]     # at most 401 rows
     light = boundary(sizes, percent)
@@ -308,26 +325,50 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFr
     rest = lists.filter("many > 2").drop("many").join(label, "v", "left").withColumn("label", F.coalesce("label", "v"))
     mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
     rest = store.saved(rest.join(mixed, "key", "left_semi").filter("v != head").drop("head"), "mixed")
-    x = rest.filter("index").select("key", *[F.col(c).alias(f"{c}_a") for c in ("v", "n", "place", "label")])
-    y = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("v", "n", "place", "label")])
-    front = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    others = x.join(y, "key").filter((F.col("label_a") != F.col("label_b")) & (F.struct("n_a", "v_a") < F.struct("n_b", "v_b"))
-                                     & (100 * F.col("n_a") >= percent * F.col("n_b")) & (front >= overlap(F.col("n_a") + F.col("n_b"), percent))) \
-        .select(F.col("v_a").alias("a"), F.col("v_b").alias("b")).distinct()
+    others = _others(rest, ["key"], percent).filter("label_a != label_b").select("a", "b").distinct()
     more = store.saved(_near(others, vertices, percent), "pairs")
     if more.limit(1).count():
         links = store.saved(links.unionByName(_verified(more, docs, vertices, size, percent)).distinct(), "links")
         label = components(links)
+    if whole:
+        # what is left are the pairs inside a component that no pass has checked
+        members = lists.filter("many > 2 and v != head").join(label, "v").select("key", "v", "n", "place", "index", "label")
+        inside = _near(_ordered(_others(members, ["key", "label"], percent)), vertices, percent)
+        inside = store.saved(inside.join(_ordered(stars.unionByName(more)), ["a", "b"], "left_anti"), "pairs")
+        links = store.saved(_ordered(links.unionByName(_verified(inside, docs, vertices, size, percent))), "links")
+    return made, vertices, links, label
+
+
+def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """(a, b) of every two different sets that link, each pair once, a below b;
+    a set goes by the smallest doc_id that has it."""
+    _, vertices, found, _ = _joined(docs, size, percent, whole=True)
+    ends = [vertices.select(F.col("v").alias(c), F.col("doc").alias(f"doc_{c}")) for c in "ab"]
+    x, y = F.struct(F.col("doc_a").isNull(), "doc_a"), F.struct(F.col("doc_b").isNull(), "doc_b")      # null is larger
+    return found.join(ends[0], "a").join(ends[1], "b").select(F.when(x <= y, F.col("doc_a")).otherwise(F.col("doc_b")).alias("a"),
+                                                              F.when(x <= y, F.col("doc_b")).otherwise(F.col("doc_a")).alias("b"))
+
+
+def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, counted: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document; percent is above
+    50 and below 100. ``counted`` adds n_links, the other documents it links
+    to, copies of its own set included."""
+    made, vertices, found, label = _joined(docs, size, percent, whole=counted)
     grouped = vertices.select("v", "doc").join(label, "v")
     smallest = grouped.groupBy("label").agg(F.min("doc").alias("component"))
     of_vertex = grouped.join(smallest, "label").select("v", "component")
     # sets too small for links: equal sets only
     own = made.filter("block is null").select("doc_id", "n", "v")
-    equal = own.filter("n > 0").groupBy("v").agg(F.min("doc_id").alias("least"))
-    ids = equal.join(of_vertex, "v", "left").select("v", F.least("least", "component").alias("component"))
+    equal = own.filter("n > 0").groupBy("v").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    ids = equal.join(of_vertex, "v", "left").select("v", F.least("least", "component").alias("component"), "copies")
+    if counted:
+        ends = found.union(found.select("b", "a")).toDF("v", "to").join(equal.select(F.col("v").alias("to"), "copies"), "to")
+        ids = ids.join(ends.groupBy("v").agg(F.sum("copies").alias("partners")), "v", "left") \
+            .withColumn("n_links", F.col("copies") - 1 + F.coalesce("partners", F.lit(0)))
     return own.join(ids, "v", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        *[F.coalesce("n_links", F.lit(0)).alias("n_links")] * counted)
 
 
 def keep_smallest(docs: DataFrame, columns: tuple[str, ...], size: int = SIZE, percent: int = PERCENT) -> DataFrame:

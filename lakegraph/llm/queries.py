@@ -36,6 +36,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar(read(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(read(spark, sf_dir, "documents"), counted=True)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
 
@@ -70,8 +74,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_jaccard_join, op4_best_fit_packing, op5_quality_rules, op6_warc,
-                            op7_lm_scoring, op8_token_files, op9_language_id, op10_url_filter)}
+    f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_jaccard_join, op3_jaccard_links, op4_best_fit_packing, op5_quality_rules,
+                            op6_warc, op7_lm_scoring, op8_token_files, op9_language_id, op10_url_filter)}
 
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -158,3 +162,6 @@ on_list AS (SELECT DISTINCT page_id FROM f WHERE listed)
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN on_list.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
 FROM u LEFT JOIN best USING (page_id) LEFT JOIN on_list USING (page_id)""",
 }
+# op3's rows, with the number of links of each
+SQL["op3_jaccard_links"] = SQL["op3_jaccard_join"].replace(
+    "min(r.c) AS component_id", "min(r.c) AS component_id, (SELECT count(*) FROM e WHERE e.x = r.doc_id)::BIGINT AS n_links")
