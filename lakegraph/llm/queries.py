@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegraph.llm import decontaminate, jaccard_join, langid, ngram_lm, packing, quality, suffix_dedup, token_files, url_filter, warc
+from lakegraph.llm import (decontaminate, jaccard_join, langid, ngram_lm, nn_descent, packing, periodic, quality, suffix_dedup, token_files,
+                           url_filter, warc, whiten)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,9 +74,43 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def repeated_words(docs: DataFrame) -> DataFrame:
+    """doc_id and text of all documents; in a tenth of them, chosen by doc_id,
+    the words from one on go round in a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    w = F.filter(F.split(F.when(h % 10 == 0, F.col("text")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    n = F.when(F.size("w") > 0, F.size("w"))
+    rows = docs.select("doc_id", "text", g.alias("g"), w.alias("w")).withColumn("a", F.col("g") % n) \
+        .withColumn("p", F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8)))
+    turned = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(
+        F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return rows.select("doc_id", F.when(n.isNotNull(), F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.find_runs(repeated_words(read(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                  r["period"].cast("string"), F.lit("\n")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    out = out.withColumns({"best": best, "lines": F.array_join(line, "")})
+    length, period = -F.col("best.less"), F.col("best.period")
+    return out.select("doc_id", "n_runs", F.col("best.start").alias("start"), length.alias("length"), period.alias("period"),
+                      F.floor(F.lit(1000) * length / period).alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"),
+                      F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(read(spark, sf_dir, "embeddings")).drop("audit_recall")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(read(spark, sf_dir, "embeddings"))
+
+
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_jaccard_join, op3_jaccard_links, op4_best_fit_packing, op5_quality_rules,
-                            op6_warc, op7_lm_scoring, op8_token_files, op9_language_id, op10_url_filter)}
+                            op6_warc, op7_lm_scoring, op8_token_files, op9_language_id, op10_url_filter, op11_periodic_runs, op12_nn_descent, op13_whitening)}
 
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -161,6 +196,16 @@ best AS (SELECT page_id, rhost || rpath AS rule, action FROM f WHERE NOT listed
 on_list AS (SELECT DISTINCT page_id FROM f WHERE listed)
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN on_list.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
 FROM u LEFT JOIN best USING (page_id) LEFT JOIN on_list USING (page_id)""",
+    "op12_nn_descent": f"""
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ok AS (SELECT * FROM e WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+  AND len(list_filter(x, lambda c: c <> 0)) > 0),
+l AS (SELECT a.r AS x, b.r AS y FROM ok a JOIN ok b ON a.label = b.label AND len(a.x) = len(b.x) AND a.r <> b.r
+  WHERE list_cosine_similarity(a.x, b.x) >= {nn_descent.THRESHOLD}),
+n AS (SELECT x AS r, count(*) AS n FROM l GROUP BY x),
+c AS (SELECT r, vec_id AS id FROM e UNION SELECT l.y, c.id FROM c JOIN l ON c.r = l.x),
+m AS (SELECT r, min(id) AS id FROM c GROUP BY r)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, id AS component_id, vec_id = id AS kept FROM e JOIN m USING (r) LEFT JOIN n USING (r)""",
 }
 # op3's rows, with the number of links of each
 SQL["op3_jaccard_links"] = SQL["op3_jaccard_join"].replace(

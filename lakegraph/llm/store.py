@@ -11,6 +11,7 @@ import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -18,6 +19,8 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from lakegraph.session import is_single_machine
+
 KEY = "spark.checkpoint.dir"
 
 
@@ -25,7 +28,7 @@ def workspace(spark: SparkSession, name: str) -> str:
     """URI of a fresh folder for one job (not created yet)."""
     base = spark.conf.get(KEY, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not is_single_machine(spark.sparkContext.master):
             raise RuntimeError(f"set {KEY} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="llm-work-")
         spark.conf.set(KEY, base)
@@ -40,6 +43,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(taken: Iterable[str], name: str) -> str:
+    """``name``, with underscores in front until no taken one equals it
+    (names differ by more than case)."""
+    used = {x.lower() for x in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """pyarrow file system and path of a URI or an absolute path."""
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
