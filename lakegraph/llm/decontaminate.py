@@ -7,13 +7,14 @@ hash is listed is compared with the window's words byte by byte, so a hash
 collision is never a hit.
 
 The benchmark is measured first. Up to ``MAX_BENCHMARK_BYTES`` of text it is
-one broadcast block; a larger one is dealt into blocks of that size by item,
-each block is scanned against all documents, and the hits are merged.
+one broadcast block; a larger one is dealt into blocks of that size by item.
+One block after the other is read, scanned against all documents and its hits
+written, so the driver holds one at a time; the hits are merged at the end.
 
 Defined cases: null or wordless texts have no words, windows or hits; a null
 item_id counts as an item named ``null``; repeated items count once per
 item_id; repeated documents each get their own row; empty tables give no rows
-or no hits.
+or no hits. A kept column named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -95,14 +96,18 @@ def _hashes(w: list[bytes]) -> np.ndarray:
     return words.word_hashes(np.frombuffer(b"".join(w), dtype=np.uint8), ends - lens, ends)
 
 
-def _blocks(benchmark: DataFrame, n: int, max_bytes: int) -> Iterator[Windows]:
-    """One block while the benchmark's texts fit ``max_bytes``, else several."""
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text").distinct()
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + F.lit(64)), F.lit(0))).first()[0]
-    k = -(-total // max_bytes) or 1
-    for b in range(k):
-        part = rows if k == 1 else rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(k)) == b)
-        yield Windows([(r.item, r.text) for r in part.collect()], n)
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text").distinct()
+
+
+def _bytes(benchmark: DataFrame) -> int:
+    return _items(benchmark).agg(F.coalesce(F.sum(F.octet_length("text") + F.lit(64)), F.lit(0))).first()[0]
+
+
+def _block(benchmark: DataFrame, n: int, b: int = 0, blocks: int = 1) -> Windows:
+    """One of the blocks that the items are dealt into."""
+    part = _items(benchmark).filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
+    return Windows([(r.item, r.text) for r in part.collect()], n)
 
 
 def _scan(docs: DataFrame, block: Windows, schema: StructType, keep: list[str], raw: bool) -> DataFrame:
@@ -111,7 +116,7 @@ def _scan(docs: DataFrame, block: Windows, schema: StructType, keep: list[str],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = sent.value
         for b in batches:
-            for row, end, data, offs in words.chunks(b["_text"]):
+            for row, end, data, offs in words.chunks(b[b.num_columns - 1]):     # the text comes last
                 part = b.slice(row, end - row)
                 _, first, hit, items = windows.scan(data, offs)
                 rows = range(end - row)
@@ -139,30 +144,31 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], n: int = N
               max_bytes: int = MAX_BENCHMARK_BYTES, prefix: str = "") -> DataFrame:
     """The kept columns of every document and its HITS columns; a prefix of
     their names avoids clashes with kept columns."""
-    schema = StructType([docs.schema[c] for c in keep])
-    rows = docs.select(*keep, F.col("text").alias("_text"))
     names = [prefix + x for x in HITS]
-    blocks = list(_blocks(benchmark, n, max_bytes))
-    if len(blocks) == 1:
+    keep = [c for c in keep if c not in names]
+    schema = StructType([docs.schema[c] for c in keep])
+    text, key, n_words, hit, item = (store.free_name([*keep, *names], x) for x in ("_text", "_row", "_n_words", "_hit", "_items"))
+    rows = docs.select(*keep, F.col("text").alias(text))
+    total = _bytes(benchmark)
+    if total <= max_bytes:
         for name, kind in zip(names, ("long", "long", "long", "string", "boolean"), strict=True):
             schema = schema.add(name, kind)
-        return _scan(rows, blocks[0], schema, keep, raw=False)
-    # several blocks: hit word numbers and items of each are merged per row
-    key = "_row"
-    rows = rows.withColumn(key, F.expr("uuid()"))
-    rows = store.saved(rows, "decontaminate")           # fixes the row keys
-    raw = StructType([rows.schema[c] for c in [*keep, key]]).add("_n_words", "long") \
-        .add("_hit", ArrayType(LongType())).add("_items", ArrayType(StringType()))
-    found = [_scan(rows, b, raw, [*keep, key], raw=True) for b in blocks]
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    items = F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list("_items")))), ",")
-    n_items = F.size(F.array_distinct(F.flatten(F.collect_list("_items"))))
+        return _scan(rows, _block(benchmark, n), schema, keep, raw=False)
+    # hit word numbers and items of each block, merged per row; one block is held at a time
+    rows = store.saved(rows.withColumn(key, F.expr("uuid()")), "decontaminate")         # fixes the row keys
+    raw = StructType([rows.schema[c] for c in [*keep, key]]).add(n_words, "long") \
+        .add(hit, ArrayType(LongType())).add(item, ArrayType(StringType()))
+    blocks = -(-total // max_bytes)
+    out = None
+    for b in range(blocks):
+        found = store.saved(_scan(rows.select(*keep, key, text), _block(benchmark, n, b, blocks), raw, [*keep, key], raw=True), "hits")
+        out = found if out is None else out.unionByName(found)
+    items = F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list(item)))), ",")
+    n_items = F.size(F.array_distinct(F.flatten(F.collect_list(item))))
     # each row comes once per block, so a group has as many rows as blocks
     out = out.groupBy(key).agg(
-        *[F.first(c).alias(c) for c in keep], F.first("_n_words").alias(names[0]),
-        F.size(F.array_distinct(F.flatten(F.collect_list("_hit")))).cast("long").alias(names[1]),
+        *[F.first(c).alias(c) for c in keep], F.first(n_words).alias(names[0]),
+        F.size(F.array_distinct(F.flatten(F.collect_list(hit)))).cast("long").alias(names[1]),
         n_items.cast("long").alias(names[2]), F.sha2(items, 256).alias(names[3]))
     return out.drop(key).withColumn(names[4], F.col(names[1]) > 0)
 

@@ -43,8 +43,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakegraph.llm import store, words
 from lakegraph.llm.components import components
@@ -372,8 +373,43 @@ def similar(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, counted:
 
 
 def keep_smallest(docs: DataFrame, columns: tuple[str, ...], size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The given columns of the documents that stand for their component: the
-    smallest doc_id of each. Documents with an empty set, or a null doc_id,
-    stay."""
-    gone = similar(docs, size, percent).filter("component_id != doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*columns)
+    """The given columns of one row of each component: the smallest doc_id's
+    (null is larger than any other), of several sets that this doc_id has the one
+    with the smaller hash, of several rows with that set the smallest text. Rows
+    with an empty set stay.
+
+    A doc_id that stands in one row is decided by itself; rows that share their
+    doc_id, or have none, are decided by their set as well."""
+    made, _, _, label = _joined(docs, size, percent, whole=False)
+    own = made.filter("block is null").select("doc_id", "n", "v")
+    sets = own.filter("n > 0").groupBy("v").agg(F.min("doc_id").alias("least"))
+    first = sets.join(label, "v", "left").groupBy(F.coalesce("label", "v").alias("label")).agg(
+        F.min(F.struct(F.col("least").isNull().alias("none"), "least", "v")).alias("first"))
+    first = store.saved(first.select(F.col("first.v").alias("v"), F.col("first.least").alias("best")), "first-of-component")
+    stays = (F.col("n") == 0) | F.coalesce(F.col("v") == F.col("w"), F.lit(False))
+    wins = own.join(first.withColumnRenamed("v", "w"), (F.col("v") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("best")), "left")
+    ids = wins.groupBy("doc_id").agg((F.col("doc_id").isNull() | (F.count(F.lit(1)) > 1)).alias("several"), F.max(stays).alias("stays"))
+    ids = store.saved(ids.filter("several or not stays"), "undecided")
+    clear = docs.filter("doc_id is not null").join(ids.select("doc_id"), "doc_id", "left_anti").select(*columns)
+    several = ids.filter("several").select("doc_id")
+    if not several.limit(1).count():
+        return clear
+
+    names = list(dict.fromkeys([*columns, "doc_id", "text"]))
+    n_col, v_col = (store.free_name(names, x) for x in ("_n", "_v"))
+    rows = docs.filter("doc_id is null").select(*names).unionByName(docs.join(several, "doc_id", "left_semi").select(*names))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, end, data, offs in words.chunks(b["text"]):
+                s = Sets(data, offs, size)
+                yield pa.RecordBatch.from_arrays([*b.slice(row, end - row).columns, pa.array(s.n, pa.int64()), pa.array(s.fingerprints())],
+                                                 names=[*names, n_col, v_col])
+        store.release()
+
+    rows = rows.mapInArrow(marked, StructType([*(docs.schema[c] for c in names), *StructType.fromDDL(f"{n_col} long, {v_col} long").fields]))
+    best, place = (store.free_name(rows.columns, x) for x in ("_best", "_place"))
+    found = rows.filter(F.col(n_col) > 0).join(first.select(F.col("v").alias(v_col), F.col("best").alias(best)), v_col) \
+        .filter(F.col("doc_id").eqNullSafe(F.col(best)))
+    one = found.withColumn(place, F.row_number().over(Window.partitionBy(v_col).orderBy("text"))).filter(F.col(place) == 1)
+    return clear.unionByName(one.select(*columns)).unionByName(rows.filter(F.col(n_col) == 0).select(*columns))

@@ -90,7 +90,7 @@ def with_measures(docs: DataFrame, keep: tuple[str, ...], prefix: str = "") -> D
                     names=[*keep, *names])
         store.release()
 
-    text = "text" if "text" in keep else "_text"
+    text = "text" if "text" in keep else store.free_name([*keep, *names], "_text")
     extra = [] if text in keep else [F.col("text").alias(text)]
     return docs.select(*keep, *extra).mapInArrow(run, schema)
 
@@ -130,11 +130,13 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
 def judge(docs: DataFrame, keep: tuple[str, ...], max_rate: float = MAX_RATE) -> DataFrame:
     """Adds measures, base_failed and kept to the given columns (``source``
     among them). Measures are written once and read by both the host
-    aggregate and the join."""
+    aggregate and the join. Kept columns named like these are replaced."""
+    keep = tuple(c for c in keep if c not in (*MEASURES, "base_failed", "kept"))
     judged = store.saved(with_measures(docs, keep).withColumn("base_failed", base_failed()), "quality")
-    bad = host_verdicts(judged, max_rate).filter("rejected").select(F.col("source").alias("_host"), F.lit(True).alias("_bad"))
-    return (judged.join(bad, F.col("source") == F.col("_host"), "left")
-            .withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull()).drop("_host", "_bad"))
+    host, mark = (store.free_name(judged.columns, x) for x in ("_host", "_bad"))
+    bad = host_verdicts(judged, max_rate).filter("rejected").select(F.col("source").alias(host), F.lit(True).alias(mark))
+    return (judged.join(bad, F.col("source") == F.col(host), "left")
+            .withColumn("kept", ~F.col("base_failed") & F.col(mark).isNull()).drop(host, mark))
 
 
 def keep(docs: DataFrame, columns: tuple[str, ...], max_rate: float = MAX_RATE) -> DataFrame:

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,6 +47,7 @@ LEFT = SIZE - ANCHOR
 BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 2 << 20
 BLOCKS_PER_TASK = 4
 PIECE = 1 << 18
+SLICE = 1 << 14                         # contexts worked together
 PAD = 256                               # stands for "no byte" in a context
 _U = words.U64
 LAST = 2 ** 63 - 1
@@ -180,8 +182,12 @@ def _block(path: str) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
     return table, data, offs, _orders(table["doc_id"].combine_chunks())
 
 
-def _edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return np.searchsorted(((hashes >> _U(40)) * _U(buckets)) >> _U(24), np.arange(buckets + 1, dtype=_U))
+def _runs(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets that sorted hashes fall into, where each one's run begins, and
+    the end)."""
+    of = ((hashes >> _U(40)) * _U(buckets)) >> _U(24)
+    head = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
+    return of[head].astype(np.int64), np.append(head, len(of))
 
 
 def _distinct(order: np.ndarray, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,13 +208,13 @@ def _send_hashes(blocks: DataFrame, buckets: int, bits: int) -> DataFrame:
                 _, data, offs, order = _block(path)
                 row, _, h = anchors(data, offs)
                 unique, _, several = _distinct(order, row, h)
-                cut = _edges(unique, buckets)
-                used = np.flatnonzero(np.diff(cut))
+                used, cut = _runs(unique, buckets)
+                parts = list(zip(cut[:-1], cut[1:], strict=True))
                 short = unique >> _U(64 - bits)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int64()), pa.array([path] * len(used), pa.string()),
-                     pa.array([_sorted_out(short[cut[i]:cut[i + 1]]) for i in used], pa.binary()),
-                     pa.array([np.packbits(several[cut[i]:cut[i + 1]]).tobytes() for i in used], pa.binary())],
+                     pa.array([_sorted_out(short[i:j]) for i, j in parts], pa.binary()),
+                     pa.array([np.packbits(several[i:j]).tobytes() for i, j in parts], pa.binary())],
                     names=["bucket", "file", "hashes", "several"])
         store.release()
 
@@ -287,41 +293,53 @@ def _rows_as_strings(*columns: np.ndarray) -> np.ndarray:
     return raw.view(f"S{raw.shape[1]}").ravel()
 
 
-def _shared_of_block(path: str, answers: dict[int, bytes], buckets: int):
-    """The block's shared occurrences: (rows table, bytes, offsets, order of
-    documents, row, place, distinct contexts, hash and smallest document of
-    each, context of each occurrence)."""
-    table, data, offs, order = _block(path)
-    row, at, h = anchors(data, offs)
-    unique, of, several = _distinct(order, row, h)
-    cut = _edges(unique, buckets)
-    for b, bits in answers.items():
-        n = cut[b + 1] - cut[b]
-        several[cut[b]:cut[b + 1]] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-    keep = several[of]
-    row, at, h = row[keep], at[keep], h[keep]
-    c = _contexts(data, offs, row, at)
-    first, number = _same_contexts(h, c)
-    least = np.full(len(first), LAST)
-    np.minimum.at(least, number, order[row])
-    return table, data, offs, order, row, at, c[first], h[first], least, number
+class _Shared:
+    """A block's occurrences of shared anchors by hash: row, place and hash."""
+
+    def __init__(self, path: str, answers: pa.Table, buckets: int):
+        self.table, self.data, self.offs, self.order = _block(path)
+        row, at, h = anchors(self.data, self.offs)
+        unique, of, several = _distinct(self.order, row, h)
+        used, cut = _runs(unique, buckets)
+        place = dict(zip(used.tolist(), range(len(used)), strict=True))
+        for b, bits in zip(answers["bucket"].to_pylist(), answers["shared"].to_pylist(), strict=True):
+            i, j = cut[place[b]], cut[place[b] + 1]
+            several[i:j] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=j - i).astype(bool)
+        keep = np.flatnonzero(several[of])
+        keep = keep[np.argsort(h[keep], kind="stable")]
+        self.row, self.at, self.h = row[keep], at[keep], h[keep]
+        self.buckets, self.cut = _runs(self.h, buckets)
+
+    def parts(self) -> Iterator[tuple]:
+        """Runs of whole buckets of about SLICE occurrences: (buckets, where
+        their distinct contexts begin, row, place, contexts, hash and smallest
+        document of each, context of each occurrence)."""
+        k = 0
+        while k < len(self.buckets):
+            to = max(k + 1, int(np.searchsorted(self.cut, self.cut[k] + SLICE, side="right")) - 1)
+            part = slice(self.cut[k], self.cut[to])
+            row, at, h = self.row[part], self.at[part], self.h[part]
+            c = _contexts(self.data, self.offs, row, at)
+            first, number = _same_contexts(h, c)
+            least = np.full(len(first), LAST)
+            np.minimum.at(least, number, self.order[row])
+            begin = np.searchsorted(h[first], self.h[self.cut[k:to]])   # a bucket's smallest hash
+            yield self.buckets[k:to], np.append(begin, len(first)), row, at, c[first], h[first], least, number
+            k = to
 
 
 def _send_contexts(group_blocks: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     out = {"bucket": [], "file": [], "hashes": [], "docs": [], "bytes": []}
     for path in group_blocks["file"].to_pylist():
-        got = {b: s for b, s in zip(answers["bucket"].to_pylist(), answers["shared"].to_pylist(), strict=True)}
-        *_, c, h, least, _ = _shared_of_block(path, got, buckets)
-        cut = _edges(h, buckets)
-        for i in np.flatnonzero(np.diff(cut)):
-            part = slice(cut[i], cut[i + 1])
-            out["bucket"].append(int(i))
-            out["file"].append(path)
-            out["hashes"].append(_sorted_out(h[part]))
-            out["docs"].append(_squeeze(least[part]))
-            out["bytes"].append(_squeeze(c[part]))
-        del c, h, least
-        store.release()
+        own = answers.filter(pc.equal(answers["file"], path))
+        for used, cut, _, _, c, h, least, _ in _Shared(path, own, buckets).parts():
+            for b, i, j in zip(used.tolist(), cut[:-1], cut[1:], strict=True):
+                out["bucket"].append(b)
+                out["file"].append(path)
+                out["hashes"].append(_sorted_out(h[i:j]))
+                out["docs"].append(_squeeze(least[i:j]))
+                out["bytes"].append(_squeeze(c[i:j]))
+    store.release()
     return pa.table(out, schema=_SENT)
 
 
@@ -406,6 +424,17 @@ def reaches(h: np.ndarray, c: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray,
     return lo, hi
 
 
+def _whole_anchors(h: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of about SLICE contexts; contexts of one anchor stay together, and
+    those of several have nothing to do with each other."""
+    ends = np.append(np.flatnonzero(h[1:] != h[:-1]) + 1, len(h))
+    i = 0
+    while i < len(h):
+        j = int(ends[min(np.searchsorted(ends, i + SLICE), len(ends) - 1)])
+        yield i, j
+        i = j
+
+
 def _answer_contexts(group: pa.Table) -> pa.Table:
     hashes = [_sorted_in(x.as_py(), _U) for x in group["hashes"]]
     h = np.concatenate(hashes)
@@ -414,7 +443,9 @@ def _answer_contexts(group: pa.Table) -> pa.Table:
     first, number = _same_contexts(h, c)
     least = np.full(len(first), LAST)
     np.minimum.at(least, number, docs)
-    lo, hi = reaches(h[first], c[first], least)
+    lo, hi = np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.int64)
+    for i, j in _whole_anchors(h[first]):
+        lo[i:j], hi[i:j] = reaches(h[first[i:j]], c[first[i:j]], least[i:j])
     lo, hi = lo[number], hi[number]
     # a smaller document elsewhere has the whole context
     left, right = (c[:, :LEFT] != PAD).sum(axis=1), (c[:, LEFT:] != PAD).sum(axis=1)
@@ -431,20 +462,20 @@ def _answer_contexts(group: pa.Table) -> pa.Table:
 
 def _removed(path: str, answers: pa.Table, reach: pa.Table, buckets: int) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
     """(rows, bytes, offsets, removed bytes) of a block."""
-    got = {b: s for b, s in zip(answers["bucket"].to_pylist(), answers["shared"].to_pylist(), strict=True)}
-    table, data, offs, order, row, at, c, h, least, number = _shared_of_block(path, got, buckets)
-    lo, hi = np.zeros(len(c), dtype=np.int64), np.zeros(len(c), dtype=np.int64)
-    cut = _edges(h, buckets)
-    for b, m in zip(reach["bucket"].to_pylist(), reach["reach"].to_pylist(), strict=True):
-        both = _spread(m, np.uint8, 2)
-        lo[cut[b]:cut[b + 1]], hi[cut[b]:cut[b + 1]] = both[:, 0], both[:, 1]
-    left, right = (c[:, :LEFT] != PAD).sum(axis=1), (c[:, LEFT:] != PAD).sum(axis=1)
-    whole = (order[row] > least[number]) & (left + right >= SIZE)[number]
-    lo, hi = np.where(whole, left[number], lo[number]), np.where(whole, right[number], hi[number])
-    cover = np.zeros(len(data) + 1, dtype=np.int64)
-    np.add.at(cover, at - lo, 1)
-    np.add.at(cover, at + hi, -1)
-    return table, data, offs, np.cumsum(cover[:-1]) > 0
+    own = _Shared(path, answers, buckets)
+    reached = dict(zip(reach["bucket"].to_pylist(), reach["reach"].to_pylist(), strict=True))
+    cover = np.zeros(len(own.data) + 1, dtype=np.int32)
+    for used, cut, row, at, c, _, least, number in own.parts():
+        lo, hi = np.zeros(len(c), dtype=np.int64), np.zeros(len(c), dtype=np.int64)
+        for b, i, j in zip(used.tolist(), cut[:-1], cut[1:], strict=True):
+            both = _spread(reached[b], np.uint8, 2)
+            lo[i:j], hi[i:j] = both[:, 0], both[:, 1]
+        left, right = (c[:, :LEFT] != PAD).sum(axis=1), (c[:, LEFT:] != PAD).sum(axis=1)
+        whole = (own.order[row] > least[number]) & (left + right >= SIZE)[number]
+        lo, hi = np.where(whole, left[number], lo[number]), np.where(whole, right[number], hi[number])
+        np.add.at(cover, at - lo, 1)
+        np.add.at(cover, at + hi, -1)
+    return own.table, own.data, own.offs, np.cumsum(cover[:-1]) > 0
 
 
 RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -496,9 +527,11 @@ def dedup(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), block_bytes: int
         reach.select("file", "bucket", F.lit(None).cast("binary").alias("shared"), "reach"))
 
     def finish(x: pa.Table, y: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
         first, second = y.filter(pc.is_valid(y["shared"])), y.filter(pc.is_valid(y["reach"]))
-        made = [_rows(*_removed(path, first, second, buckets), arrow, as_text) for path in x["file"].to_pylist()]
+        made = []
+        for path in x["file"].to_pylist():
+            one, two = (t.filter(pc.equal(t["file"], path)) for t in (first, second))
+            made.append(_rows(*_removed(path, one, two, buckets), arrow, as_text))
         store.release()
         return pa.concat_tables(made) if made else arrow.empty_table()
 

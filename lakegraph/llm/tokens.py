@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from lakegraph.llm import words
 
-CACHE_BYTES = 110 << 20         # of one generation of pieces
+CACHE_BYTES = 48 << 20          # of one generation of pieces
 CHUNK_BYTES = 4 << 20
 _BLOCK_CHARS = 1 << 13
 # White space, letters of one byte and plain punctuation. A byte that is none
@@ -96,6 +96,39 @@ def pieces(data: np.ndarray, offs: np.ndarray, byte_level: bool) -> tuple[np.nda
     return starts, ends, np.searchsorted(starts, offs)
 
 
+class Pieces:
+    """Ids of known pieces by hash, in a few flat arrays."""
+
+    def __init__(self):
+        self.keys = np.zeros(0, dtype=words.U64)
+        self.start, self.many = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.keys, self.start, self.many, self.ids))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each key, whether it is known)."""
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        return at, (self.keys[at] == keys) if len(self.keys) else np.zeros(len(keys), dtype=bool)
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of ids, ids one behind the other) of the pieces at these places."""
+        many = self.many[at].astype(np.int64)
+        step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        return many, self.ids[np.repeat(self.start[at], many) + step]
+
+    def add(self, keys: np.ndarray, many: np.ndarray, ids: np.ndarray) -> None:
+        """New pieces, by rising key."""
+        order = np.argsort(whole := np.concatenate([self.keys, keys]), kind="stable")
+        self.keys = whole[order]
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(many) - many])[order]
+        self.many = np.concatenate([self.many, many.astype(np.int32)])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+
 class Encoder:
     """Ids of texts. Pieces live in two generations of bounded size: when the
     young one is full it becomes the old one, and pieces met again move up."""
@@ -111,16 +144,14 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for token, i in vocab.items():
             self.bytes_of[i] = len(token) - (0 if byte_level or not token.endswith("</w>") else 4)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.used = 0
+        self.young, self.old = Pieces(), Pieces()
+        self.learned: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def _put(self, piece: bytes, ids: bytes) -> None:
-        self.young[piece] = ids
-        self.used += len(ids) + len(piece) + 160
+        self.learned[piece] = ids
 
     def _block(self, block: list[bytes], glue: bytes) -> None:
         """Encode pieces as one text and deal the ids out by the bytes they
@@ -172,22 +203,23 @@ class Encoder:
         for glue, block in blocks.items():
             self._block(block, glue)
 
-    def _ids_of(self, distinct: list[bytes]) -> list[bytes]:
-        if self.used > CACHE_BYTES:
-            self.old, self.young, self.used = self.young, {}, 0
-        got = list(map(self.young.get, distinct))
-        missing = [i for i, g in enumerate(got) if g is None]
-        fresh = []
-        for i in missing:
-            known = self.old.get(distinct[i])
-            if known is None:
-                fresh.append(distinct[i])
-            else:
-                self._put(distinct[i], known)
+    def _known(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Places of the distinct pieces (by rising key) among the young ones."""
+        if self.young.nbytes > CACHE_BYTES:
+            self.old, self.young = self.young, Pieces()
+        at, known = self.young.find(keys)
+        missing = np.flatnonzero(~known)
+        if not len(missing):
+            return at
+        again, found = self.old.find(keys[missing])
+        self.young.add(keys[missing[found]], *self.old.take(again[found]))
+        missing = missing[~found]
+        fresh = [data[a:b].tobytes() for a, b in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)]
         self._learn(fresh)
-        for i in missing:
-            got[i] = self.young[distinct[i]]
-        return got
+        got = [self.learned[x] for x in fresh]
+        self.learned = {}
+        self.young.add(keys[missing], np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4, np.frombuffer(b"".join(got), dtype=np.uint32))
+        return self.young.find(keys)[0]
 
     def _rows(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows with the tail behind each, and row offsets."""
@@ -195,11 +227,8 @@ class Encoder:
             data = words.LOWER[data]                    # as the tokenizer's normaliser does
         starts, ends, first = pieces(data, offs, self.byte_level)
         unique, at, of = np.unique(words.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        found = self._ids_of([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-        flat = np.frombuffer(b"".join(found) + b"\0\0\0\0", dtype=np.uint32)
-        lens = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        where = np.cumsum(lens) - lens
+        known = self._known(unique, starts[at], ends[at], data)
+        flat, where, lens = self.young.ids, self.young.start[known], self.young.many[known].astype(np.int64)
         many = lens[of] if len(of) else np.zeros(0, np.int64)
         total = np.concatenate([[0], np.cumsum(many)])
         n, k = len(offs) - 1, len(self.tail)

@@ -98,3 +98,26 @@ def lm_score(docs: list[tuple[int, str | None]], discount: float = 0.75) -> dict
         return max(two[a, w] - discount, 0) / one[a] + discount * follow[a] / one[a] * uni(w)
 
     return {d: sum(math.log10(p(a, w)) for a, w in zip([None, *ws[:-1]], ws, strict=True)) for d, ws in toks.items()}
+
+
+def near_components(docs, size, percent):
+    """As jaccard_components, at any setting."""
+    sets, lists = {}, defaultdict(list)
+    for d, text in docs:
+        w = SPACE_WORD.findall(lower(text or ""))
+        sets[d] = {tuple(w[i:i + size]) for i in range(max(len(w) - size, 0) + 1)} if w else set()
+        for x in sets[d]:
+            lists[x].append(d)
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for d, s in sets.items():
+        for t, n in Counter(t for x in s for t in lists[x]).items():
+            if 100 * n >= percent * (len(s) + len(sets[t]) - n):
+                x, y = find(d), find(t)
+                root[max(x, y)] = min(x, y)
+    return {d: (len(s), find(d)) for d, s in sets.items()}

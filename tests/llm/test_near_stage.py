@@ -2,40 +2,14 @@
 against brute force."""
 
 import random
-from collections import Counter, defaultdict
 
-import brute
 import corpus_pipeline
 import pytest
-import test_pipeline
-from test_pipeline import stages  # noqa: F401
+from brute import near_components as components
 
 from lakegraph.llm import jaccard_join
 
 
-def components(docs, size, percent):
-    """As brute.jaccard_components, at any setting."""
-    sets, lists = {}, defaultdict(list)
-    for d, text in docs:
-        w = brute.SPACE_WORD.findall(brute.lower(text or ""))
-        sets[d] = {tuple(w[i:i + size]) for i in range(max(len(w) - size, 0) + 1)} if w else set()
-        for x in sets[d]:
-            lists[x].append(d)
-    root = {d: d for d in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for d, s in sets.items():
-        for t, n in Counter(t for x in s for t in lists[x]).items():
-            if 100 * n >= percent * (len(s) + len(sets[t]) - n):
-                x, y = find(d), find(t)
-                root[max(x, y)] = min(x, y)
-    return {d: (len(s), find(d)) for d, s in sets.items()}
-
-
 def test_stage_drops_copies_between_the_settings(spark):
     rows = []
     for n, edits in ((48, 1), (49, 1), (58, 1), (59, 1), (94, 2), (115, 2)):
@@ -68,6 +42,18 @@ def test_join_equals_brute_force_at_other_settings(spark, size, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar(df, size, percent).collect()} == want
 
 
-def test_every_stage_equals_brute_force_at_its_setting(spark, stages, monkeypatch):  # noqa: F811
-    monkeypatch.setattr(brute, "jaccard_components", lambda docs: components(docs, 5, 80))
-    test_pipeline.test_every_stage_equals_brute_force(spark, stages)
+def test_repeated_rows_and_shared_ids(spark):
+    """One row of each component stays, whatever ids its rows carry."""
+    base = [f"w{i}" for i in range(80)]
+    a, other = " ".join(base), " ".join(f"o{i}" for i in range(60))
+    near = " ".join(["x", *base[1:]])
+    rows = [(1, a), (1, a), (1, a.upper()), (2, a), (2, other), (3, near), (None, near), (None, other), (None, "alone " * 9), (None, None), (2, ""),
+            (5, "five six"), (5, "five  SIX"), (6, "five six"), (7, None), (7, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(d, t, "en", "s", i) for i, (d, t) in enumerate(rows)], schema).repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.ngram_jaccard_join(spark, docs, "").collect()), key=str)
+    want = [(1, a.upper()), (2, other), (None, "alone " * 9), (None, None), (2, ""), (5, "five  SIX"), (7, None), (7, None)]
+    assert got == sorted(want, key=str)
+    two = spark.createDataFrame([(1, a), (1, a), (2, a), (2, other)], "doc_id long, text string")
+    left = jaccard_join.keep_smallest(two, ("text", "doc_id")).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(1, a), (2, other)]

@@ -46,7 +46,7 @@ def test_every_stage_equals_brute_force(spark, stages):
     kept = {r.doc_id for r in queries.op5_quality_rules(spark, SF).collect() if r.kept}
     one = rows(stages[0][1])
     assert set(one) == kept and all(one[d].text == docs[d].text for d in one)
-    parts = brute.jaccard_components([(d, r.text) for d, r in one.items()])
+    parts = brute.near_components([(d, r.text) for d, r in one.items()], 5, 80)
     two = rows(stages[1][1])
     assert set(two) == {d for d, (n, c) in parts.items() if n == 0 or c == d}
     cut = brute.suffix_dedup([(d, r.text) for d, r in two.items()])

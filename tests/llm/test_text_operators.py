@@ -405,3 +405,13 @@ def test_digest_files_split_and_collide(spark, monkeypatch):
     assert found == [[2], [2], [], []]                                   # same digest text, other string
     empty = url_filter.filter_urls(spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string"), [], ())
     assert [(r.rule, r.verdict) for r in empty.collect()] == [(None, "allow")]
+
+
+def test_clashing_names_of_kept_columns(spark):
+    """Columns named like results or helpers do no harm."""
+    docs = spark.createDataFrame([(1, "alpha beta gamma", "s", "x", "y", "z")], "doc_id long, text string, source string, _text string, n_words string, _row string")
+    for max_bytes in (1 << 20, 100):
+        r = decontaminate.find_hits(docs, benchmark(spark), ["doc_id", "_text", "_row", "n_words", "text"], max_bytes=max_bytes).first()
+        assert (r._text, r._row, r.n_words, r.n_hit, r.text) == ("x", "z", 3, 3, "alpha beta gamma")
+    r = quality.judge(docs, ("doc_id", "source", "n_words", "_text")).first()
+    assert (r.n_words, r._text, r.kept) == (3, "x", False)
