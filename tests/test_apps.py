@@ -3,7 +3,7 @@ agree with the registered jobs."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from places import SF_SMALL
 from lakegraph import apps
 from lakegraph.plans import catalog
 from lakegraph.session import shared_dir

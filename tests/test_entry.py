@@ -4,7 +4,7 @@ import subprocess
 import sys
 
 import __spark_entry__ as entry
-from conftest import ROOT
+from places import ROOT
 from lakegraph.plans import catalog
 
 WITHOUT = """

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from places import SF_SMALL
 from lakegraph.plans import catalog
 from oracle_compare import compare, duck
 

@@ -3,7 +3,7 @@ except the vector search's Arrow batches, filters and pruning at the scan."""
 
 import pytest
 
-from conftest import SF_SMALL
+from places import SF_SMALL
 from lakegraph.plans import catalog
 
 JOBS = catalog.JOBS

@@ -9,7 +9,7 @@ import shutil
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from places import SF_SMALL
 from lakegraph.plans import catalog
 from oracle_compare import compare, duck
 from lakegraph.session import scale_conf, shared_dir
