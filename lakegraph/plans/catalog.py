@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakegraph.functions.exprs import norm, py_str
 from lakegraph.operators import aggregate as agg
-from lakegraph.operators import cleanse, evaluate, graph, match, profile, retrieve, vectors
+from lakegraph.operators import cleanse, evaluate, graph, match, profile, retrieve, vector_index, vectors
 from lakegraph.plans import supply_graph as sg
 from lakegraph.plans import trips as tr
 from lakegraph.session import shared_dir
@@ -676,6 +676,52 @@ def knn_approx_facts(spark, d):
     return hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_hits"), F.count_if(true).alias("n_true_scores"))
 
 
+INDEX_PROBE, INDEX_RERANK = 56, 48
+_INDEXES: dict[tuple[str, str], vector_index.VectorIndex] = {}
+
+
+def stored_index(spark, d) -> vector_index.VectorIndex:
+    """The vector index of a table folder, built once in a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _INDEXES:
+        _INDEXES[key] = vector_index.build(Tables(spark, d).embeddings, "vec_id", "embedding", EMBED_DIM)
+    return _INDEXES[key]
+
+
+def _asked(spark, d):
+    """Every 50th vector asks all vectors."""
+    return Tables(spark, d).embeddings.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+
+
+ASKED_SQL = f"""
+q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 50 = 0),
+sc AS (SELECT q.query_id, e.vec_id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), q.v) AS score FROM q, embeddings e),
+hits AS (SELECT query_id, vec_id, score,
+                CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, {vectors.DIGITS}) DESC, vec_id) AS INTEGER) AS rank
+         FROM sc QUALIFY rank <= {K_SEARCH})"""
+
+
+@job("knn_index_exact", "WITH " + ASKED_SQL + " SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits")
+def knn_index_exact(spark, d):
+    hits, _ = vector_index.search_exact(stored_index(spark, d), _asked(spark, d), "query_id", "q", K_SEARCH)
+    return hits.withColumn("score", r6("score"))
+
+
+@job("knn_index_recall", "WITH " + ASKED_SQL + """
+SELECT (SELECT count(*) FROM q) AS n_queries, count(*) AS n_hits, true AS recall_of_90_percent, true AS compared_at_most_10_percent FROM hits""")
+def knn_index_recall(spark, d):
+    # the code search against the exact rows: hits, recall, pairs compared at full precision
+    index, q, emb = stored_index(spark, d), _asked(spark, d), Tables(spark, d).embeddings
+    exact = vectors.knn_exact(emb, "vec_id", "embedding", q, "query_id", "q", K_SEARCH, EMBED_DIM).select("query_id", "vec_id", F.lit(True).alias("true"))
+    hits = vector_index.search_codes(index, q, "query_id", "q", K_SEARCH, INDEX_PROBE, INDEX_RERANK)
+    found = exact.join(hits.select("query_id", "vec_id", F.lit(True).alias("hit")), ["query_id", "vec_id"], "full").agg(
+        F.count("hit").alias("n_hits"), (F.count(F.col("true") & F.col("hit")) / F.count("true")).alias("recall"))
+    pairs = vector_index.candidates(index, q, "query_id", "q", INDEX_PROBE, INDEX_RERANK).agg(F.count(F.lit(1)).alias("pairs"))
+    n_queries, n = (x.agg(F.count(F.lit(1))).scalar() for x in (q, emb))
+    return found.select(n_queries.alias("n_queries"), "n_hits", (F.col("recall") >= 0.9).alias("recall_of_90_percent"),
+                        (pairs.scalar() <= n_queries * n * 0.1).alias("compared_at_most_10_percent"))
+
+
 CONTEXT_SQL = "WITH " + knn_sql(K_CONTEXT) + """,
 lines AS (SELECT h.query_id, h.rank, h.score,
                  CAST(h.vec_id AS VARCHAR) || ' | ' || p.p_name || ' | type: ' || p.p_type AS ctx
