@@ -54,3 +54,25 @@ def cleanse(df: DataFrame, valid_gt: dict[str, float], flag_col: str | None = No
     for c in timestamp_cols or []:
         repl[c] = to_timestamp_col(c)
     return out.withColumns(repl) if repl else out
+
+
+def with_reason(df: DataFrame, casts: dict[str, str], rules: dict[str, Column], malformed: str | None = None,
+                out: str = "reason") -> DataFrame:
+    """Text columns cast to their types, and why a row is rejected (null: kept),
+    from one pass: ``malformed line`` where that column is set, else the first
+    cast that fails on a non-null text, else the first rule that does not hold
+    (a rule without an answer does not hold either)."""
+    tests = []
+    if malformed:
+        tests.append((F.col(malformed).isNotNull(), "malformed line"))
+    made = {c: F.col(c).try_cast(kind) for c, kind in casts.items()}
+    tests += [(F.col(c).isNotNull() & v.isNull(), f"{c} is no {casts[c]}") for c, v in made.items()]
+    typed = df.withColumn(out, _first_of(tests)).withColumns(made)
+    return typed.withColumn(out, F.coalesce(F.col(out), _first_of([(~F.coalesce(r, F.lit(False)), name) for name, r in rules.items()])))
+
+
+def _first_of(tests: list[tuple[Column, str]]) -> Column:
+    out = F.lit(None).cast("string")
+    for condition, name in reversed(tests):
+        out = F.when(condition, F.lit(name)).otherwise(out)
+    return out

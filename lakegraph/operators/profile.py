@@ -7,8 +7,11 @@ fetched to the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -205,3 +208,57 @@ def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson correlation and the number of pairs it uses, one row."""
     xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
     return df.agg(F.corr(xv, yv).alias("corr"), F.count_if(xv.isNotNull() & yv.isNotNull()).alias("n"))
+
+
+def scatter_sample(df: DataFrame, x: str, y: str, key: list[str], bins: int = 20, per_cell: int = 5) -> DataFrame:
+    """Points behind the density cells: of each cell the ``per_cell`` rows with
+    the smallest digest of their key, so the sample is the same at any
+    partitioning. Each task keeps that many rows of a cell before the shuffle."""
+    edges = _range(df, x, y)
+    xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
+    both = df.filter(xv.isNotNull() & yv.isNotNull() & ~F.isnan(xv) & ~F.isnan(yv))
+    cells = both.select(*key, x, y, _bin(xv, edges["lo0"], edges["hi0"], bins).alias("x_bin"), _bin(yv, edges["lo1"], edges["hi1"], bins).alias("y_bin"),
+                        F.md5(F.concat_ws("-", *[F.col(k).cast("string") for k in key])).alias("digest"))
+    order = Window.partitionBy("x_bin", "y_bin").orderBy("digest", *key, x, y)
+    return cells.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_cell).drop("digest")
+
+
+def exact_distinct(df: DataFrame) -> DataFrame:
+    """(column_name, n_distinct): exact distinct counts of every column.
+
+    Whole numbers in a range not much wider than their number are counted by
+    bitmaps (32,768 values in 4 KB, merged before the shuffle); other columns by
+    their distinct values, each column in its own two-level aggregation over a
+    scan of that column alone."""
+    whole = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))]
+    bounds = df.agg(F.count(F.lit(1)).alias("n"), *[f(c).cast("decimal(38,0)").alias(f"{k}{i}") for i, c in enumerate(whole)
+                                                    for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    dense = {c for i, c in enumerate(whole) if bounds[f"lo{i}"] is not None and bounds[f"hi{i}"] - bounds[f"lo{i}"] <= 64 * bounds.n}
+    parts = []
+    for c in df.columns:
+        if c in dense:
+            v = F.col(c).cast("long")
+            bits = df.filter(F.col(c).isNotNull()).groupBy(F.bitmap_bucket_number(v).alias("bucket")).agg(
+                F.bitmap_construct_agg(F.bitmap_bit_position(v)).alias("bits"))
+            count = bits.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("n_distinct"))
+        else:
+            count = df.select(c).distinct().agg(F.count(c).alias("n_distinct"))
+        parts.append(count.select(F.lit(c).alias("column_name"), "n_distinct"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def quantile_states(df: DataFrame, groups: list[str], col: str, k: int = 200) -> DataFrame:
+    """(groups, sketch, n): a mergeable KLL sketch of the numbers of each group;
+    null and NaN take no part. Kept states answer any union of groups."""
+    v = F.col(col).cast("double")
+    return df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*groups).agg(
+        F.kll_sketch_agg_double(v, k).alias("sketch"), F.count(F.lit(1)).alias("n"))
+
+
+def merged_quantiles(states: DataFrame, groups: list[str], probs: list[float], k: int = 200) -> DataFrame:
+    """(groups, n, q, value) of sketches merged over whatever else they were
+    grouped by."""
+    whole = states.groupBy(*groups).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"), F.sum("n").alias("n"))
+    return whole.select(*groups, "n", F.explode(F.array(*[
+        F.struct(F.lit(p).alias("q"), F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias("value")) for p in probs])).alias("x")) \
+        .select(*groups, "n", "x.q", "x.value")

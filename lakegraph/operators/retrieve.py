@@ -7,11 +7,12 @@ k hits of that question, so no group grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegraph.functions.exprs import fixed3, ordered_join, py_str
 from lakegraph.operators.match import SupplyGraph, seeded_expand
+from lakegraph.session import shared_dir
 
 # The prompt texts of the demo.
 SYSTEM_PROMPT = ("Pharma supply chain analyst. Answer ONLY from context provided. "
@@ -71,3 +72,28 @@ def prompt_table(contexts: DataFrame, question: Column | str = QUESTION,
     return contexts.select(qid_col, F.lit(SYSTEM_PROMPT).alias("system_prompt"),
                            F.concat(F.lit("Context:\n"), F.col("context"), F.lit("\n\nQuestion: "),
                                     q).alias("user_prompt"))
+
+
+def prompt_parts(items: DataFrame, order: list[str], content: str, most: int, question: str = QUESTION, qid_col: str = "query_id") -> DataFrame:
+    """(question id, part, n_items, system_prompt, user_prompt): a question's
+    items, in order, cut into parts of about ``most`` characters; every item is
+    in one part.
+
+    A part is the item's place in the question's text, so running sums are needed.
+    They are taken in two levels: rows are dealt by range of question and order,
+    summed within a range, and the ranges' totals are summed per question, so a
+    question with most of the items is worked by many tasks."""
+    spark = items.sparkSession
+    dealt = items.select(qid_col, *order, F.col(content).alias("__text")).repartitionByRange(qid_col, *order).withColumn("__range", F.spark_partition_id())
+    dealt.write.parquet(path := shared_dir(spark, "prompt-items"))
+    dealt = spark.read.schema(dealt.schema).parquet(path).withColumn("__n", F.length("__text").cast("long"))
+    inner = Window.partitionBy(qid_col, "__range").orderBy(*order)
+    outer = Window.partitionBy(qid_col).orderBy("__range")
+    before = dealt.groupBy(qid_col, "__range").agg(F.sum("__n").alias("__all")) \
+        .select(qid_col, "__range", (F.sum("__all").over(outer) - F.col("__all")).alias("__before"))
+    placed = dealt.withColumn("__at", F.sum("__n").over(inner) - F.col("__n")).join(before, [qid_col, "__range"]) \
+        .withColumn("part", F.floor((F.col("__before") + F.col("__at")) / F.lit(most)))
+    lines = F.sort_array(F.collect_list(F.struct(*order, F.concat(F.lit("- "), F.col("__text")).alias("line"))))
+    return placed.groupBy(qid_col, "part").agg(lines.alias("__lines"), F.count(F.lit(1)).alias("n_items")).select(
+        qid_col, "part", "n_items", F.lit(SYSTEM_PROMPT).alias("system_prompt"),
+        F.concat(F.lit("Context:\n"), F.array_join("__lines.line", "\n"), F.lit("\n\nQuestion: "), F.lit(question)).alias("user_prompt"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakegraph.functions.exprs import norm, py_str
 from lakegraph.operators import aggregate as agg
-from lakegraph.operators import cleanse, evaluate, graph, match, profile, retrieve, vector_index, vectors
+from lakegraph.operators import cleanse, evaluate, graph, match, profile, retrieve, stored, vector_index, vectors
 from lakegraph.plans import supply_graph as sg
 from lakegraph.plans import trips as tr
 from lakegraph.session import shared_dir
@@ -66,6 +66,21 @@ def preview(spark, d):
     return io.preview(Tables(spark, d).orders, 20)
 
 
+@job("limit_facts", """
+SELECT 'limit' AS what, least(1000, count(*)) AS n_rows, least(1000, count(*)) AS n_contained FROM lineitem
+UNION ALL SELECT 'head', least(20, count(*)), least(20, count(*)) FROM orders""")
+def limit_facts(spark, d):
+    # an unordered limit may give any rows: as many as asked, each of them one of the table's
+    t = Tables(spark, d)
+    parts = []
+    for what, rows, table in (("limit", io.sql_limit(spark, t.lineitem, n=1000), t.lineitem), ("head", io.head(t.orders, 20), t.orders)):
+        some = _kept(spark, rows, "limit")
+        same = some.alias("a").join(table.alias("b"), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in table.columns], "left_semi")
+        parts.append(some.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(what).alias("what"), "n_rows", same.agg(F.count(F.lit(1))).scalar().alias("n_contained")))
+    return parts[0].unionByName(parts[1])
+
+
 @job("load_default", "SELECT * FROM orders")
 def load_default(spark, d):
     return io.load_default(spark, table_path(d, "orders"), header=True, inferSchema=True)
@@ -137,6 +152,13 @@ def distinct_profile(spark, d):
 
 # ============================================================ cleanse / filter
 
+@job("distinct_exact", """
+WITH t AS (UNPIVOT (SELECT count(DISTINCT COLUMNS(*)) FROM lineitem) ON COLUMNS(*) INTO NAME column_name VALUE n_distinct)
+SELECT column_name, n_distinct FROM t""")
+def distinct_exact(spark, d):
+    return profile.exact_distinct(Tables(spark, d).lineitem)
+
+
 @job("project_columns", "SELECT l_quantity, l_extendedprice FROM lineitem")
 def project_columns(spark, d):
     return Tables(spark, d).lineitem.select(tr.DIST, tr.FARE)
@@ -177,6 +199,30 @@ def rejected_count(spark, d):
     return cleanse.rejected_count(Tables(spark, d).lineitem, tr.VALID)
 
 
+# lines with too few fields, texts that are no number or date, and a rule, by order key
+QUARANTINE = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+LEAST_PRICE = 20000.0
+
+
+@job("quarantine_counts", f"""
+WITH r AS (SELECT CASE WHEN o_orderkey % 20 = 3 THEN 'malformed line' WHEN o_orderkey % 20 = 7 THEN 'o_totalprice is no double'
+  WHEN o_orderkey % 20 = 11 THEN 'o_orderdate is no date' WHEN o_totalprice < {LEAST_PRICE} THEN 'price too small' ELSE 'kept' END AS reason FROM orders)
+SELECT reason, count(*) AS n, (SELECT count(*) FROM orders) AS n_lines FROM r GROUP BY reason""")
+def quarantine_counts(spark, d):
+    key = F.col("o_orderkey") % 20
+    good = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", F.when(key == 7, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")),
+                       F.when(key == 11, F.lit("2020-13-45")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+    lines = Tables(spark, d).orders.select(F.when(key == 3, F.concat_ws(",", "o_orderkey", "o_custkey")).otherwise(good).alias("value"))
+    path = shared_dir(spark, "quarantine")
+    lines.write.text(path)
+    rows = io.read_csv_kept_lines(spark, path, QUARANTINE, header=False)
+    judged = cleanse.with_reason(rows, {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderdate": "date"},
+                                 {"price too small": F.col("o_totalprice") >= LEAST_PRICE}, malformed="malformed_line")
+    judged = _kept(spark, judged, "judged")               # kept and rejected rows of one pass
+    n = judged.agg(F.count(F.lit(1))).scalar()
+    return judged.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n")).withColumn("n_lines", n)
+
+
 @job("multi_filter", """
 SELECT DISTINCT l.l_orderkey, l.l_partkey, l.l_suppkey
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -231,6 +277,18 @@ def monthly_average(spark, d):
     return out.withColumn("average_fare", r6("average_fare"))
 
 
+@job("monthly_average_kept", SQL["monthly_average"])
+def monthly_average_kept(spark, d):
+    # states of the older trips, then of the new ones; one load comes twice, as after a failure
+    li = Tables(spark, d).lineitem
+    kept = stored.KeptAverages(spark, shared_dir(spark, "monthly-states"), {"year": F.year(tr.PICKUP), "month": F.month(tr.PICKUP)}, tr.FARE)
+    new = F.col(tr.PICKUP) >= F.lit(SNAPSHOT).cast("timestamp_ntz")
+    kept.load("older", li.filter(~new | F.col(tr.PICKUP).isNull()))
+    kept.load("new", li.filter(new))
+    kept.load("new", li.filter(new))
+    return kept.averages("average_fare").withColumn("average_fare", r6("average_fare"))
+
+
 @job("avg_by_key", """
 SELECT l_suppkey, round(avg(l_extendedprice), 6) AS avg_fare_amount FROM lineitem GROUP BY l_suppkey""")
 def avg_by_key(spark, d):
@@ -296,6 +354,22 @@ def quantiles_approx_ranks(spark, d):
     return ranks.select("quantile", (F.col("rank_error") <= 0.01).alias("within_error"))
 
 
+KLL_ERROR = 0.02
+
+
+@job("quantiles_by_group", f"""
+WITH g AS (SELECT l_returnflag, count(l_extendedprice) AS n FROM lineitem GROUP BY 1 HAVING count(l_extendedprice) > 0)
+SELECT l_returnflag, q, n, true AS rank_within_bound FROM g, (SELECT unnest({QUANTILES}) AS q)""")
+def quantiles_by_group(spark, d):
+    # states by group and day, written; merged over the days; each value's rank against all rows of its group
+    li = Tables(spark, d).lineitem.select(tr.FLAG, F.to_date(tr.PICKUP).alias("day"), tr.FARE)
+    states = _kept(spark, profile.quantile_states(li, [tr.FLAG, "day"], tr.FARE), "kll")
+    found = profile.merged_quantiles(states, [tr.FLAG], QUANTILES)
+    rows = li.filter(F.col(tr.FARE).isNotNull()).join(found.withColumnRenamed(tr.FLAG, "g"), F.col(tr.FLAG).eqNullSafe(F.col("g")))
+    below, upto = F.count_if(F.col(tr.FARE) < F.col("value")), F.count_if(F.col(tr.FARE) <= F.col("value"))
+    return rows.groupBy(tr.FLAG, "q", "n").agg(((below / F.col("n") <= F.col("q") + KLL_ERROR) & (upto / F.col("n") >= F.col("q") - KLL_ERROR)).alias("rank_within_bound"))
+
+
 @job("histogram_50", f"""
 WITH s AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
 b AS (SELECT CASE WHEN s.hi = s.lo THEN 0
@@ -324,6 +398,22 @@ def density_2d(spark, d):
     return profile.density_2d(Tables(spark, d).lineitem, tr.DIST, tr.FARE, DENSITY_BINS)
 
 
+SAMPLE_PER_CELL = 5
+
+
+@job("scatter_sample", f"""
+WITH s AS (SELECT min(l_quantity) AS xlo, max(l_quantity) AS xhi,
+                  min(l_extendedprice) AS ylo, max(l_extendedprice) AS yhi FROM lineitem),
+c AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+       CASE WHEN s.xhi = s.xlo THEN 0 ELSE CAST(least(floor((l_quantity - s.xlo) / ((s.xhi - s.xlo) / {DENSITY_BINS})), {DENSITY_BINS - 1}) AS INTEGER) END AS x_bin,
+       CASE WHEN s.yhi = s.ylo THEN 0 ELSE CAST(least(floor((l_extendedprice - s.ylo) / ((s.yhi - s.ylo) / {DENSITY_BINS})), {DENSITY_BINS - 1}) AS INTEGER) END AS y_bin
+FROM lineitem, s WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL)
+SELECT *, CAST(row_number() OVER (PARTITION BY x_bin, y_bin ORDER BY md5(concat_ws('-', l_orderkey, l_linenumber)), l_orderkey, l_linenumber,
+  l_quantity, l_extendedprice) AS INTEGER) AS place FROM c QUALIFY place <= {SAMPLE_PER_CELL}""")
+def scatter_sample(spark, d):
+    return profile.scatter_sample(Tables(spark, d).lineitem, tr.DIST, tr.FARE, ["l_orderkey", "l_linenumber"], DENSITY_BINS, SAMPLE_PER_CELL)
+
+
 @job("correlation", """
 SELECT round(corr(l_quantity, l_extendedprice), 6) AS corr, count(*) AS n FROM lineitem""")
 def correlation(spark, d):
@@ -488,7 +578,7 @@ def label_key_report(spark, d):
     return graph.label_key_report(sg.node_sources(spark, d))
 
 
-@job("upsert", f"""
+UPSERT_CTES = f"""
 WITH b AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{SNAPSHOT}'),
 u AS (SELECT o_orderkey, o_custkey,
              CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
@@ -499,10 +589,13 @@ SELECT coalesce(b.o_orderkey, u.o_orderkey) AS o_orderkey,
        CASE WHEN u.o_orderkey IS NOT NULL THEN u.o_orderstatus ELSE b.o_orderstatus END AS o_orderstatus,
        CASE WHEN u.o_orderkey IS NOT NULL THEN u.o_totalprice ELSE b.o_totalprice END AS o_totalprice,
        CASE WHEN u.o_orderkey IS NOT NULL THEN u.o_orderdate ELSE b.o_orderdate END AS o_orderdate,
-       CASE WHEN u.o_orderkey IS NOT NULL THEN u.o_orderpriority ELSE b.o_orderpriority END AS o_orderpriority,
+       CASE WHEN u.o_orderkey IS NOT NULL THEN u.o_orderpriority ELSE b.o_orderpriority END AS o_orderpriority"""
+UPSERT_FROM = " FROM b FULL OUTER JOIN u ON b.o_orderkey = u.o_orderkey"
+
+
+@job("upsert", UPSERT_CTES + """,
        CASE WHEN b.o_orderkey IS NULL THEN 'insert' WHEN u.o_orderkey IS NOT NULL THEN 'update'
-            ELSE 'keep' END AS change
-FROM b FULL OUTER JOIN u ON b.o_orderkey = u.o_orderkey""")
+            ELSE 'keep' END AS change""" + UPSERT_FROM)
 def upsert(spark, d):
     o = Tables(spark, d).orders
     ts = lambda s: F.lit(s).cast("timestamp_ntz")
@@ -512,6 +605,20 @@ def upsert(spark, d):
     return graph.upsert(base, upd, ["o_orderkey"])
 
 
+NODE_BUCKETS = 16
+
+
+@job("upsert_stored", UPSERT_CTES + UPSERT_FROM)
+def upsert_stored(spark, d):
+    # the snapshot as a stored table, the updates merged into its buckets, read back
+    o = Tables(spark, d).orders
+    ts = lambda s: F.lit(s).cast("timestamp_ntz")
+    nodes = stored.StoredNodes.create(o.filter(F.col("o_orderdate") < ts(SNAPSHOT)), ["o_orderkey"], shared_dir(spark, "nodes"), NODE_BUCKETS)
+    nodes.merge(o.filter(F.col("o_orderdate") >= ts(UPDATES_FROM)).withColumn(
+        "o_orderstatus", F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus"))))
+    return nodes.rows
+
+
 @job("dangling_refs", """
 SELECT 'lineitem.l_orderkey->orders' AS reference, count(*) AS n_refs,
        count(*) FILTER (WHERE o.o_orderkey IS NULL) AS n_dangling
@@ -812,6 +919,28 @@ def graph_prompts(spark, d):
                                        F.lit(retrieve.QUESTION).alias("question"))
 
 
+PROMPT_CHARS = 4000
+
+
+@job("graph_prompt_parts", RETRIEVE_SQL + f""",
+items AS (SELECT query_id, seed_rank, order_id, batch_part, batch_supp,
+       'Order ' || coalesce(CAST(order_id AS VARCHAR), 'None') || ' (' || coalesce(customer, 'None') || ', ' ||
+       coalesce(status, 'None') || ', priority:' || coalesce(priority, 'None') || ') | Batch ' ||
+       (CAST(batch_part AS VARCHAR) || '-' || CAST(batch_supp AS VARCHAR)) || ' (' || coalesce(product, 'None') ||
+       ') | quality: ' || coalesce(quality_status, 'None') || ' | supplier: ' || coalesce(supplier_name, 'None') ||
+       ' [risk:' || coalesce(supplier_risk, 'None') || '] | warehouse: ' || coalesce(warehouse_location, 'None') AS content FROM ret),
+cut AS (SELECT *, CAST((sum(length(content)) OVER (PARTITION BY query_id ORDER BY seed_rank, order_id, batch_part, batch_supp) - length(content))
+  // {PROMPT_CHARS} AS BIGINT) AS part FROM items)
+SELECT query_id, part, count(*) AS n_items, '{retrieve.SYSTEM_PROMPT}' AS system_prompt,
+       'Context:' || chr(10) || string_agg('- ' || content, chr(10) ORDER BY seed_rank, order_id, batch_part, batch_supp) ||
+       chr(10) || chr(10) || 'Question: ' || '{retrieve.QUESTION}' AS user_prompt FROM cut GROUP BY query_id, part""")
+def graph_prompt_parts(spark, d):
+    # the whole prompt text of the graph path, in parts of bounded size
+    keys = ["seed_rank", "order_id", "batch_part", "batch_supp"]
+    items = retrieve.retrieval_items(_retrieved(spark, d), sg.batch_id_text(F.col("batch_part"), F.col("batch_supp")), keep=["query_id", *keys])
+    return retrieve.prompt_parts(items, keys, "content", PROMPT_CHARS)
+
+
 def _evaluated(spark, d):
     """Retrieved ids, exact ids and the questions, each written once: hits and
     the exact answer feed several branches."""

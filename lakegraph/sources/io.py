@@ -36,6 +36,15 @@ def read_csv_strings(spark: SparkSession, path: str, columns: list[str] | None =
     return reader.csv(path)
 
 
+def read_csv_kept_lines(spark: SparkSession, path: str, columns: list[str], malformed: str = "malformed_line",
+                        header: bool = True) -> DataFrame:
+    """CSV scan as strings that keeps lines with too few or too many fields
+    whole in the ``malformed`` column (null on other lines)."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, malformed]])
+    return spark.read.schema(schema).option("header", str(header).lower()).option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", malformed).csv(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", "true").csv(path)
     return path
@@ -91,3 +100,9 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """First ``n`` rows by all columns, the frame behind ``show()``: an order
     makes the preview the same every time."""
     return df.orderBy(*df.columns).limit(n)
+
+
+def head(df: DataFrame, n: int = 20) -> DataFrame:
+    """Any ``n`` rows: a plain limit, which reads no more partitions than it
+    needs (``preview`` orders the whole table)."""
+    return df.limit(n)
