@@ -272,9 +272,8 @@ def links(found: DataFrame, lists: DataFrame, threshold: float, low: float) -> D
 
 def _tiles(members: DataFrame, threshold: float, tile: int) -> DataFrame:
     """(v, partners): rows that each member links to within its component, all
-    compared; members has label, v, copies, unit."""
-    sizes = members.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("parts"))
-    dealt = members.join(sizes, "label").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
+    compared; members has label, n (members of the component), v, copies, unit."""
+    dealt = members.withColumn("parts", F.ceil(F.col("n") / F.lit(tile)).cast("int")).withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
     dealt = dealt.select("label", "v", "copies", "unit", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")) \
         .select("label", "v", "copies", "unit", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
 
@@ -305,7 +304,9 @@ def _counted(found: DataFrame, lists: DataFrame, threshold: float, low: float, t
     own = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weight, "b") \
         .groupBy(F.col("a").alias("v")).agg(F.sum("copies").alias("partners"))
     wide = lists.filter("full").select(F.col("u").alias("v")).join(label, "v").select("label").distinct()
-    members = label.join(wide, "label").join(found.select("v", "copies", "unit"), "v")
+    # written, so that the join deals its own rows by label and may split a hot one
+    sizes = store.saved(label.groupBy("label").agg(F.count(F.lit(1)).alias("n")).join(wide, "label"), "component-sizes")
+    members = label.join(sizes, "label").join(found.select("v", "copies", "unit"), "v")
     tiled = _tiles(members, threshold, tile)
     counts = own.join(tiled, "v", "left_anti").unionByName(tiled)
     return store.saved(counts.join(label, "v"), "vector-counts")

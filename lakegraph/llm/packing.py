@@ -5,8 +5,10 @@ and the others are full. Pieces are dealt evenly over blocks of bounded size.
 In a block each piece goes where the sum over residual gaps of the squared
 number of open bins with that gap becomes smallest, largest pieces first. Bins
 that are not full are dealt over fewer blocks and packed again, until one block
-holds the rest (or the rounds end); the last round also tries large pieces first
-with the rest mixed, and keeps what needs fewer bins. No piece is left out.
+holds the rest (or the rounds end). The last round also tries large pieces first
+with the rest mixed; of either packing the bins left partly empty are opened and their
+pieces placed again, best gap first, while that saves a bin; the one that needs fewer
+bins stays. No piece is left out.
 
 Defined cases: a null or empty text has just the end id; repeated documents
 are packed once per row; an empty table gives no rows.
@@ -89,6 +91,47 @@ def sum_of_squares(sizes: np.ndarray, length: int = LENGTH, order: np.ndarray |
     return where, offset
 
 
+def best_gap(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of each size, largest first, each in the open bin with the
+    smallest gap that holds it."""
+    where, offset = np.empty(len(sizes), dtype=np.int64), np.empty(len(sizes), dtype=np.int64)
+    open_bins = np.zeros(length + 1, dtype=bool)            # whether there is a bin with this gap
+    by_gap: list[list[int]] = [[] for _ in range(length + 1)]
+    bins = 0
+    for i in np.argsort(-sizes, kind="stable").tolist():
+        s = int(sizes[i])
+        k = int(open_bins[s:].argmax())
+        if open_bins[s + k]:
+            gap = s + k
+            b = by_gap[gap].pop()
+            open_bins[gap] = bool(by_gap[gap])
+        else:
+            b, gap, bins = bins, length, bins + 1
+        where[i], offset[i] = b, length - gap
+        if gap > s:
+            by_gap[gap - s].append(b)
+            open_bins[gap - s] = True
+    return where, offset
+
+
+def reopened(sizes: np.ndarray, where: np.ndarray, offset: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """The packing after the pieces of bins left partly empty are placed again,
+    best gap first, as long as that saves a bin. Bins are numbered from 0."""
+    while True:
+        fill = np.bincount(where, weights=sizes).astype(np.int64)
+        part = np.flatnonzero(fill[where] < length)
+        if not len(part):
+            return where, offset
+        again, at = best_gap(sizes[part], length)
+        if again.max() + 1 >= (fill < length).sum():
+            return where, offset
+        full = np.flatnonzero(fill == length)
+        number = np.full(len(fill), -1, dtype=np.int64)
+        number[full] = np.arange(len(full))
+        where, offset = number[where], offset.copy()
+        where[part], offset[part] = len(full) + again, at
+
+
 _PACKED = pa.schema([*_PIECES, ("block", pa.int64()), ("bin", pa.int64()), ("offset", pa.int64()), ("fill", pa.int64())])
 PACKED = PIECES + ", block long, bin long, offset long, fill long"
 
@@ -96,7 +139,10 @@ PACKED = PIECES + ", block long, bin long, offset long, fill long"
 def _pack_block(length: int, last: bool):
     def run(group: pa.Table) -> pa.Table:
         sizes = group["length"].to_numpy()
-        where, offset = min((sum_of_squares(sizes, length, x) for x in arrivals(sizes, length)[:2 if last else 1]), key=lambda r: int(r[0].max()))
+        if last:
+            where, offset = min((reopened(sizes, *sum_of_squares(sizes, length, x), length) for x in arrivals(sizes, length)), key=lambda r: int(r[0].max()))
+        else:
+            where, offset = sum_of_squares(sizes, length)
         fill = np.bincount(where, weights=sizes)[where].astype(np.int64)
         cols = [group[c] for c in _PIECES.names] + [group["block"], pa.array(where), pa.array(offset), pa.array(fill)]
         return pa.table(cols, schema=_PACKED)

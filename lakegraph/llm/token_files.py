@@ -28,6 +28,7 @@ from lakegraph.llm import store, tokens
 
 END, ROW, BATCH_ROWS = 2, 1024, 256
 PARTITION_BYTES = 32 << 20          # text bytes of a file, about
+READ_IDS = 4 << 20                      # ids of the files, in a reading task
 INDEX = "doc_id long, file string, at long, n_tokens long, first long"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("file", pa.string()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("first", pa.int64())])
 
@@ -153,4 +154,7 @@ def read_tokens(index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _READ, strict=True)], schema=_READ)
 
     rows = index.join(starts(index), "file").select("doc_id", "file", "at", "n_tokens", "before")
-    return rows.repartition("file").sortWithinPartitions("file", "at").mapInArrow(read, READ)
+    total = index.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    # as many tasks as there are ids for; a long file is read by several
+    spread = rows.repartition(max(1, -(-total // READ_IDS)), "file", F.floor(F.col("at") / READ_IDS))
+    return spread.sortWithinPartitions("file", "at").mapInArrow(read, READ)

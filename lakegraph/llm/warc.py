@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from lakegraph.llm import store
 
 DATE = "2020-01-01T00:00:00Z"
+READ_BYTES = 8 << 20                     # of archives, in a reading task
 GAP, MOST = 64 << 10, 8 << 20      # join ranges this close, into reads of this size
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = ("page_id long, url string, file string, offset long, length long, "
@@ -137,5 +138,8 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
                 r["payload"] = None
             yield pa.RecordBatch.from_pylist(got, schema=_RECORD)
 
-    spread = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    rows = index.select("file", "offset", "length")
+    total = rows.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    # as many tasks as the records have bytes for; a long archive is read by several
+    spread = rows.repartition(max(1, -(-total // READ_BYTES)), "file", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("file", "offset")
     return spread.mapInArrow(read, RECORD)
