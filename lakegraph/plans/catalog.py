@@ -7,6 +7,7 @@ The SQL is DuckDB dialect over views named after the tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -480,6 +481,22 @@ def pattern_3hop(spark, d):
     return sg.exact_answer(_g(spark, d)).orderBy("oid")
 
 
+GRAPH_BUCKETS = 8
+
+
+def _bucketed(spark, d) -> match.SupplyGraph:
+    """The graph as bucketed tables, written once in a session."""
+    cache = spark.__dict__.setdefault("_lakegraph_bucketed", {})
+    if d not in cache:
+        cache[d] = sg.bucketed_graph(_g(spark, d), f"graph_{uuid.uuid4().hex}", GRAPH_BUCKETS)
+    return cache[d]
+
+
+@job("pattern_3hop_stored", SQL["pattern_3hop"])
+def pattern_3hop_stored(spark, d):
+    return match.pattern_3hop(_bucketed(spark, d), sg.high_delayed_codes(), sg.failed(), sg.high_risk())
+
+
 @job("build_edges", "WITH " + GRAPH_CTES + """
 SELECT 'CONTAINS' AS edge_type, CAST(order_id AS VARCHAR) AS src_id,
        CAST(batch_part AS VARCHAR) || '-' || CAST(batch_supp AS VARCHAR) AS dst_id FROM contains_e

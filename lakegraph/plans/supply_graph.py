@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from lakegraph.functions.exprs import py_str
 from lakegraph.operators.graph import build_edges, project_nodes
 from lakegraph.operators.match import SupplyGraph, pattern_3hop
+from lakegraph.session import shared_dir
 from lakegraph.sources.fixtures import supply_tables
 from lakegraph.sources.testdata import Tables
 
@@ -200,6 +201,29 @@ def stored_graph(spark: SparkSession, paths: dict[str, str], batch_key: list[str
                        batch_key=batch_key, batch_keys=batches)
 
 
+def bucketed_graph(g: SupplyGraph, name: str, buckets: int) -> SupplyGraph:
+    """The graph over catalog tables in the shared folder. Orders and their
+    CONTAINS edges are bucketed and sorted by order, so walking from an order to
+    its batches needs no shuffle; an order has few lines, while a batch may be in a
+    third of all orders, so edges are not bucketed by batch: that join deals the
+    rows anew, and adaptive execution may split a hot batch. Column statistics are
+    collected for the planner."""
+    spark = g.orders.sparkSession
+    frames = {"orders": g.orders, "contains": g.contains, "batches": g.batches, "suppliers": g.suppliers, "warehouses": g.warehouses}
+    made = {}
+    for part, frame in frames.items():
+        table = f"{name}_{part}"
+        if part in ("orders", "contains"):              # one file per bucket: the shuffle deals like the buckets
+            writer = frame.repartition(buckets, "order_id").write.bucketBy(buckets, "order_id").sortBy("order_id")
+        else:
+            writer = frame.write
+        writer.mode("overwrite").option("path", shared_dir(spark, table)).saveAsTable(table)
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+        made[part] = spark.table(table)
+    return SupplyGraph(**made, made_by=made["batches"].select(*g.batch_key, "supplier_id"), stored_in=made["batches"].select(*g.batch_key, "warehouse_id"),
+                       batch_key=g.batch_key, batch_keys=made["batches"])
+
+
 def merged_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four labels merged by key from rows that repeat it (every line
     names its order, batch, supplier and warehouse): label, id, properties."""

@@ -105,3 +105,25 @@ def test_prompt_parts_hold_every_item_once(spark):
         want = sorted(r.o for r in items.filter(F.col("query_id") == q).collect())
         assert seen == want and sum(r.n_items for r in mine) == len(want)
         assert all(len(r.user_prompt) <= 300 + 20 + 3 * r.n_items + 30 for r in mine)
+
+
+def test_edges_of_bucketed_tables_join_without_exchange(spark):
+    from lakegraph.plans import catalog
+    from places import SF_SMALL
+    g = catalog._bucketed(spark, SF_SMALL)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        walk = g.contains.join(g.orders.filter("status = 'DELAYED'"), "order_id")
+        plan = walk._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = catalog._g(spark, SF_SMALL)
+        assert walk.count() == want.contains.join(want.orders.filter("status = 'DELAYED'"), "order_id").count()
+        match = catalog.pattern_3hop_stored(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        edges = [x for x in match.splitlines() if "graph_" in x and "_contains" in x]
+        assert edges and all("Bucketed: true" in x for x in edges)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("graph_") and t.name.endswith("_orders"))
+    stats = spark.sql(f"DESCRIBE EXTENDED {name} order_id").collect()
+    assert any(r[0] == "distinct_count" and r[1] != "NULL" for r in stats)
