@@ -202,10 +202,10 @@ def _met(index: VectorIndex, asked: DataFrame, columns: list[str], score: Callab
     load = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("asked"), F.max("n").alias("n")).collect()     # at most one row per centre
     rows = [(r.cell, int(-(-r.n // BLOCK)), int(-(-r.asked // QUERIES))) for r in load]
     blocks = index.spark.createDataFrame(rows, "cell int, parts int, qparts int")
-    v = index.vectors.filter(F.col("cell").isin([r[0] for r in rows])).select("cell", *columns).join(F.broadcast(blocks), "cell")
+    v = index.vectors.filter(F.col("cell").isin([r[0] for r in rows])).select("cell", *columns).join(blocks, "cell")
     v = v.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")) \
         .withColumn("qpart", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1))).drop("parts", "qparts")
-    q = asked.select("query_id", "q", "cell").join(F.broadcast(blocks), "cell") \
+    q = asked.select("query_id", "q", "cell").join(blocks, "cell") \
         .withColumn("qpart", F.pmod(F.xxhash64("query_id"), F.col("qparts")).cast("int")) \
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "qparts")
     keys = ["cell", "part", "qpart"]

