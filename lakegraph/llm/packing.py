@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, tokenizer: str, byte_level: bool = True, length: int
                     cuts = [0, *range(n % length or length, n + 1, length)]
                     rows += [(doc, k, s, e - s, zlib.crc32(ids[s:e])) for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECES, strict=True)], schema=_PIECES)
-        store.release()
+        tokens.release()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 

@@ -99,7 +99,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, byte_level: bool = False,
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*index, strict=True), _INDEX, strict=True)], schema=_INDEX)
         if out is not None:
             out.close()
-        store.release()
+        tokens.release()
 
     spread = rows.repartitionByRange(max(1, -(-total // partition_bytes)), "doc_id").sortWithinPartitions("doc_id")
     return store.saved(spread.mapInArrow(write, INDEX), "token-index")

@@ -16,10 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from lakegraph.llm import words
+from lakegraph.llm import store, words
 
 CACHE_BYTES = 48 << 20          # of one generation of pieces
-CHUNK_BYTES = 4 << 20
+KEEP_BYTES = 8 << 20            # of pieces that an idle worker keeps
+CHUNK_BYTES = 2 << 20
 _BLOCK_CHARS = 1 << 13
 # White space, letters of one byte and plain punctuation. A byte that is none
 # of them is never a cut point, whatever character it belongs to.
@@ -266,8 +267,17 @@ _ENCODERS: dict[tuple, Encoder] = {}
 
 
 def encoder(path: str, byte_level: bool, end: int | None = None) -> Encoder:
-    """The encoder of this Python worker; its pieces serve later tasks too."""
+    """The encoder of this Python worker; ``release`` it at the end of a task."""
     key = (path, byte_level, end)
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(*key)
     return _ENCODERS[key]
+
+
+def release() -> None:
+    """At the end of a task: encoders stay, but their pieces only while they are
+    few, so that small tasks share them and an idle worker stays small."""
+    for e in _ENCODERS.values():
+        if e.young.nbytes + e.old.nbytes > KEEP_BYTES:
+            e.young, e.old = Pieces(), Pieces()
+    store.release()
