@@ -138,6 +138,19 @@ def pattern_3hop(g: SupplyGraph, order_pred: Column | None = None,
     return paths.select("oid", "cust", *bk, "prod", "sup_name", "risk", "warehouse")
 
 
+def pattern_paths(g: SupplyGraph, order_pred: Column | None = None, batch_pred: Column | None = None,
+                  supplier_pred: Column | None = None, warehouse_pred: Column | None = None) -> DataFrame:
+    """The rows of ``pattern_3hop`` over a graph whose frames are stored, one row
+    per node and edge: filters and inner joins only, so that the planner may order
+    the legs by the tables' statistics (``session.cbo_conf``)."""
+    bk = g.batch_key
+    legs = [(g.orders, order_pred), (g.batches, batch_pred), (g.suppliers, supplier_pred), (g.warehouses, warehouse_pred)]
+    o, b, s, w = (frame if pred is None else frame.filter(pred) for frame, pred in legs)
+    return (g.contains.join(o, "order_id").join(b, bk).join(s, "supplier_id").join(w, "warehouse_id")
+            .select(F.col("order_id").alias("oid"), F.col("customer").alias("cust"), *bk, F.col("product").alias("prod"),
+                    F.col("name").alias("sup_name"), F.col("risk_tier").alias("risk"), F.col("location").alias("warehouse")))
+
+
 def expand_inner(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
     """``MATCH (o:Order)-[:CONTAINS]->(node)``: seeds with no order vanish; 1:n."""
     return _seed_edges(seeds, g).join(g.orders, "order_id")
@@ -148,16 +161,18 @@ def _edges_of(g: SupplyGraph) -> DataFrame:
     return g.contains if g.contains_rows is None else g.contains_rows.distinct()
 
 
-def _seed_edges(seeds: DataFrame, g: SupplyGraph) -> DataFrame:
+def _seed_edges(seeds: DataFrame, g: SupplyGraph, whole: bool = False) -> DataFrame:
     """Seeds joined to their CONTAINS edges: one row per (seed row, order).
 
     Edge pairs are made distinct on their keys first (map-side partial), for
-    the seeds' batches only; equal seed rows stay as many rows, in every
-    input form.
+    the seeds' batches only (``whole`` says that the seeds are all batches);
+    equal seed rows stay as many rows, in every input form.
     """
     bk = g.batch_key
     if g.contains_rows is None:
         return seeds.join(g.contains, bk)
+    if whole:
+        return seeds.join(g.contains_rows.distinct(), bk)
     near = g.contains_rows.join(seeds.select(*bk), bk, "left_semi").distinct()
     return seeds.join(near, bk)
 
@@ -190,12 +205,13 @@ SEEDED_COLUMNS = ["order_id", "customer", "status", "priority", "product", "qual
 
 
 def seeded_expand(seeds: DataFrame, g: SupplyGraph, order_pred: Column | None = None,
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, whole: bool = False) -> DataFrame:
     """Seed batches -> their orders (inner) -> supplier and warehouse (optional).
 
     ``seeds`` holds the batch key (plus any columns to carry, e.g. query id
-    and score, listed in ``keep``). Output: the carried columns, the batch
-    key and the ten RETURN columns of the retrieval query.
+    and score, listed in ``keep``); ``whole`` says that they are all batches.
+    Output: the carried columns, the batch key and the ten RETURN columns of
+    the retrieval query.
     """
     bk = g.batch_key
     keep = keep or []
@@ -208,7 +224,7 @@ def seeded_expand(seeds: DataFrame, g: SupplyGraph, order_pred: Column | None =
     orders = g.orders
     if order_pred is not None:
         orders = orders.filter(order_pred)
-    inner = (_seed_edges(s, g)
+    inner = (_seed_edges(s, g, whole)
               .join(orders.select("order_id", "customer", "status", "priority"), "order_id"))
     if carried:
         with_b = inner

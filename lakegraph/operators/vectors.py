@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegraph.functions.exprs import norm
+from lakegraph.session import shared_dir
 
 DIGITS = 12          # scores are rounded before ranking, so equal vectors tie
 
@@ -76,21 +77,22 @@ def text_vectors(df: DataFrame, id_col: str, text_col: str, num_features: int =
                  min_doc_freq: int = 1) -> DataFrame:
     """Text -> unit-norm TF-IDF vectors with Spark ML (whole texts).
 
-    Tokenizer -> HashingTF -> IDF -> Normalizer. Fitting IDF is one
-    distributed pass of document frequencies; transform is per row. Words are
+    Tokenizer -> HashingTF -> IDF -> Normalizer. Term counts are written once to
+    the shared folder, so texts are split once; fitting IDF is one distributed
+    pass of document frequencies over them, transform is per row. Words are
     runs of letters and digits of any script.
     """
-    from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="__tok", pattern=NOT_WORD, toLowercase=True),
-        HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features),
-        IDF(inputCol="__tf", outputCol="__idf", minDocFreq=min_doc_freq),
-        Normalizer(inputCol="__idf", outputCol="features", p=2.0),
-    ])
-    src = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
-    return pipe.fit(src).transform(src).select(id_col, "features")
+    src = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    words = RegexTokenizer(inputCol="__text", outputCol="__tok", pattern=NOT_WORD, toLowercase=True).transform(src)
+    counts = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features).transform(words).select(id_col, "__tf")
+    spark = df.sparkSession
+    path = shared_dir(spark, "text-vectors")
+    counts.write.parquet(path)
+    counts = spark.read.parquet(path)
+    weighed = IDF(inputCol="__tf", outputCol="__idf", minDocFreq=min_doc_freq).fit(counts).transform(counts)
+    return Normalizer(inputCol="__idf", outputCol="features", p=2.0).transform(weighed).select(id_col, "features")
 
 
 def unit_interval(hits: DataFrame, col: str = "score") -> DataFrame:

@@ -497,6 +497,11 @@ def pattern_3hop_stored(spark, d):
     return match.pattern_3hop(_bucketed(spark, d), sg.high_delayed_codes(), sg.failed(), sg.high_risk())
 
 
+@job("pattern_paths_stored", SQL["pattern_3hop"])
+def pattern_paths_stored(spark, d):
+    return match.pattern_paths(_bucketed(spark, d), sg.high_delayed(), sg.failed(), sg.high_risk())
+
+
 @job("build_edges", "WITH " + GRAPH_CTES + """
 SELECT 'CONTAINS' AS edge_type, CAST(order_id AS VARCHAR) AS src_id,
        CAST(batch_part AS VARCHAR) || '-' || CAST(batch_supp AS VARCHAR) AS dst_id FROM contains_e
@@ -682,7 +687,7 @@ LEFT JOIN warehouses_n w ON w.warehouse_id = si.warehouse_id"""
      + EXPAND_SQL_SELECT)
 def seeded_expand(spark, d):
     g = _g(spark, d)
-    return match.seeded_expand(g.batches, g)      # every batch node is a seed
+    return match.seeded_expand(g.batches, g, whole=True)      # every batch node is a seed
 
 
 @job("expand_inner", "WITH " + GRAPH_CTES + """

@@ -231,10 +231,13 @@ def merged_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = tables_graph(spark, sf_dir)
     lines = t.lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id"),
                               F.pmod(F.col("l_partkey"), F.lit(N_WAREHOUSES)).alias("warehouse_id"))
-    sources = {"Order": (lines.select("order_id").join(g.orders, "order_id"), ["order_id"],
-                         ["customer", "status", "priority", "order_date"]),
-               "Supplier": (lines.select("supplier_id").join(g.suppliers, "supplier_id"), ["supplier_id"], ["name", "country", "risk_tier"]),
-               "Warehouse": (lines.select("warehouse_id").join(g.warehouses, "warehouse_id"), ["warehouse_id"], ["location", "region"]),
+    # a line's keys are made distinct before they meet the wide rows
+    def of(nodes, key):
+        return nodes.join(lines.select(key).distinct(), key, "left_semi")
+
+    sources = {"Order": (of(g.orders, "order_id"), ["order_id"], ["customer", "status", "priority", "order_date"]),
+               "Supplier": (of(g.suppliers, "supplier_id"), ["supplier_id"], ["name", "country", "risk_tier"]),
+               "Warehouse": (of(g.warehouses, "warehouse_id"), ["warehouse_id"], ["location", "region"]),
                "Batch": (g.batches.withColumn("batch", batch_id_text(F.col("batch_part"), F.col("batch_supp"))), ["batch"],
                          ["product", "quality_status", "description"])}
     out = None

@@ -90,6 +90,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, *parts, uuid.uuid4().hex)
 
 
+def cbo_conf() -> dict[str, str]:
+    """Settings under which the planner orders inner joins by the statistics of
+    analysed tables (``supply_graph.bucketed_graph``)."""
+    return {"spark.sql.cbo.enabled": "true", "spark.sql.cbo.joinReorder.enabled": "true"}
+
+
 MB = 1 << 20
 
 
