@@ -90,10 +90,11 @@ class EliasFano:
         high = (self._select(i, True) - i).astype(_U)
         return (high << _U(self.width) | self._low(i)).astype(np.int64)
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Number of a value equal to each x, -1 without one. The values that
-        share x's high part stand between two zeros; the successor of x's low
-        part among them is found by halving that range."""
+    def find(self, x: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """Number of a value equal to each x, -1 without one; only among the
+        values begin (included) to end of each x where those are given. The
+        values that share x's high part stand between two zeros; the successor
+        of x's low part among them is found by halving that range."""
         out = np.full(len(x), -1, dtype=np.int64)
         if not self.n or not len(x):
             return out
@@ -104,6 +105,8 @@ class EliasFano:
         lo[later] = self._select(high[later] - 1, False) + 1
         lo -= high                                       # ones before the range
         hi = self._select(high, False) - high
+        if begin is not None:
+            lo, hi = np.maximum(lo, begin[todo]), np.minimum(hi, end[todo])
         some = hi > lo
         todo, lo, hi = todo[some], lo[some], hi[some]
         low = (x[todo] & ((1 << self.width) - 1)).astype(_U)

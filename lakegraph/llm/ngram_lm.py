@@ -1,17 +1,22 @@
-"""Bigram language model in an Elias-Fano trie.
+"""N-gram language model (order 2 or 3) in an Elias-Fano trie.
 
 Counting and building are Spark jobs over all training documents. Level 1 is
 the vocabulary in hash order with counts; level 2 holds every pair of words
-seen. Pairs are dealt over files by an even share of the expected tokens, so
-the followers of a very frequent word are split over several files. A file
-keeps monotone pointers from its words to their followers, the followers as
-one monotone sequence relative to their word, and one byte of quantised log10
-probability per pair. Tasks map the files and look pairs up by successor
-search in the word's range.
-
-Smoothing: absolute discounting, the freed mass goes to the unigram
-distribution (add one half, with a share for unknown words), so
-P(w | c) = max(n(c, w) - D, 0) / n(c) + D * followers(c) / n(c) * P(w).
+seen, numbered in order; level 3 every run of three, as the number of its
+first pair and the place of its last word among the followers of the middle
+word. Pairs and triples are dealt over files by an even share of the expected
+tokens, so the followers of a very frequent context are split over several
+files. A file keeps monotone pointers from its contexts to their followers,
+the followers as one monotone sequence relative to their context, and one byte
+of quantised log10 probability each; level 2 also keeps running counts, the
+weights of level 3's contexts. Tasks map the files that their words touch: the
+pointers bound the followers of the context, the successor of the word is
+searched among those.
+
+Smoothing: absolute discounting, the freed mass goes to the next lower order
+and at last to the unigrams (add one half, with a share for unknown words), so
+P(w | c) = max(n(c, w) - D, 0) / n(c) + D * followers(c) / n(c) * P(w | shorter c).
+The first word of a text has no context but the text's start.
 
 Defined cases: a null or empty text is just the end token; without training
 documents every score is that of the uniform rest; repeated rows count and
@@ -32,11 +37,13 @@ from pyspark.sql import functions as F
 from lakegraph.llm import store, words
 from lakegraph.llm.elias_fano import FIELDS, EliasFano, encode
 
+ORDER = 3
 DISCOUNT = 0.75
 BYTES_PER_FILE = 16 << 20       # training text behind one file of a level
 END = words.U64(0x0F0E0D0C0B0A0908)   # stands for the end of a text, and before its start
 STEP, FLOOR = 0.05, -12.75            # log10 probabilities in one byte
 SCORE_BYTES = 8 << 20
+TRIPLES_HELD = 1_500_000              # distinct triples of a task before it sends them
 
 
 def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,12 +158,68 @@ def _merged(messages: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return counter.total()
 
 
+def _summed(first: np.ndarray, last: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (first, last) in order, with the sum of the last of ``values``
+    (counts) and any of the others."""
+    order = np.lexsort((last, first))
+    first, last = first[order], last[order]
+    new = np.ones(len(first), dtype=bool)
+    new[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
+    at = np.flatnonzero(new)
+    counts = np.add.reduceat(values[-1][order], at) if len(at) else values[-1]
+    return first[at], last[at], *(v[order][at] for v in values[:-1]), counts
+
+
+def _counted_triples(docs: DataFrame, manifest: dict) -> DataFrame:
+    """Distinct (pair, follower's place, count), sent by a task whenever it
+    holds TRIPLES_HELD of them, one message per bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, held, n_held = _trie(manifest), [], 0
+
+        def messages() -> Iterator[pa.RecordBatch]:
+            g, r, bucket, c = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))       # buckets follow the pairs' order
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bucket[a]], pa.int32()), pa.array([pack({"k": g[a:b], "r": r[a:b], "c": c[a:b]})], pa.binary())],
+                    names=["bucket", "message"])
+
+        for batch in batches:
+            for _, _, data, offs in words.chunks(batch["text"], SCORE_BYTES):
+                found = trie.triples(*tokens(data, offs))
+                if len(found[0]):
+                    held.append(found)
+                    n_held += len(found[0])
+                if n_held > TRIPLES_HELD:
+                    yield from messages()
+                    held, n_held = [], 0
+        if held:
+            yield from messages()
+        held.clear()
+        store.release()
+
+    return docs.select("text").mapInArrow(run, _MESSAGE)
+
+
+class Opened:
+    """Arrays of files, mapped when first asked for."""
+
+    def __init__(self, files: list[dict]):
+        self.files = files
+        self.open: dict[int, dict[str, np.ndarray]] = {}
+
+    def __getitem__(self, i: int) -> dict[str, np.ndarray]:
+        if i not in self.open:
+            self.open[i] = map_arrays(self.files[i]["path"])
+        return self.open[i]
+
+
 class Vocabulary:
     """Level 1: word hashes in order, counts and running counts, by file."""
 
     def __init__(self, files: list[dict]):
-        self.files = files
-        self.arrays = [map_arrays(f["path"]) for f in files]
+        self.arrays = Opened(files)
         self.edges = np.array([f["hash0"] for f in files[1:]], dtype=words.U64)
         self.base = np.array([f["id0"] for f in files] + [files[-1]["id0"] + files[-1]["n"]] if files else [0], dtype=np.int64)
         self.before = [f["tokens0"] for f in files]
@@ -166,24 +229,22 @@ class Vocabulary:
     def ids(self, sorted_hashes: np.ndarray) -> np.ndarray:
         """Ids of sorted word hashes, -1 where unknown."""
         out = np.full(len(sorted_hashes), -1, dtype=np.int64)
-        cuts = [0, *np.searchsorted(sorted_hashes, self.edges, side="left").tolist(), len(sorted_hashes)]
-        for k, a in enumerate(self.arrays):
-            part = sorted_hashes[cuts[k]:cuts[k + 1]]
-            if len(part) and len(a["k"]):
-                i = np.minimum(np.searchsorted(a["k"], part), len(a["k"]) - 1)
-                out[cuts[k]:cuts[k + 1]] = np.where(a["k"][i] == part, i + self.base[k], -1)
+        if not self.size:
+            return out
+        for k, part in _parts(np.searchsorted(self.edges, sorted_hashes, side="right")):
+            keys, wanted = self.arrays[k]["k"], sorted_hashes[part]
+            i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            out[part] = np.where(keys[i] == wanted, i + self.base[k], -1)
         return out
 
     def _take(self, ids: np.ndarray, name: str) -> np.ndarray:
         """A column of known ids, 0 for unknown ones; file by file."""
         out = np.zeros(len(ids), dtype=np.int64)
         order = np.argsort(ids, kind="stable")
+        order = order[np.searchsorted(ids[order], 0):]
         s = ids[order]
-        cuts = np.searchsorted(s, self.base)
-        for k, a in enumerate(self.arrays):
-            part = slice(cuts[k], cuts[k + 1])
-            if part.stop > part.start:
-                out[order[part]] = a[name][s[part] - self.base[k]].astype(np.int64) + (self.before[k] if name == "run" else 0)
+        for k, part in _parts(np.searchsorted(self.base, s, side="right") - 1):
+            out[order[part]] = self.arrays[k][name][s[part] - self.base[k]].astype(np.int64) + (self.before[k] if name == "run" else 0)
         return out
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
@@ -217,9 +278,11 @@ def _lookup(vocab: Vocabulary, hashes: np.ndarray) -> np.ndarray:
     return vocab.ids(unique)[of]
 
 
-def build(train: DataFrame) -> dict:
-    """Count the training texts and write both levels; returns the manifest
-    (paths and totals, one entry per file)."""
+def build(train: DataFrame, order: int = ORDER) -> dict:
+    """Count the training texts and write the levels (``order`` 2 or 3);
+    returns the manifest (paths and totals, one entry per file)."""
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     spark = train.sparkSession
     total = train.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BYTES_PER_FILE))
@@ -242,7 +305,7 @@ def build(train: DataFrame) -> dict:
     for r in found.orderBy("bucket").collect():         # one small row per file
         files.append({"path": r.path, "hash0": r.hash0 & (2 ** 64 - 1), "n": r.n, "tokens": r.tokens, "id0": ids, "tokens0": seen})
         ids, seen = ids + r.n, seen + r.tokens
-    manifest = {"words": files, "n_words": ids, "tokens": seen, "pairs": [], "split": {}}
+    manifest = {"words": files, "n_words": ids, "tokens": seen, "order": order, "buckets": buckets, "pairs": [], "triples": []}
     if not files:
         return manifest
 
@@ -267,31 +330,55 @@ def build(train: DataFrame) -> dict:
         vocab = _vocabulary(files)
         k, c = _merged(group["message"])
         a, b = (k // words.U64(ids)).astype(np.int64), (k % words.U64(ids)).astype(np.int64)
-        lo, hi = int(a[0]), int(a[-1])
-        begin = np.searchsorted(a, np.arange(lo, hi + 2))
-        # followers of the file's first and last word may go on in other files
-        edge = {x: int(begin[x - lo + 1] - begin[x - lo]) for x in {lo, hi}}
-        arrays = {f"p_{n}": v for n, v in encode(begin, len(a) + 1).items()}
-        arrays |= {f"f_{n}": v for n, v in encode((a - lo) * ids + b, (hi - lo + 1) * ids).items()}
-        arrays["q"] = np.clip(np.round((np.log10(np.maximum(c - DISCOUNT, 1e-9) / vocab.counts(a)) - FLOOR) / STEP), 0, 255).astype(np.uint8)
-        path = store.task_file(folder, f"-{group['bucket'][0]}.pairs")
-        write_arrays(path, arrays)
-        return pa.table({"bucket": [group["bucket"][0].as_py()], "path": [path], "lo": [lo], "hi": [hi],
-                         "n_lo": [edge[lo]], "n_hi": [edge[hi]], "n": [len(a)]})
+        runs = {f"r_{n}": v for n, v in encode(np.concatenate([[0], np.cumsum(c)]), int(c.sum()) + 1).items()} if order > 2 else {}
+        return _write_level(folder, group, "pairs", a, b, ids, np.maximum(c - DISCOUNT, 1e-9) / vocab.counts(a), int(c.sum()), runs)
 
     found = _counted(train, pair_keys, slices, buckets)
-    found = store.saved(found.groupBy("bucket").applyInArrow(
-        level2, "bucket long, path string, lo long, hi long, n_lo long, n_hi long, n long"), "trie-pairs")
-    ends: dict[int, int] = {}
-    for r in found.orderBy("bucket").collect():
-        manifest["pairs"].append({"bucket": r.bucket, "path": r.path, "lo": r.lo, "hi": r.hi, "n": r.n})
-        for w, n in {(r.lo, r.n_lo), (r.hi, r.n_hi)}:
-            ends[w] = ends.get(w, 0) + n
-    manifest["split"] = ends
-    manifest["buckets"] = buckets
+    found = store.saved(found.groupBy("bucket").applyInArrow(level2, _FILE), "trie-pairs")
+    manifest["pairs"] = _files(found)
+    if order == 2:
+        return manifest
+    # level 3: the universe of a context is the widest set of followers
+    manifest["widest"] = widest = Level(manifest["pairs"], ids).widest()
+
+    def level3(group: pa.Table) -> pa.Table:
+        got = [unpack(m.as_py()) for m in group["message"]]
+        g, r, c = _summed(*(np.concatenate([x[n] for x in got]) for n in "krc"))
+        del got
+        weight = _trie(manifest).level2.counts(g)
+        return _write_level(folder, group, "triples", g, r, widest, np.maximum(c - DISCOUNT, 1e-9) / weight, int(c.sum()), {})
+
+    found = _counted_triples(train, dict(manifest))
+    found = store.saved(found.groupBy("bucket").applyInArrow(level3, _FILE), "trie-triples")
+    manifest["triples"] = _files(found)
     return manifest
 
 
+_FILE = ("bucket long, path string, lo long, hi long, at_hi long, n_lo long, n_hi long, n long, widest long, tokens long")
+
+
+def _write_level(folder: str, group: pa.Table, kind: str, context: np.ndarray, follower: np.ndarray, universe: int,
+                 share: np.ndarray, n_tokens: int, more: dict[str, np.ndarray]) -> pa.Table:
+    """Write one file of a level, of (context, follower) in order; its row of
+    the manifest. Followers of its first and last context may go on in other
+    files."""
+    lo, hi = int(context[0]), int(context[-1])
+    begin = np.searchsorted(context, np.arange(lo, hi + 2))
+    arrays = {f"p_{n}": v for n, v in encode(begin, len(context) + 1).items()}
+    arrays |= {f"f_{n}": v for n, v in encode((context - lo) * universe + follower, (hi - lo + 1) * universe).items()}
+    arrays["q"] = np.clip(np.round((np.log10(share) - FLOOR) / STEP), 0, 255).astype(np.uint8)
+    path = store.task_file(folder, f"-{group['bucket'][0]}.{kind}")
+    write_arrays(path, arrays | more)
+    return pa.table({"bucket": [group["bucket"][0].as_py()], "path": [path], "lo": [lo], "hi": [hi], "at_hi": [int(begin[-2])],
+                     "n_lo": [int(begin[1])], "n_hi": [int(begin[-1] - begin[-2])], "n": [len(context)],
+                     "widest": [int(np.diff(begin).max())], "tokens": [n_tokens]})
+
+
+def _files(found: DataFrame) -> list[dict]:
+    """The rows of a level's files in order, one small row per file."""
+    return [r.asDict() for r in found.orderBy("bucket").collect()]
+
+
 def _slice(run_a: np.ndarray, count_a: np.ndarray, run_b: np.ndarray, total: int, buckets: int) -> np.ndarray:
     """File of each pair: the expected share of all pairs before it in id
     order, so files hold about as many pairs each and a frequent word's
@@ -301,72 +388,195 @@ def _slice(run_a: np.ndarray, count_a: np.ndarray, run_b: np.ndarray, total: int
     return np.minimum((share * buckets).astype(np.int64), buckets - 1)
 
 
+class Level:
+    """Followers of contexts, over files in the contexts' order; a file is
+    opened when a lookup first touches it."""
+
+    def __init__(self, files: list[dict], universe: int):
+        self.files, self.universe = files, universe
+        self.open: dict[int, tuple] = {}
+        self.bucket = np.array([f["bucket"] for f in files], dtype=np.int64)
+        self.lo, self.hi = (np.array([f[n] for f in files], dtype=np.int64) for n in ("lo", "hi"))
+        # numbers of the files' first entries, and tokens before them
+        self.number0, self.tokens0 = (np.cumsum([0] + [f[n] for f in files]) for n in ("n", "tokens"))
+        first: dict[int, int] = {}                       # contexts at the ends of files: first entry, entries
+        total: dict[int, int] = {}
+        for f, at in zip(files, self.number0.tolist()):  # noqa: B905
+            for c, start, n in {(f["lo"], at, f["n_lo"]), (f["hi"], at + f["at_hi"], f["n_hi"])}:
+                first[c] = min(first.get(c, start), start)
+                total[c] = total.get(c, 0) + n
+        self.edges = np.array(sorted(total), dtype=np.int64)
+        self.edge_first, self.edge_n = (np.array([d[c] for c in sorted(total)], dtype=np.int64) for d in (first, total))
+
+    def file(self, i: int) -> tuple:
+        """(pointers, followers, quantised values, running counts) of a file."""
+        if i not in self.open:
+            a = map_arrays(self.files[i]["path"])
+            part = lambda x: EliasFano({n: a[f"{x}_{n}"] for n in (*FIELDS, "head")}) if f"{x}_head" in a else None
+            self.open[i] = (part("p"), part("f"), a["q"], part("r"))
+        return self.open[i]
+
+    def widest(self) -> int:
+        """Most followers of any context."""
+        return max([1, *(f["widest"] for f in self.files), *self.edge_n.tolist()])
+
+    def followers(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the first follower, and of followers, of ascending
+        contexts (0 of unknown ones)."""
+        first, n = np.zeros(len(contexts), dtype=np.int64), np.zeros(len(contexts), dtype=np.int64)
+        if not self.files or not len(contexts):
+            return first, n
+        of = np.searchsorted(self.lo, contexts, side="left") - 1
+        inside = np.flatnonzero((of >= 0) & (contexts < self.hi[of]))
+        for i, part in _parts(of[inside]):
+            own = inside[part]
+            pointers, c = self.file(i)[0], contexts[own] - self.lo[i]
+            first[own] = pointers.at(c)
+            n[own] = pointers.at(c + 1) - first[own]
+            first[own] += self.number0[i]
+        i = np.minimum(np.searchsorted(self.edges, contexts), len(self.edges) - 1)
+        edge = self.edges[i] == contexts
+        first[edge], n[edge] = self.edge_first[i[edge]], self.edge_n[i[edge]]
+        return first, n
+
+    def find(self, bucket: np.ndarray, context: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number (-1 where not seen) and kept share (0 there) of followers,
+        given the bucket that would hold them."""
+        number, share = np.full(len(context), -1, dtype=np.int64), np.zeros(len(context))
+        if not self.files:
+            return number, share
+        order = np.argsort(bucket, kind="stable")
+        sorted_buckets = bucket[order]
+        of = np.minimum(np.searchsorted(self.bucket, sorted_buckets), len(self.bucket) - 1)
+        there = self.bucket[of] == sorted_buckets
+        order, of = order[there], of[there]
+        for i, part in _parts(of):
+            own = order[part]
+            own = own[(context[own] >= self.lo[i]) & (context[own] <= self.hi[i])]
+            if not len(own):
+                continue
+            pointers, values, q, _ = self.file(i)
+            distinct, which = np.unique(context[own] - self.lo[i], return_inverse=True)
+            begin, end = pointers.at(distinct)[which], pointers.at(distinct + 1)[which]
+            at = values.find(distinct[which] * self.universe + follower[own], begin, end)
+            hit = at >= 0
+            number[own[hit]] = at[hit] + self.number0[i]
+            share[own[hit]] = 10.0 ** (q[at[hit]].astype(np.float64) * STEP + FLOOR)
+        return number, share
+
+    def runs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens before, and counts, of entries by number."""
+        run, count = np.zeros(len(numbers), dtype=np.int64), np.zeros(len(numbers), dtype=np.int64)
+        order = np.argsort(numbers, kind="stable")
+        of = np.searchsorted(self.number0, numbers[order], side="right") - 1
+        for i, part in _parts(of):
+            own = order[part]
+            at, runs = numbers[own] - self.number0[i], self.file(i)[3]
+            run[own] = runs.at(at)
+            count[own] = runs.at(at + 1) - run[own]
+            run[own] += self.tokens0[i]
+        return run, count
+
+    def counts(self, numbers: np.ndarray) -> np.ndarray:
+        return self.runs(numbers)[1]
+
+
+def _parts(of: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(value, its slice) of ascending values."""
+    edges = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])) if len(of) else []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield int(of[a]), slice(int(a), int(b))
+
+
 class Trie:
-    """Both levels, mapped; scores arrays of word pairs."""
+    """All levels, mapped; scores arrays of words."""
 
     def __init__(self, manifest: dict):
         self.vocab = Vocabulary(manifest["words"])
         self.size, self.total = manifest["n_words"], manifest["tokens"]
-        self.floor = 0.5 / (self.total + 0.5 * (self.size + 1))
-        self.end = int(self.vocab.ids(np.array([END]))[0]) if self.size else -1
-        self.files = []
-        for f in manifest["pairs"]:
-            a = map_arrays(f["path"])
-            part = lambda x: EliasFano({n: a[f"{x}_{n}"] for n in (*FIELDS, "head")})  # noqa: B023, E731
-            self.files.append((f["lo"], f["hi"], part("p"), part("f"), a["q"]))
-        self.by_bucket = {f["bucket"]: i for i, f in enumerate(manifest["pairs"])}
-        self.buckets = manifest.get("buckets", 0)
-        self.lows = [f["lo"] for f in manifest["pairs"]]
-        self.split = manifest["split"]
-        self.split_ids = np.array(sorted(self.split), dtype=np.int64)
-        self.split_n = np.array([self.split[x] for x in sorted(self.split)], dtype=np.int64)
+        self.buckets = manifest["buckets"]
+        self.level2 = Level(manifest["pairs"], self.size)
+        self.level3 = Level(manifest["triples"], manifest["widest"]) if "widest" in manifest else None
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.total + 0.5 * (self.size + 1))
 
-    def followers(self, ids: np.ndarray) -> np.ndarray:
-        """Distinct followers of sorted distinct words (0 for unknown ones)."""
-        out = np.zeros(len(ids), dtype=np.int64)
-        for lo, hi, pointers, _, _ in self.files:        # a word inside a file has all its followers there
-            part = slice(*np.searchsorted(ids, (lo + 1, hi)))
-            if part.stop > part.start:
-                w = ids[part] - lo
-                out[part] = pointers.at(w + 1) - pointers.at(w)
-        if len(self.split_ids):
-            i = np.minimum(np.searchsorted(self.split_ids, ids), len(self.split_ids) - 1)
-            edge = self.split_ids[i] == ids
-            out[edge] = self.split_n[i[edge]]
-        return out
-
-    def pairs(self, uid: np.ndarray, count: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """log10 P(b | a) of distinct word pairs, as numbers into the distinct
-        words ``uid`` (ascending but for unknown ones, -1) with their counts."""
+    def pairs(self, uid: np.ndarray, count: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number (-1: not seen) and P(b | a) of distinct word pairs, as
+        numbers into the distinct words ``uid`` (ascending but for unknown
+        ones, -1) with their counts."""
         run = self.vocab.runs(uid)
         known = np.flatnonzero(uid >= 0)
         rest = np.ones(len(uid))                         # an unknown word leaves everything to the unigrams
-        rest[known] = DISCOUNT * self.followers(uid[known]) / np.maximum(count[known], 1)
+        rest[known] = DISCOUNT * self.level2.followers(uid[known])[1] / np.maximum(count[known], 1)
         rest[rest <= 0] = 1.0
-        seen = np.zeros(len(a))
+        number, seen = np.full(len(a), -1, dtype=np.int64), np.zeros(len(a))
         both = np.flatnonzero((uid[a] >= 0) & (uid[b] >= 0))
-        if len(both) and self.files:
-            x, y = a[both], b[both]
-            bucket = _slice(run[x], count[x], run[y], self.vocab.tokens, self.buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
-            for k, f in self.by_bucket.items():
-                own = both[order[cuts[k]:cuts[k + 1]]]
-                lo, hi, _, values, q = self.files[f]
-                first = uid[a[own]]
-                own = own[(first >= lo) & (first <= hi)]
-                if len(own):
-                    at = values.find((uid[a[own]] - lo) * self.size + uid[b[own]])
-                    hit = at >= 0
-                    seen[own[hit]] = 10.0 ** (q[at[hit]].astype(np.float64) * STEP + FLOOR)
-        return np.log10(seen + rest[a] * self.unigram(count)[b])
+        x, y = a[both], b[both]
+        number[both], seen[both] = self.level2.find(_slice(run[x], count[x], run[y], self.total, self.buckets), uid[x], uid[y])
+        return number, seen + rest[a] * self.unigram(count)[b]
+
+    def _chunk(self, h: np.ndarray, rows: np.ndarray) -> tuple:
+        """Distinct words, their counts, distinct pairs and each token's."""
+        unique, of = np.unique(h, return_inverse=True)
+        uid = self.vocab.ids(unique)
+        count = self.vocab.counts(uid)
+        local = np.empty_like(of)                        # local number of the word before
+        local[1:] = of[:-1]
+        local[rows[:-1]] = np.searchsorted(unique, END)
+        pair, pair_of = np.unique(local * len(unique) + of, return_inverse=True)
+        return uid, count, of, pair // len(unique), pair % len(unique), pair_of
+
+    def _places(self, uid: np.ndarray, a: np.ndarray, b: np.ndarray, number: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple:
+        """Context, place among the middle word's followers, bucket and weight
+        of the triples made of the seen pairs ``first`` and ``last``."""
+        known = np.flatnonzero(uid >= 0)
+        start = np.zeros(len(uid), dtype=np.int64)
+        start[known] = self.level2.followers(uid[known])[0]
+        seen = np.unique(first)
+        run, weight = self.level2.runs(number[seen])
+        at = np.searchsorted(seen, first)
+        bucket = _slice(run[at], weight[at], self.vocab.runs(uid)[b[last]], self.total, self.buckets)
+        return number[first], number[last] - start[a[last]], bucket, weight[at]
+
+    def triples(self, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(pair, place of the follower, bucket, count) of the distinct runs
+        of three words of training rows, whose pairs are all seen."""
+        uid, count, of, a, b, pair_of = self._chunk(h, rows)
+        number, _ = self.pairs(uid, count, a, b)
+        later = np.ones(len(h), dtype=bool)
+        later[rows[:-1]] = False
+        later = np.flatnonzero(later)
+        triple, n = np.unique(pair_of[later - 1] * len(a) + pair_of[later], return_counts=True)
+        return *self._places(uid, a, b, number, triple // max(len(a), 1), triple % max(len(a), 1))[:3], n
+
+    def score(self, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(count, log10 unigram probability, log10 probability) of each token."""
+        uid, count, of, a, b, pair_of = self._chunk(h, rows)
+        number, p = self.pairs(uid, count, a, b)
+        model = np.log10(p)[pair_of]
+        if self.level3 is not None:
+            later = np.ones(len(h), dtype=bool)
+            later[rows[:-1]] = False
+            later = np.flatnonzero(later)
+            triple, triple_of = np.unique(pair_of[later - 1] * len(a) + pair_of[later], return_inverse=True)
+            first, last = triple // max(len(a), 1), triple % max(len(a), 1)
+            out = p[last]                                # a context not seen leaves everything to the pairs
+            context = np.flatnonzero(number[first] >= 0)
+            distinct, which = np.unique(number[first[context]], return_inverse=True)
+            rest = DISCOUNT * self.level3.followers(distinct)[1] / np.maximum(self.level2.counts(distinct), 1)
+            rest[rest <= 0] = 1.0
+            out[context] *= rest[which]
+            seen = context[number[last[context]] >= 0]
+            if len(seen):
+                g, place, bucket, _ = self._places(uid, a, b, number, first[seen], last[seen])
+                out[seen] += self.level3.find(bucket, g, place)[1]
+            model[later] = np.log10(out)[triple_of]
+        return count[of], np.log10(self.unigram(count))[of], model
 
 
 def _trie(manifest: dict) -> Trie:
-    key = tuple(f["path"] for f in manifest["words"])
+    key = tuple(f["path"] for n in ("words", "pairs", "triples") for f in manifest[n])
     if key not in _TRIES:
         _TRIES.clear()
         _TRIES[key] = Trie(manifest)
@@ -381,18 +591,10 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def score_rows(trie: Trie, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(tokens, known tokens, base score, model score) of each row."""
-    unique, of = np.unique(h, return_inverse=True)
-    uid = trie.vocab.ids(unique)
-    count = trie.vocab.counts(uid)
-    base = np.log10(trie.unigram(count))
-    local = np.empty_like(of)                           # local number of the word before
-    local[1:] = of[:-1]
-    local[rows[:-1]] = np.searchsorted(unique, END)
-    pair, pair_of = np.unique(local * len(unique) + of, return_inverse=True)
-    p = trie.pairs(uid, count, pair // len(unique), pair % len(unique))
-    known = np.concatenate([[0], np.cumsum(count[of] > 0)])
+    count, base, model = trie.score(h, rows)
+    known = np.concatenate([[0], np.cumsum(count > 0)])
     first = rows[:-1]
-    return (np.diff(rows), known[rows[1:]] - known[first], np.add.reduceat(base[of], first), np.add.reduceat(p[pair_of], first))
+    return np.diff(rows), known[rows[1:]] - known[first], np.add.reduceat(base, first), np.add.reduceat(model, first)
 
 
 def score(docs: DataFrame, manifest: dict) -> DataFrame:

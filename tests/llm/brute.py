@@ -80,24 +80,32 @@ def lm_base(docs: list[tuple[int, str | None]]) -> dict[int, tuple]:
                 sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)) for d, ws in toks.items()}
 
 
-def lm_score(docs: list[tuple[int, str | None]], discount: float = 0.75) -> dict[int, float]:
+def lm_score(docs: list[tuple[int, str | None]], order: int = 3, discount: float = 0.75) -> dict[int, float]:
     toks = {d: [*SPACE_WORD.findall(lower(t or "")), None] for d, t in docs}
     held = {d: zlib.crc32(str(d).encode()) % 5 == 1 for d in toks}
-    one, two = Counter(), Counter()
+    one, seen = Counter(), {n: Counter() for n in (2, 3)}       # a text's first word has only its start before it
     for d, ws in toks.items():
         if not held[d]:
             one.update(ws)
-            two.update(zip([None, *ws[:-1]], ws, strict=True))
-    follow = Counter(a for a, _ in two)
-    n, v = sum(one.values()), len(one)
-    uni = lambda w: (one[w] + 0.5) / (n + 0.5 * (v + 1))
-
-    def p(a, w):
-        if not one[a]:
-            return uni(w)
-        return max(two[a, w] - discount, 0) / one[a] + discount * follow[a] / one[a] * uni(w)
-
-    return {d: sum(math.log10(p(a, w)) for a, w in zip([None, *ws[:-1]], ws, strict=True)) for d, ws in toks.items()}
+            for n in seen:
+                padded = [None, *ws]
+                seen[n].update(tuple(padded[i:i + n]) for i in range(len(padded) - n + 1))
+    total, follow = Counter(), Counter()
+    for n in seen:
+        for gram, c in seen[n].items():
+            total[gram[:-1]] += c
+            follow[gram[:-1]] += 1
+    n_all, v = sum(one.values()), len(one)
+
+    def p(context, w):
+        if not context:
+            return (one[w] + 0.5) / (n_all + 0.5 * (v + 1))
+        less = p(context[1:], w)
+        if not total[context]:
+            return less
+        return (max(seen[len(context) + 1][(*context, w)] - discount, 0) + discount * follow[context] * less) / total[context]
+
+    return {d: sum(math.log10(p((None, *ws)[max(0, i + 2 - order):i + 1], w)) for i, w in enumerate(ws)) for d, ws in toks.items()}
 
 
 def near_components(docs, size, percent):

@@ -247,16 +247,21 @@ def test_elias_fano():
         q = np.concatenate([v, rng.integers(0, u, 500), [-1, u, u + 5]])
         found = e.find(q)
         assert ((found >= 0) == np.isin(q, v)).all() and (v[found[found >= 0]] == q[found >= 0]).all()
+        begin, end = np.sort(rng.integers(0, n + 1, (2, len(q))), axis=0)
+        within = e.find(q, begin, end)                   # only among the values begin to end
+        assert [w >= 0 for w in within] == [x in v[i:j] for x, i, j in zip(q, begin, end, strict=True)]
+        assert ((begin <= within) & (within < end))[within >= 0].all()
 
 
-@pytest.mark.parametrize("per_file", [16 << 20, 20_000])
-def test_scores(spark, docs, monkeypatch, per_file):
+@pytest.mark.parametrize(("order", "per_file", "held"), [(2, 20_000, 10 ** 6), (3, 16 << 20, 10 ** 6), (3, 20_000, 10 ** 6), (3, 20_000, 300)])
+def test_scores(spark, docs, monkeypatch, order, per_file, held):
     monkeypatch.setattr(ngram_lm, "BYTES_PER_FILE", per_file)
+    monkeypatch.setattr(ngram_lm, "TRIPLES_HELD", held)
     rows = queries.read(spark, SF, "documents").select("doc_id", "text").unionByName(docs.selectExpr("doc_id + 100000 as doc_id", "text"))
     df = rows.withColumn("held_out", langid.fold(F.col("doc_id"), 5, 1))
     plain = [(r.doc_id, r.text) for r in rows.collect()]
-    base, model = brute.lm_base(plain), brute.lm_score(plain)
-    got = ngram_lm.score(df, ngram_lm.build(df.filter("not held_out"))).collect()
+    base, model = brute.lm_base(plain), brute.lm_score(plain, order)
+    got = ngram_lm.score(df, ngram_lm.build(df.filter("not held_out"), order)).collect()
     assert len(got) == len(plain)
     for r in got:
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == base[r.doc_id][:4]
@@ -266,6 +271,37 @@ def test_scores(spark, docs, monkeypatch, per_file):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_hot_contexts_are_split_over_files(spark, monkeypatch):
+    """Two words before a third of all tokens: their followers go on from file
+    to file, and every level gives the same as one file."""
+    rows = [(i, " ".join(f"of the w{(i * 31 + k * k) % 997}" for k in range(60))) for i in range(120)] + [(500, ""), (501, None), (502, "of the")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", langid.fold(F.col("doc_id"), 5, 1))
+    monkeypatch.setattr(ngram_lm, "BYTES_PER_FILE", 2_000)
+    manifest = ngram_lm.build(df.filter("not held_out"))
+    for kind in ("pairs", "triples"):
+        files = manifest[kind]
+        assert max(sum(f["lo"] <= c <= f["hi"] for f in files) for c in {f["hi"] for f in files}) > 5
+        assert all((f["hi"], g["lo"]) == tuple(sorted((f["hi"], g["lo"]))) for f, g in zip(files, files[1:], strict=False))
+    model = brute.lm_score(rows)
+    for r in ngram_lm.score(df, manifest).collect():
+        assert abs(r.score - model[r.doc_id]) <= 0.03 * r.n_tokens
+
+
+def test_only_touched_files_are_opened(spark):
+    """2,000 files of each level; a short text opens those of its own words."""
+    rows = [(i, " ".join(f"w{i * 40 + k}" for k in range(40))) for i in range(500)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ngram_lm, "BYTES_PER_FILE", sum(len(t) + 1 for _, t in rows) // 2_000)
+        manifest = ngram_lm.build(train)
+    assert len(manifest["pairs"]) > 1_500 and len(manifest["triples"]) > 1_500
+    trie = ngram_lm.Trie(manifest)
+    text = np.frombuffer(rows[7][1].encode(), dtype=np.uint8)
+    count, base, model = trie.score(*ngram_lm.tokens(text, np.array([0, len(text)])))
+    assert (count[:-1] == 1).all() and (model > base).all()
+    assert max(len(trie.level2.open), len(trie.level3.open), len(trie.vocab.arrays.open)) < 200
+
+
 def test_scores_without_training(spark, docs, none):
     held = docs.withColumn("held_out", F.lit(True))
     got = ngram_lm.score(held, ngram_lm.build(none)).collect()
