@@ -25,9 +25,8 @@ score as often as they stand; a null doc_id is in the training part.
 
 from __future__ import annotations
 
-import bisect
-import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +41,7 @@ DISCOUNT = 0.75
 BYTES_PER_FILE = 16 << 20       # training text behind one file of a level
 END = words.U64(0x0F0E0D0C0B0A0908)   # stands for the end of a text, and before its start
 STEP, FLOOR = 0.05, -12.75            # log10 probabilities in one byte
+SHARES = 10.0 ** (np.arange(256) * STEP + FLOOR)
 SCORE_BYTES = 8 << 20
 TRIPLES_HELD = 1_500_000              # distinct triples of a task before it sends them
 
@@ -456,12 +456,13 @@ class Level:
             if not len(own):
                 continue
             pointers, values, q, _ = self.file(i)
-            distinct, which = np.unique(context[own] - self.lo[i], return_inverse=True)
-            begin, end = pointers.at(distinct)[which], pointers.at(distinct + 1)[which]
-            at = values.find(distinct[which] * self.universe + follower[own], begin, end)
+            c = context[own] - self.lo[i]
+            new = np.concatenate([[True], c[1:] != c[:-1]])         # equal contexts mostly stand together
+            distinct, which = c[new], np.cumsum(new) - 1
+            at = values.find(c * self.universe + follower[own], pointers.at(distinct)[which], pointers.at(distinct + 1)[which])
             hit = at >= 0
             number[own[hit]] = at[hit] + self.number0[i]
-            share[own[hit]] = 10.0 ** (q[at[hit]].astype(np.float64) * STEP + FLOOR)
+            share[own[hit]] = SHARES[q[at[hit]]]
         return number, share
 
     def runs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -488,6 +489,21 @@ def _parts(of: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(of[a]), slice(int(a), int(b))
 
 
+class Chunk(NamedTuple):
+    """Tokens of some rows by their distinct words and pairs of words."""
+
+    count: np.ndarray    # of words: count, tokens before, first pair's number
+    run: np.ndarray
+    of: np.ndarray       # of tokens: word
+    first: np.ndarray
+    a: np.ndarray        # of pairs: both words, number (-1: not seen), P(b | a)
+    b: np.ndarray
+    pair_of: np.ndarray  # of tokens: pair that it closes
+    number: np.ndarray
+    p: np.ndarray
+    later: np.ndarray    # tokens that do not begin a row
+
+
 class Trie:
     """All levels, mapped; scores arrays of words."""
 
@@ -501,78 +517,63 @@ class Trie:
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.total + 0.5 * (self.size + 1))
 
-    def pairs(self, uid: np.ndarray, count: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number (-1: not seen) and P(b | a) of distinct word pairs, as
-        numbers into the distinct words ``uid`` (ascending but for unknown
-        ones, -1) with their counts."""
-        run = self.vocab.runs(uid)
-        known = np.flatnonzero(uid >= 0)
-        rest = np.ones(len(uid))                         # an unknown word leaves everything to the unigrams
-        rest[known] = DISCOUNT * self.level2.followers(uid[known])[1] / np.maximum(count[known], 1)
-        rest[rest <= 0] = 1.0
-        number, seen = np.full(len(a), -1, dtype=np.int64), np.zeros(len(a))
-        both = np.flatnonzero((uid[a] >= 0) & (uid[b] >= 0))
-        x, y = a[both], b[both]
-        number[both], seen[both] = self.level2.find(_slice(run[x], count[x], run[y], self.total, self.buckets), uid[x], uid[y])
-        return number, seen + rest[a] * self.unigram(count)[b]
-
-    def _chunk(self, h: np.ndarray, rows: np.ndarray) -> tuple:
-        """Distinct words, their counts, distinct pairs and each token's."""
+    def chunk(self, h: np.ndarray, rows: np.ndarray) -> Chunk:
+        """What the vocabulary and the pairs say of a chunk's tokens."""
         unique, of = np.unique(h, return_inverse=True)
         uid = self.vocab.ids(unique)
-        count = self.vocab.counts(uid)
+        count, run = self.vocab.counts(uid), self.vocab.runs(uid)
         local = np.empty_like(of)                        # local number of the word before
         local[1:] = of[:-1]
         local[rows[:-1]] = np.searchsorted(unique, END)
         pair, pair_of = np.unique(local * len(unique) + of, return_inverse=True)
-        return uid, count, of, pair // len(unique), pair % len(unique), pair_of
-
-    def _places(self, uid: np.ndarray, a: np.ndarray, b: np.ndarray, number: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple:
-        """Context, place among the middle word's followers, bucket and weight
-        of the triples made of the seen pairs ``first`` and ``last``."""
+        a, b = pair // len(unique), pair % len(unique)
         known = np.flatnonzero(uid >= 0)
-        start = np.zeros(len(uid), dtype=np.int64)
-        start[known] = self.level2.followers(uid[known])[0]
-        seen = np.unique(first)
-        run, weight = self.level2.runs(number[seen])
-        at = np.searchsorted(seen, first)
-        bucket = _slice(run[at], weight[at], self.vocab.runs(uid)[b[last]], self.total, self.buckets)
-        return number[first], number[last] - start[a[last]], bucket, weight[at]
+        first, followers = np.zeros((2, len(uid)), dtype=np.int64)
+        first[known], followers[known] = self.level2.followers(uid[known])
+        rest = np.where(followers > 0, DISCOUNT * followers / np.maximum(count, 1), 1.0)   # an unknown word leaves everything
+        number, seen = np.full(len(a), -1, dtype=np.int64), np.zeros(len(a))
+        both = np.flatnonzero((uid[a] >= 0) & (uid[b] >= 0))
+        x, y = a[both], b[both]
+        number[both], seen[both] = self.level2.find(_slice(run[x], count[x], run[y], self.total, self.buckets), uid[x], uid[y])
+        later = np.ones(len(h), dtype=bool)
+        later[rows[:-1]] = False
+        return Chunk(count, run, of, first, a, b, pair_of, number, seen + rest[a] * self.unigram(count)[b], np.flatnonzero(later))
+
+    def _places(self, c: Chunk, first: np.ndarray, last: np.ndarray, run: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket, and place among the middle word's followers, of the triples
+        of the seen pairs ``first`` and ``last``; run and weight: tokens
+        before, and of, the first pair."""
+        return _slice(run, weight, c.run[c.b[last]], self.total, self.buckets), c.number[last] - c.first[c.a[last]]
 
     def triples(self, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
         """(pair, place of the follower, bucket, count) of the distinct runs
         of three words of training rows, whose pairs are all seen."""
-        uid, count, of, a, b, pair_of = self._chunk(h, rows)
-        number, _ = self.pairs(uid, count, a, b)
-        later = np.ones(len(h), dtype=bool)
-        later[rows[:-1]] = False
-        later = np.flatnonzero(later)
-        triple, n = np.unique(pair_of[later - 1] * len(a) + pair_of[later], return_counts=True)
-        return *self._places(uid, a, b, number, triple // max(len(a), 1), triple % max(len(a), 1))[:3], n
+        c = self.chunk(h, rows)
+        triple, n = np.unique(c.pair_of[c.later - 1] * len(c.a) + c.pair_of[c.later], return_counts=True)
+        first, last = triple // max(len(c.a), 1), triple % max(len(c.a), 1)
+        run, weight = self.level2.runs(c.number)
+        bucket, place = self._places(c, first, last, run[first], weight[first])
+        return c.number[first], place, bucket, n
 
     def score(self, h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(count, log10 unigram probability, log10 probability) of each token."""
-        uid, count, of, a, b, pair_of = self._chunk(h, rows)
-        number, p = self.pairs(uid, count, a, b)
-        model = np.log10(p)[pair_of]
+        c = self.chunk(h, rows)
+        model = np.log10(c.p)[c.pair_of]
         if self.level3 is not None:
-            later = np.ones(len(h), dtype=bool)
-            later[rows[:-1]] = False
-            later = np.flatnonzero(later)
-            triple, triple_of = np.unique(pair_of[later - 1] * len(a) + pair_of[later], return_inverse=True)
-            first, last = triple // max(len(a), 1), triple % max(len(a), 1)
-            out = p[last]                                # a context not seen leaves everything to the pairs
-            context = np.flatnonzero(number[first] >= 0)
-            distinct, which = np.unique(number[first[context]], return_inverse=True)
-            rest = DISCOUNT * self.level3.followers(distinct)[1] / np.maximum(self.level2.counts(distinct), 1)
-            rest[rest <= 0] = 1.0
-            out[context] *= rest[which]
-            seen = context[number[last[context]] >= 0]
-            if len(seen):
-                g, place, bucket, _ = self._places(uid, a, b, number, first[seen], last[seen])
-                out[seen] += self.level3.find(bucket, g, place)[1]
-            model[later] = np.log10(out)[triple_of]
-        return count[of], np.log10(self.unigram(count))[of], model
+            triple, triple_of = np.unique(c.pair_of[c.later - 1] * len(c.a) + c.pair_of[c.later], return_inverse=True)
+            first, last = triple // max(len(c.a), 1), triple % max(len(c.a), 1)
+            known = np.flatnonzero(c.number >= 0)
+            run, weight, rest = np.zeros(len(c.a), dtype=np.int64), np.zeros(len(c.a), dtype=np.int64), np.ones(len(c.a))
+            run[known], weight[known] = self.level2.runs(c.number[known])
+            followers = self.level3.followers(c.number[known])[1]        # a context not seen leaves everything to the pairs
+            rest[known] = np.where(followers > 0, DISCOUNT * followers / np.maximum(weight[known], 1), 1.0)
+            out = c.p[last] * rest[first]
+            seen = np.flatnonzero((c.number[first] >= 0) & (c.number[last] >= 0))
+            x, y = first[seen], last[seen]
+            bucket, place = self._places(c, x, y, run[x], weight[x])
+            out[seen] += self.level3.find(bucket, c.number[x], place)[1]
+            model[c.later] = np.log10(out)[triple_of]
+        return c.count[c.of], np.log10(self.unigram(c.count))[c.of], model
 
 
 def _trie(manifest: dict) -> Trie:
