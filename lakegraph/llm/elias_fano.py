@@ -108,11 +108,16 @@ class EliasFano:
             return out
         todo = np.flatnonzero((x >= 0) & (x < self.universe))
         high = x[todo] >> self.width
-        lo = np.zeros(len(todo), dtype=np.int64)
-        later = high > 0
-        lo[later] = self._select(high[later] - 1, False) + 1
-        lo -= high                                       # ones before the range
-        hi = self._select(high, False) - high
+        place = np.zeros(len(todo), dtype=np.int64)
+        later = np.flatnonzero(high > 0)
+        place[later] = self._select(high[later] - 1, False) + 1
+        lo = place - high                                # ones before the range
+        # the ones that follow in this word, but where they may go on in the next
+        bits = self.high[place >> 6] >> (place & 63).astype(_U)
+        ones = np.bitwise_count((bits ^ (bits + _U(1))) >> _U(1)).astype(np.int64)
+        on = np.flatnonzero(ones + (place & 63) >= 63)
+        ones[on] = self._select(high[on], False) - place[on]
+        hi = lo + ones
         if begin is not None:
             lo, hi = np.maximum(lo, begin[todo]), np.minimum(hi, end[todo])
         some = hi > lo

@@ -161,7 +161,11 @@ def _merged(messages: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 def _summed(first: np.ndarray, last: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct (first, last) in order, with the sum of the last of ``values``
     (counts) and any of the others."""
-    order = np.lexsort((last, first))
+    low, width = (int(first.min()), int(last.max()) + 1) if len(first) else (0, 1)
+    if len(first) and (int(first.max()) - low + 1) * width < 1 << 63:   # both in one number
+        order = np.argsort((first - low) * width + last)
+    else:
+        order = np.lexsort((last, first))
     first, last = first[order], last[order]
     new = np.ones(len(first), dtype=bool)
     new[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])

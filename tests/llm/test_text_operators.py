@@ -271,6 +271,18 @@ def test_scores(spark, docs, monkeypatch, order, per_file, held):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_summed_pairs_of_any_width():
+    rng = np.random.default_rng(1)
+    for scale in (1, 1 << 40):                           # in one number, and beyond it
+        g, r, c = rng.integers(0, 30, 500) * scale, rng.integers(0, 30, 500) * scale, rng.integers(1, 5, 500)
+        want: dict = {}
+        for x, y, n in zip(g.tolist(), r.tolist(), c.tolist(), strict=True):
+            want[x, y] = want.get((x, y), 0) + n
+        a, b, bucket, n = ngram_lm._summed(g, r, g % 7, c)
+        assert list(zip(a.tolist(), b.tolist(), n.tolist(), strict=True)) == [(*k, want[k]) for k in sorted(want)]
+        assert (bucket == a % 7).all()
+
+
 def test_hot_contexts_are_split_over_files(spark, monkeypatch):
     """Two words before a third of all tokens: their followers go on from file
     to file, and every level gives the same as one file."""
