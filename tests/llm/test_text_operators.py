@@ -271,6 +271,16 @@ def test_scores(spark, docs, monkeypatch, order, per_file, held):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_word_hashes_tell_words_apart():
+    texts = ["", "a", "b", "ab", "abcdefgh", "abcdefghi", "abcdefg", "x" * 63, "x" * 64, "x" * 65, "x" * 66, "y" * 300, "x" * 16, "x" * 17]
+    texts += [f"{k:x}" for k in range(5000)] + [f"prefix-prefix-{k}" for k in range(5000)]
+    data = np.frombuffer(" ".join([*texts, *texts]).encode(), dtype=np.uint8)
+    h, _ = ngram_lm.tokens(data, np.array([0, len(data)]))
+    words_in = " ".join(texts).split()
+    assert (h[:len(words_in)] == h[len(words_in):-1]).all()
+    assert len(set(h.tolist())) == len({*words_in}) + 1       # and the end
+
+
 def test_summed_pairs_of_any_width():
     rng = np.random.default_rng(1)
     for scale in (1, 1 << 40):                           # in one number, and beyond it
