@@ -46,7 +46,7 @@ SIZE, ANCHOR = 50, 24
 LEFT = SIZE - ANCHOR
 BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 2 << 20
 BLOCKS_PER_TASK = 4
-PIECE = 1 << 18
+PIECE = 1 << 16                         # bytes whose anchors are found together
 SLICE = 1 << 14                         # contexts worked together
 PAD = 256                               # stands for "no byte" in a context
 _U = words.U64
@@ -94,7 +94,9 @@ def _anchors_of(data: np.ndarray, ends: np.ndarray, lens: np.ndarray) -> tuple[n
     least[np.cumsum(real[:-1]) == 0] = 0
     back = _slide(least[::-1], LEFT + 1, np.maximum)[::-1]
     at = np.flatnonzero(back == low)
-    return at, h[at]
+    # the smallest of their neighbours: mixed again (one to one), so that ranges
+    # of hashes, the buckets, hold equally many
+    return at, words.mix(h[at])
 
 
 def anchors(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -475,27 +477,33 @@ def _removed(path: str, answers: pa.Table, reach: pa.Table, buckets: int) -> tup
         lo, hi = np.where(whole, left[number], lo[number]), np.where(whole, right[number], hi[number])
         np.add.at(cover, at - lo, 1)
         np.add.at(cover, at + hi, -1)
-    return own.table, own.data, own.offs, np.cumsum(cover[:-1]) > 0
+    np.cumsum(cover, out=cover)
+    return own.table, own.data, own.offs, cover[:-1] > 0
 
 
 RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def _rows(table: pa.Table, data: np.ndarray, offs: np.ndarray, gone: np.ndarray, schema: pa.Schema, as_text: bool) -> pa.Table:
-    total = np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])
-    opens = gone.copy()
-    opens[1:] &= ~gone[:-1]
-    starts = offs[:-1][offs[:-1] < len(gone)]
-    opens[starts] = gone[starts]
-    spans = np.concatenate([[0], np.cumsum(opens, dtype=np.int64)])
-    n_removed = total[offs[1:]] - total[offs[:-1]]
-    kept = [data[a:b][~gone[a:b]].tobytes() if g else data[a:b].tobytes() for a, b, g in zip(offs[:-1], offs[1:], n_removed, strict=True)]
+    # row by row: no array of numbers as long as the block
+    n_removed, n_spans, kept = (np.zeros(len(table), dtype=np.int64), np.zeros(len(table), dtype=np.int64), [])
+    digests = []
+    for i, (a, b) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):
+        cut, left = gone[a:b], data[a:b]
+        n = np.count_nonzero(cut)
+        if n:
+            n_removed[i] = n
+            n_spans[i] = np.count_nonzero(cut[1:] > cut[:-1]) + int(cut[0])
+            left = left[~cut]
+        digests.append(hashlib.sha256(left).hexdigest())
+        if as_text:
+            kept.append(left.tobytes().decode(errors="ignore") if n else None)
     made = {"n_bytes": pa.array(np.diff(offs), pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
-            "n_spans": pa.array(spans[offs[1:]] - spans[offs[:-1]], pa.int64()),
-            "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())}
+            "n_spans": pa.array(n_spans, pa.int64()),
+            "kept_sha256": pa.array(digests, pa.string())}
     if as_text:
-        texts = table["text"].to_pylist()
-        made["text"] = pa.array([k.decode(errors="ignore") if g else t for k, t, g in zip(kept, texts, n_removed, strict=True)], pa.string())
+        texts = table["text"].combine_chunks()
+        made["text"] = pc.if_else(pa.array(n_removed > 0), pa.array(kept, texts.type), texts)
     return pa.table([made.get(f.name, table[f.name] if f.name in table.column_names else None) for f in schema], schema=schema)
 
 

@@ -1,9 +1,12 @@
 import random
+import tracemalloc
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from lakegraph.llm import suffix_dedup
+from lakegraph.llm import suffix_dedup, words
 from lakegraph.llm.suffix_array import common_prefixes, longest_with_smaller, suffix_array
 
 
@@ -67,3 +70,33 @@ def test_text_output_ties_and_null_ids(spark):
 
 def test_empty_table(spark):
     assert suffix_dedup.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_buckets_hold_equally_many_anchors():
+    rnd = np.random.default_rng(3)
+    data = rnd.integers(97, 123, 400_000).astype(np.uint8)
+    _, place, h = suffix_dedup.anchors(data, np.arange(0, len(data) + 1, 2_000))
+    assert len(place) > 20_000
+    used, cut = suffix_dedup._runs(np.sort(h), 16)
+    sizes = np.diff(cut)
+    assert len(used) == 16 and sizes.max() < 1.5 * sizes.mean()
+
+
+def test_rows_of_a_block_take_little_memory():
+    """Judging a block's rows holds no array of numbers as long as its bytes."""
+    text = bytes(range(97, 123)) * 4_000
+    table = pa.table({"doc_id": pa.array(range(40), pa.int64()), "text": pa.array([text.decode()] * 40)})
+    data, offs = words.flat(table["text"])
+    gone = np.zeros(len(data), dtype=bool)
+    gone[offs[1]:offs[1] + 10] = gone[offs[1] + 20:offs[2]] = True
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+                        ("kept_sha256", pa.string()), ("text", pa.string())])
+    tracemalloc.start()
+    try:
+        out = suffix_dedup._rows(table, data, offs, gone, schema, True).to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * len(data)
+    assert (out[1]["n_removed"], out[1]["n_spans"], out[1]["text"]) == (len(text) - 10, 2, text[10:20].decode())
+    assert all(r["n_removed"] == 0 and r["text"] == text.decode() for r in out if r["doc_id"] != 1)
