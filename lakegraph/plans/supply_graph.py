@@ -31,6 +31,7 @@ from lakegraph.sources.testdata import Tables
 
 BATCH_KEY = ["batch_part", "batch_supp"]
 N_WAREHOUSES = 25
+BUCKET_ROWS = 1 << 20                   # edges a bucket of a stored graph holds, about
 
 
 def fixture_graph(spark: SparkSession, tables: dict[str, DataFrame] | None = None,
@@ -206,15 +207,25 @@ def bucketed_graph(g: SupplyGraph, name: str, buckets: int) -> SupplyGraph:
     CONTAINS edges are bucketed and sorted by order, so walking from an order to
     its batches needs no shuffle; an order has few lines, while a batch may be in a
     third of all orders, so edges are not bucketed by batch: that join deals the
-    rows anew, and adaptive execution may split a hot batch. Column statistics are
-    collected for the planner."""
+    rows anew, and adaptive execution may split a hot batch. ``buckets`` is the least
+    number: it grows with the edges, so that writing and walking sort a bucket in
+    memory at any size. Edges are dealt by order once and made distinct there, unless
+    the session wants all keys hashed for that. Column statistics are collected for
+    the planner."""
     spark = g.orders.sparkSession
+    lines = g.contains if g.contains_rows is None else g.contains_rows
+    buckets = max(buckets, -(-lines.count() // BUCKET_ROWS))
+    all_keys = spark.conf.get("spark.sql.requireAllClusterKeysForDistribution", "false").lower() == "true"
     frames = {"orders": g.orders, "contains": g.contains, "batches": g.batches, "suppliers": g.suppliers, "warehouses": g.warehouses}
     made = {}
     for part, frame in frames.items():
         table = f"{name}_{part}"
         if part in ("orders", "contains"):              # one file per bucket: the shuffle deals like the buckets
-            writer = frame.repartition(buckets, "order_id").write.bucketBy(buckets, "order_id").sortBy("order_id")
+            if part == "contains" and g.contains_rows is not None and not all_keys:
+                dealt = g.contains_rows.repartition(buckets, "order_id").distinct()
+            else:
+                dealt = frame.repartition(buckets, "order_id")
+            writer = dealt.write.bucketBy(buckets, "order_id").sortBy("order_id")
         else:
             writer = frame.write
         writer.mode("overwrite").option("path", shared_dir(spark, table)).saveAsTable(table)

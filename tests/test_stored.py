@@ -127,3 +127,31 @@ def test_edges_of_bucketed_tables_join_without_exchange(spark):
     name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("graph_") and t.name.endswith("_orders"))
     stats = spark.sql(f"DESCRIBE EXTENDED {name} order_id").collect()
     assert any(r[0] == "distinct_count" and r[1] != "NULL" for r in stats)
+
+
+def test_buckets_grow_with_the_edges(spark, monkeypatch):
+    """Same rows in as many buckets as the edges ask for, with either way of
+    making the edges distinct; a repeated edge is stored once."""
+    from dataclasses import replace
+
+    from lakegraph.plans import supply_graph as sg
+    from places import SF_SMALL
+    monkeypatch.setattr(sg, "BUCKET_ROWS", 500)
+    g = sg.tables_graph(spark, SF_SMALL)
+    g = replace(g, contains_rows=g.contains_rows.unionByName(g.contains_rows))
+    want, n = sorted(map(tuple, g.contains.collect())), -(-g.contains_rows.count() // 500)
+    assert n > 4
+    key = "spark.sql.requireAllClusterKeysForDistribution"
+    before = spark.conf.get(key)
+    try:
+        for i, all_keys in enumerate(("true", "false")):
+            spark.conf.set(key, all_keys)
+            made = sg.bucketed_graph(g, f"grown_{i}", 4)
+            assert sorted(map(tuple, made.contains.collect())) == want
+            for part in ("orders", "contains"):
+                told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED grown_{i}_{part}").collect()}
+                assert told["Num Buckets"] == str(n)
+            files = made.contains.inputFiles()
+            assert len(files) <= n
+    finally:
+        spark.conf.set(key, before)
